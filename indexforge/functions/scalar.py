@@ -15,14 +15,24 @@ def slug(x) -> Column:
     return F.replace(F.lower(_c(x)), F.lit(" "), F.lit("_"))
 
 
+def _fixed2(x, pattern: str) -> Column:
+    """Two-decimal text; missing / NaN / infinite values print as nan / inf / -inf."""
+    v = _c(x).cast("double")
+    special = (F.when(v.isNull() | F.isnan(v), F.lit("nan"))
+               .when(v == float("inf"), F.lit("inf"))
+               .when(v == float("-inf"), F.lit("-inf")))
+    return (F.when(special.isNotNull(), F.format_string(pattern.replace("%.2f", "%s"), special))
+            .otherwise(F.format_string(pattern, v)))
+
+
 def percent_text(x) -> Column:
-    """Two-decimal percent text; a missing value prints as 'nan%'."""
-    return F.format_string("%.2f%%", F.coalesce(_c(x).cast("double"), F.lit(float("nan"))))
+    """'12.35%' -- presentation only, the queries return numbers."""
+    return _fixed2(x, "%.2f%%")
 
 
 def money_text(x) -> Column:
-    """Two-decimal dollar text."""
-    return F.format_string("$%.2f", F.coalesce(_c(x).cast("double"), F.lit(float("nan"))))
+    """'$12.35'."""
+    return _fixed2(x, "$%.2f")
 
 
 def json_line(*cols) -> Column:

@@ -91,12 +91,30 @@ def current_prices(log: DataFrame, rule: str = "partial") -> DataFrame:
     return cur.select(*[f.name for f in STOCK_PRICES.fields])
 
 
-def compact_prices(log: DataFrame, out_path: str, rule: str = "partial") -> None:
-    """Write the current view into a *new* folder partitioned by date (a Parquet
-    path cannot be overwritten while it is being read)."""
-    (current_prices(log, rule).repartition("date").sortWithinPartitions("ticker")
-     .write.mode("errorifexists").partitionBy("date").parquet(out_path))
+def write_prices(prices: DataFrame, out_path: str, num_files: int | None = None,
+                 date_folders: bool = False) -> None:
+    """Write a price table for the index jobs.
+
+    Rows are range-partitioned on (date, ticker) -- a day holding a large share
+    of the rows is split over several tasks instead of landing in one -- and
+    sorted, so every file covers a narrow date range and date filters skip files
+    and row groups through Parquet min/max statistics.  ``date_folders`` adds
+    ``date=`` folders, worth it when a single day is many files large.
+    """
+    spark = prices.sparkSession
+    n = num_files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    out = prices.repartitionByRange(n, "date", "ticker").sortWithinPartitions("date", "ticker")
+    writer = out.write.mode("errorifexists")
+    if date_folders:
+        writer = writer.partitionBy("date")
+    writer.parquet(out_path)
+
+
+def compact_prices(log: DataFrame, out_path: str, rule: str = "partial", **kw) -> None:
+    """Materialise the current view into a *new* folder (a Parquet path cannot be
+    overwritten while it is being read); readers then switch to it."""
+    write_prices(current_prices(log, rule), out_path, **kw)
 
 
-__all__ = ["compact_prices", "current_prices", "ingest_counts", "ingest_daily",
+__all__ = ["compact_prices", "write_prices", "current_prices", "ingest_counts", "ingest_daily",
            "ingest_text", "read_price_log", "with_source"]
