@@ -1,0 +1,24 @@
+"""Join helpers: broadcast only behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_ROWS_KEY = "indexforge.broadcast.maxRows"
+DEFAULT_MAX_ROWS = 2_000_000
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df`` unchanged
+    (the optimizer then picks a shuffle join, and AQE may still broadcast later).
+
+    The check is a bounded count (``limit(max_rows + 1).count()``), so it never
+    scans more than it needs to prove the bound.  Meant for sides whose size is
+    bounded by construction (index members x days, instruments) but not known
+    to Spark's static estimate after filters and windows.
+    """
+    spark = df.sparkSession
+    limit = int(max_rows or spark.conf.get(MAX_ROWS_KEY, str(DEFAULT_MAX_ROWS)))
+    n = df.limit(limit + 1).count()
+    return F.broadcast(df) if n <= limit else df

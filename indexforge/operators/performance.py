@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from indexforge.operators.joins import broadcast_if_bounded
 from indexforge.operators.versions import (
     _only, latest_performance, latest_weights, performance_collapse_legacy,
     version_collapse_legacy,
@@ -46,12 +47,19 @@ def pct_change(level: str, partition, order, fill_zero: bool = True) -> Column:
             .otherwise((filled / prev - F.lit(1.0)) * F.lit(100.0)))
 
 
-def index_level(prices: DataFrame, weights: DataFrame) -> DataFrame:
+def index_level(prices: DataFrame, weights: DataFrame, check_size: bool = True) -> DataFrame:
     """``SUM(weight * close)`` per (index_type, date) over bars joined to weights
     on (ticker, date).  A missing bar drops the name (inner join, no re-weighting).
-    The sum is planned as partial + final aggregate."""
+
+    The weights side holds index members x days (x index types), independent of
+    the bar volume, so it is broadcast after a bounded row count: the bar side
+    is then never shuffled for the join.  Above the bound it falls back to a
+    shuffle join.  The sum is planned as partial + final aggregate.
+    """
     px = prices.select("ticker", "date", "close")
     w = weights.select("index_type", "date", "ticker", "weight")
+    if check_size:
+        w = broadcast_if_bounded(w)
     return (px.join(w, ["ticker", "date"])
             .groupBy("index_type", "date")
             .agg(F.sum(F.col("weight") * F.col("close")).alias("index_price")))

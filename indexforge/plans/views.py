@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from indexforge.constants import INDEX_TYPES
 from indexforge.functions.calendar import date_text
 from indexforge.operators.construct import COMPOSITION_COLUMNS, build_index
+from indexforge.operators.joins import broadcast_if_bounded
 from indexforge.operators.performance import performance_history
 from indexforge.operators.versions import _only, composition_snapshot
 
@@ -22,8 +23,13 @@ def composition_get_or_build(stored: DataFrame, prices: DataFrame, instruments:
         index_types = (index_types,)
     stored = _only(stored, start=start, end=end).filter(F.col("index_type").isin(list(index_types)))
     snap = composition_snapshot(stored).select(*COMPOSITION_COLUMNS)
-    have = stored.select("index_type", "date").distinct()
-    built = build_index(prices, instruments, top_n, index_types, start=start, end=end)
+    # (index_type, date) pairs already stored: at most days x index types rows
+    have = broadcast_if_bounded(stored.select("index_type", "date").distinct())
+    complete = (have.groupBy("date").agg(F.count(F.lit(1)).alias("_k"))
+                .filter(F.col("_k") == len(index_types)).select("date"))
+    # only dates that miss at least one index type are built
+    bars = prices.join(broadcast_if_bounded(complete), "date", "left_anti")
+    built = build_index(bars, instruments, top_n, index_types, start=start, end=end)
     fresh = built.join(have, ["index_type", "date"], "left_anti").select(*COMPOSITION_COLUMNS)
     return snap.unionByName(fresh)
 

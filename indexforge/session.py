@@ -51,6 +51,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) "
+                                   "for checkpoints and intermediate tables")
             root = tempfile.mkdtemp(prefix="indexforge-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
