@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indexforge.constants import DEFAULT_ROSTER_LIMIT, ROSTER_MARKET
@@ -46,29 +46,25 @@ def read_landed_text(spark: SparkSession, root: str, dates=None) -> DataFrame:
 def explode_bar_entries(text: DataFrame) -> DataFrame:
     """One row per bar entry; an unparsable line yields one row with a null entry.
 
-    Columns: request_date, source_file, raw (the line), corrupt, adjusted, pos, entry (VARIANT).
+    Columns: request_date, source_file, raw (the line, only when unparsable),
+    corrupt, adjusted, pos, entry (VARIANT of one bar).  Everything document-wide
+    is computed *before* the explode, so an exploded row carries only its own
+    entry -- never the whole document (a day can be one large document).
     """
     spark = text.sparkSession
-    parsed = text.select(F.col("value").alias("_line"), "source_file", "request_date",
-                         F.try_parse_json("value").alias("_v"))
+    v = F.try_parse_json("value")
+    docs = text.select(
+        "source_file", "request_date",
+        F.when(v.isNull(), F.col("value")).alias("raw"),
+        v.isNull().alias("corrupt"),
+        F.try_variant_get(v, "$.adjusted", "boolean").alias("adjusted"),
+        F.variant_get(v, "$.results", "variant").alias("results"))
     return spark.sql(
         """
-        SELECT request_date, source_file, _line AS raw, _v IS NULL AS corrupt,
-               try_variant_get(_v, '$.adjusted', 'boolean') AS adjusted,
-               e.pos AS pos, e.value AS entry
-        FROM {src}, LATERAL variant_explode_outer(variant_get(_v, '$.results')) AS e
-        WHERE _v IS NULL OR e.value IS NOT NULL
-        """, src=parsed)
-
-
-def _typed(entry: Column, key: str, type_name: str) -> Column:
-    return F.try_variant_get(entry, f"$.{key}", type_name)
-
-
-def _unusable(entry: Column, key: str, type_name: str) -> Column:
-    """A value is present (not JSON null) but cannot be read as the column type."""
-    raw = F.try_variant_get(entry, f"$.{key}", "variant")
-    return raw.isNotNull() & ~F.is_variant_null(raw) & _typed(entry, key, type_name).isNull()
+        SELECT request_date, source_file, raw, corrupt, adjusted, e.pos AS pos, e.value AS entry
+        FROM {src}, LATERAL variant_explode_outer(results) AS e
+        WHERE corrupt OR e.value IS NOT NULL
+        """, src=docs)
 
 
 def flatten_bars(entries: DataFrame, date_rule: str = "epoch") -> DataFrame:
@@ -79,11 +75,30 @@ def flatten_bars(entries: DataFrame, date_rule: str = "epoch") -> DataFrame:
     ``otc`` and ``adjusted`` default to false when missing.
     Rejected: unparsable line, null ticker or timestamp, or a present value that
     does not fit its column (e.g. ``n`` above the int range).
+
+    Each payload key is looked up once (as a sub-variant) and then cast; the
+    checks read those columns, so no path is resolved twice.
     """
-    e = F.col("entry")
-    cols = {}
-    for key, name, type_name in BAR_FIELDS:
-        cols[name] = _typed(e, key, type_name)
+    # positional helper names: payload keys T and t would clash case-insensitively
+    keys = [(k, f"_raw{i}", f"_typ{i}", name, t) for i, (k, name, t) in enumerate(BAR_FIELDS)]
+    typ_of = {k: typ for k, _, typ, _, _ in keys}
+    passthrough = ["entry", "adjusted", "corrupt", "raw", "request_date", "source_file", "pos"]
+    step1 = entries.select(*passthrough, *[
+        F.try_variant_get("entry", f"$.{k}", "variant").alias(raw) for k, raw, _, _, _ in keys])
+    step2 = step1.select(*passthrough, *[c for _, c, _, _, _ in keys], *[
+        F.try_variant_get(raw, "$", t).alias(typ) for _, raw, typ, _, t in keys])
+    unusable = {k: F.col(raw).isNotNull() & ~F.is_variant_null(raw) & F.col(typ).isNull()
+                for k, raw, typ, _, _ in keys}
+    bad_value = F.lit(False)
+    for u in unusable.values():
+        bad_value = bad_value | u
+    reason = (F.when(F.col("corrupt"), F.lit("corrupt_record"))
+              .when(F.col(typ_of["T"]).isNull(), F.lit("null_ticker"))
+              .when(F.col(typ_of["t"]).isNull(), F.lit("null_timestamp"))
+              .when(bad_value, F.concat(F.lit("bad_value:"), F.concat_ws(
+                  ",", *[F.when(u, F.lit(k)) for k, u in unusable.items()]))))
+    step3 = step2.withColumn("_reason", reason)
+    cols = {name: F.col(typ) for _, _, typ, name, _ in keys}
     cols["is_otc"] = F.coalesce(cols["is_otc"], F.lit(False))
     cols["is_adjusted"] = F.coalesce(F.col("adjusted"), F.lit(False))
     if date_rule == "epoch":
@@ -92,21 +107,12 @@ def flatten_bars(entries: DataFrame, date_rule: str = "epoch") -> DataFrame:
         cols["date"] = F.col("request_date")
     else:
         raise ValueError(date_rule)
-    bad_value = F.lit(False)
-    bad_names = []
-    for key, name, type_name in BAR_FIELDS:
-        u = _unusable(e, key, type_name)
-        bad_value = bad_value | u
-        bad_names.append(F.when(u, F.lit(key)))
-    reason = (F.when(F.col("corrupt"), F.lit("corrupt_record"))
-              .when(cols["ticker"].isNull(), F.lit("null_ticker"))
-              .when(cols["timestamp"].isNull(), F.lit("null_timestamp"))
-              .when(bad_value, F.concat(F.lit("bad_value:"), F.concat_ws(",", *bad_names))))
-    out = entries.select(
+    out = step3.select(
         *[cols[f.name].cast(f.dataType).alias(f.name) for f in STOCK_PRICES.fields],
-        F.col("request_date"), F.col("source_file"), F.col("pos").alias("_pos"),
-        reason.alias("_reason"),
-        F.when(F.col("corrupt"), F.col("raw")).otherwise(F.to_json(e)).alias("_payload"))
+        F.col("request_date"), F.col("source_file"), F.col("pos").alias("_pos"), "_reason",
+        # the original entry is only serialised for rows that become dead letters
+        F.when(F.col("corrupt"), F.col("raw"))
+         .when(F.col("_reason").isNotNull(), F.to_json("entry")).alias("_payload"))
     return out.withColumn("_valid", F.col("_reason").isNull())
 
 
