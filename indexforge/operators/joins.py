@@ -9,7 +9,8 @@ MAX_ROWS_KEY = "indexforge.broadcast.maxRows"
 DEFAULT_MAX_ROWS = 2_000_000
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+def broadcast_if_bounded(df: DataFrame, max_rows: int | None = None,
+                         bound: DataFrame | None = None) -> DataFrame:
     """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df`` unchanged
     (the optimizer then picks a shuffle join, and AQE may still broadcast later).
 
@@ -17,8 +18,11 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int | None = None) -> DataFram
     scans more than it needs to prove the bound.  Meant for sides whose size is
     bounded by construction (index members x days, instruments) but not known
     to Spark's static estimate after filters and windows.
+
+    ``bound`` may name a cheaper frame with at least as many rows as ``df``
+    (e.g. the filtered scan that a dedup window reads); it is counted instead.
     """
     spark = df.sparkSession
     limit = int(max_rows or spark.conf.get(MAX_ROWS_KEY, str(DEFAULT_MAX_ROWS)))
-    n = df.limit(limit + 1).count()
+    n = (bound if bound is not None else df).limit(limit + 1).count()
     return F.broadcast(df) if n <= limit else df

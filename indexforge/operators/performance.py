@@ -47,19 +47,22 @@ def pct_change(level: str, partition, order, fill_zero: bool = True) -> Column:
             .otherwise((filled / prev - F.lit(1.0)) * F.lit(100.0)))
 
 
-def index_level(prices: DataFrame, weights: DataFrame, check_size: bool = True) -> DataFrame:
+def index_level(prices: DataFrame, weights: DataFrame, check_size: bool = True,
+                bound: DataFrame | None = None) -> DataFrame:
     """``SUM(weight * close)`` per (index_type, date) over bars joined to weights
     on (ticker, date).  A missing bar drops the name (inner join, no re-weighting).
 
     The weights side holds index members x days (x index types), independent of
     the bar volume, so it is broadcast after a bounded row count: the bar side
     is then never shuffled for the join.  Above the bound it falls back to a
-    shuffle join.  The sum is planned as partial + final aggregate.
+    shuffle join.  ``bound``: a frame with at least as many rows as ``weights``
+    (the composition scan before dedup) that is cheaper to count.  The sum is
+    planned as partial + final aggregate.
     """
     px = prices.select("ticker", "date", "close")
     w = weights.select("index_type", "date", "ticker", "weight")
     if check_size:
-        w = broadcast_if_bounded(w)
+        w = broadcast_if_bounded(w, bound=bound)
     return (px.join(w, ["ticker", "date"])
             .groupBy("index_type", "date")
             .agg(F.sum(F.col("weight") * F.col("close")).alias("index_price")))
@@ -81,7 +84,8 @@ def track_index_performance(prices: DataFrame, composition: DataFrame, start=Non
     """
     weights = latest_weights(composition, index_type, start, end)
     bars = _only(prices, None, start=start, end=end)
-    return daily_return(index_level(bars, weights)).select(*PERFORMANCE_COLUMNS)
+    scanned = _only(composition, index_type, start=start, end=end)  # dedup only removes rows
+    return daily_return(index_level(bars, weights, bound=scanned)).select(*PERFORMANCE_COLUMNS)
 
 
 def performance_history(performance: DataFrame, start=None, end=None,
@@ -107,9 +111,10 @@ def index_level_legacy(prices: DataFrame, composition: DataFrame, start=None,
                        end=None, index_type=None) -> DataFrame:
     """First-generation performance: level over the legacy collapse (rows that
     differ between runs are all summed), return as in ``track_index_performance``."""
-    weights = version_collapse_legacy(_only(composition, index_type, start=start, end=end))
+    scanned = _only(composition, index_type, start=start, end=end)
+    weights = version_collapse_legacy(scanned)
     bars = _only(prices, None, start=start, end=end)
-    return daily_return(index_level(bars, weights)).select(*PERFORMANCE_COLUMNS)
+    return daily_return(index_level(bars, weights, bound=scanned)).select(*PERFORMANCE_COLUMNS)
 
 
 def performance_history_legacy(performance: DataFrame, start=None, end=None,
