@@ -28,7 +28,7 @@ from indexforge.operators.upsert import upsert_partial, upsert_replace
 from indexforge.plans import views
 from indexforge.plans.ingest import (
     current_prices, ingest_counts as _ingest_counts, ingest_daily as _ingest_daily,
-    read_price_log,
+    read_current, read_price_log,
 )
 from indexforge.schemas import (
     INDEX_COMPOSITION, INDEX_PERFORMANCE, STOCK_PRICES, TICKER_DETAILS,
@@ -589,8 +589,13 @@ def composition_view(spark, sf_dir):
 
 @query("ingest_daily")
 def ingest_daily(spark, sf_dir):
-    _, log, _ = _ingested(spark, sf_dir)
-    return current_prices(read_price_log(spark, log))
+    """Batch ingest of every landed day, merged day by day into the current table."""
+    land = _landed_payloads(spark, sf_dir)
+    log, dead = scratch_path(spark, "price_log"), scratch_path(spark, "dead_letters")
+    current = scratch_path(spark, "stock_prices_current")
+    _ingest_daily(spark, land, log, dead, run_ts=RUN_TS, load_id="batch-1",
+                  current_path=current)
+    return read_current(spark, current)
 
 
 @query("index_changes_legacy")

@@ -12,9 +12,11 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from indexforge.operators.joins import broadcast_if_bounded
 from indexforge.operators.upsert import upsert_partial, upsert_replace
 from indexforge.schemas import PRICES_KEPT, PRICES_UPDATED, STOCK_PRICES, STOCK_PRICES_KEY
 from indexforge.sinks.dead_letters import write_dead_letters
@@ -54,12 +56,29 @@ def ingest_text(text: DataFrame, log_root: str, dead_root: str, load_id: str,
 
 def ingest_daily(spark: SparkSession, landing_root: str, log_root: str, dead_root: str,
                  dates=None, run_ts=None, load_id: str | None = None,
-                 date_rule: str = "request") -> dict:
-    """Batch load of the landed days ``dates`` (all landed days if None)."""
+                 date_rule: str = "request", as_of=None, current_path: str | None = None,
+                 rule: str = "partial") -> dict:
+    """Batch load of the landed days ``dates`` (all landed days if None; with
+    ``as_of``, the previous trading day of ``as_of``, as the scheduled job does).
+    With ``current_path`` the load is also merged into the current table."""
+    if as_of is not None and dates is None:
+        dates = [previous_trading_day_of(as_of)]
     run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
     load_id = load_id or "batch-" + "".join(ch for ch in str(run_ts) if ch.isdigit())
     text = read_landed_text(spark, landing_root, dates)
-    return ingest_text(text, log_root, dead_root, load_id, run_ts, date_rule)
+    counts = ingest_text(text, log_root, dead_root, load_id, run_ts, date_rule)
+    if current_path:
+        load = spark.read.parquet(f"{log_root.rstrip('/')}/load={load_id}")
+        merge_into_current(spark, current_path, load, rule)
+    return counts
+
+
+def previous_trading_day_of(as_of) -> _dt.date:
+    """Scalar form of the scheduler's target day: the weekday before ``as_of``
+    (Saturday, Sunday and Monday all go back to Friday)."""
+    d = _dt.date.fromisoformat(str(as_of))
+    back = {0: 3, 6: 2}.get(d.weekday(), 1)
+    return d - _dt.timedelta(days=back)
 
 
 def ingest_counts(text: DataFrame, date_rule: str = "request") -> DataFrame:
@@ -81,14 +100,7 @@ def current_prices(log: DataFrame, rule: str = "partial") -> DataFrame:
     ``partial`` (service generation): date / is_otc / is_adjusted keep their first
     value, prices follow the newest load.  ``replace``: the newest row wins.
     """
-    key = list(STOCK_PRICES_KEY)
-    if rule == "partial":
-        cur = upsert_partial(log, key, LOAD_ORDER, PRICES_KEPT, PRICES_UPDATED)
-    elif rule == "replace":
-        cur = upsert_replace(log, key, LOAD_ORDER, [f.name for f in STOCK_PRICES.fields])
-    else:
-        raise ValueError(rule)
-    return cur.select(*[f.name for f in STOCK_PRICES.fields])
+    return _upsert(log, rule, LOAD_ORDER).select(*[f.name for f in STOCK_PRICES.fields])
 
 
 def write_prices(prices: DataFrame, out_path: str, num_files: int | None = None,
@@ -116,5 +128,66 @@ def compact_prices(log: DataFrame, out_path: str, rule: str = "partial", **kw) -
     write_prices(current_prices(log, rule), out_path, **kw)
 
 
-__all__ = ["compact_prices", "write_prices", "current_prices", "ingest_counts", "ingest_daily",
+def merge_into_current(spark: SparkSession, current_path: str, load: DataFrame,
+                       rule: str = "partial") -> None:
+    """Merge one load into the current price table, touching only its days.
+
+    The current table is partitioned by ``key_date`` -- the UTC day of the
+    ``timestamp`` key -- so every existing row of a key lives in the partition
+    the key itself names, whatever ``date`` the upsert rule kept.  A load
+    therefore reads and rewrites only the partitions of its own key days:
+
+    1. old rows of those partitions  UNION  the load's valid rows (newer);
+    2. upsert per (ticker, timestamp) with the chosen rule;
+    3. stage the result under the checkpoint folder (a path cannot be
+       overwritten while it is read), then replace just those partitions
+       (dynamic partition overwrite).
+
+    A failed run can simply be repeated: the upsert of the same load is idempotent.
+    """
+    from indexforge.functions.calendar import epoch_ms_to_date
+    from indexforge.session import scratch_path
+
+    cols = [f.name for f in STOCK_PRICES.fields]
+    incoming = (load.select(*cols, *[c for c in LOAD_ORDER])
+                .withColumn("key_date", epoch_ms_to_date("timestamp")))
+    order = ["_rank", *LOAD_ORDER]
+    pieces = incoming.withColumn("_rank", F.lit(1))
+    try:
+        stored = spark.read.parquet(current_path)
+        days = incoming.select("key_date").distinct()
+        old = (stored.join(broadcast_if_bounded(days), "key_date", "left_semi")
+               .select(*cols, "key_date")
+               .withColumn("_rank", F.lit(0))
+               .withColumn("_load_ts", F.lit(None).cast("timestamp_ntz"))
+               .withColumn("source_file", F.lit(None).cast("string"))
+               .withColumn("_pos", F.lit(None).cast("long")))
+        pieces = old.unionByName(pieces)
+    except AnalysisException:
+        pass  # first load: no current table yet
+    merged = (_upsert(pieces, rule, order)
+              .withColumn("key_date", epoch_ms_to_date("timestamp")))
+    staging = scratch_path(spark, "prices_merge")
+    merged.write.parquet(staging)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (spark.read.parquet(staging).repartitionByRange(n, "key_date", "ticker")
+     .sortWithinPartitions("key_date", "ticker")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("key_date").parquet(current_path))
+
+
+def read_current(spark: SparkSession, current_path: str) -> DataFrame:
+    return spark.read.parquet(current_path).select(*[f.name for f in STOCK_PRICES.fields])
+
+
+def _upsert(df: DataFrame, rule: str, order) -> DataFrame:
+    key = list(STOCK_PRICES_KEY)
+    if rule == "partial":
+        return upsert_partial(df, key, order, PRICES_KEPT, PRICES_UPDATED)
+    if rule == "replace":
+        return upsert_replace(df, key, order, [f.name for f in STOCK_PRICES.fields])
+    raise ValueError(rule)
+
+
+__all__ = ["merge_into_current", "read_current", "compact_prices", "write_prices", "current_prices", "ingest_counts", "ingest_daily",
            "ingest_text", "read_price_log", "with_source"]

@@ -196,3 +196,40 @@ def test_ingest_request_date_kept_on_partial_upsert(spark, scratch):
     rep = current_prices(read_price_log(spark, log), "replace").collect()[0]
     assert (part.date, part.close) == (D(2024, 1, 1), 2.0)
     assert (rep.date, rep.close) == (D(2024, 1, 3), 2.0)
+
+
+def test_merge_into_current_touches_only_load_days(spark, scratch):
+    from indexforge.plans.ingest import merge_into_current, read_current
+
+    land, log, dead, cur = scratch("land"), scratch("log"), scratch("dead"), scratch("cur")
+    day1 = {"results": [{"T": "A", "t": 1704067200000, "c": 1.0},
+                        {"T": "B", "t": 1704067200000, "c": 5.0}]}
+    _land(land, "2024-01-01", [json.dumps(day1)])
+    ingest_daily(spark, land, log, dead, dates=["2024-01-01"], run_ts="2024-01-02 00:00:00",
+                 load_id="l1", current_path=cur)
+    # a later load re-delivers A (requested as another day) and adds a new day
+    day2 = {"results": [{"T": "A", "t": 1704067200000, "c": 2.0},
+                        {"T": "A", "t": 1704153600000, "c": 3.0}]}
+    _land(land, "2024-01-02", [json.dumps(day2)])
+    ingest_daily(spark, land, log, dead, dates=["2024-01-02"], run_ts="2024-01-03 00:00:00",
+                 load_id="l2", current_path=cur)
+    got = sorted((r.ticker, r.timestamp, r.date, r.close) for r in read_current(spark, cur).collect())
+    assert got == [("A", 1704067200000, D(2024, 1, 1), 2.0),   # first date kept, price updated
+                   ("A", 1704153600000, D(2024, 1, 2), 3.0),
+                   ("B", 1704067200000, D(2024, 1, 1), 5.0)]
+    # the merge result equals the view over the whole log
+    view = sorted((r.ticker, r.timestamp, r.date, r.close)
+                  for r in current_prices(read_price_log(spark, log)).collect())
+    assert view == got
+    # repeating a load changes nothing
+    merge_into_current(spark, cur, spark.read.parquet(f"{log}/load=l2"))
+    again = sorted((r.ticker, r.timestamp, r.date, r.close) for r in read_current(spark, cur).collect())
+    assert again == got
+
+
+def test_previous_trading_day_scalar():
+    from indexforge.plans.ingest import previous_trading_day_of
+
+    assert [previous_trading_day_of(D(2023, 1, 2) + dt.timedelta(days=i)) for i in range(7)] == \
+        [D(2022, 12, 30), D(2023, 1, 2), D(2023, 1, 3), D(2023, 1, 4), D(2023, 1, 5),
+         D(2023, 1, 6), D(2023, 1, 6)]
