@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as _dt
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,23 +55,34 @@ def conflict_skip(incoming: DataFrame, stored: DataFrame | None,
 
 
 def _append(df: DataFrame, path: str, schema, partition_by=("index_type",),
-            sort_by=("date",)) -> DataFrame:
+            sort_by=("date",), dead_path: str | None = None) -> DataFrame:
+    """Append rows that satisfy the NOT NULL rules; the others are returned and,
+    with ``dead_path``, written there as JSON lines (one folder per run)."""
     rows = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+    if dead_path:
+        # two writes from one computation of the run (a run is N x days rows)
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     good, bad = split_not_null(rows, not_null_columns(schema))
     (good.sortWithinPartitions(*partition_by, *sort_by)
      .write.mode("append").partitionBy(*partition_by).parquet(path))
+    if dead_path:
+        bad.select(F.to_json(F.struct(*bad.columns)).alias("value")) \
+            .write.mode("overwrite").text(dead_path)
+        rows.unpersist()
     return bad
 
 
-def append_composition(df: DataFrame, path: str, run_ts, stored: DataFrame | None = None) -> DataFrame:
-    """Append a run of composition rows; returns rows rejected by NOT NULL
-    (e.g. a null market-cap weight when the selected caps sum to 0)."""
-    return _append(conflict_skip(stamp(df, run_ts), stored), path, INDEX_COMPOSITION)
+def append_composition(df: DataFrame, path: str, run_ts, stored: DataFrame | None = None,
+                       dead_path: str | None = None) -> DataFrame:
+    """Append a run of composition rows; rows rejected by NOT NULL (e.g. a null
+    market-cap weight when the selected caps sum to 0) are returned / dead-lettered."""
+    return _append(conflict_skip(stamp(df, run_ts), stored), path, INDEX_COMPOSITION,
+                   dead_path=dead_path)
 
 
-def append_performance(df: DataFrame, path: str, run_ts) -> DataFrame:
-    return _append(stamp(df, run_ts), path, INDEX_PERFORMANCE)
+def append_performance(df: DataFrame, path: str, run_ts, dead_path: str | None = None) -> DataFrame:
+    return _append(stamp(df, run_ts), path, INDEX_PERFORMANCE, dead_path=dead_path)
 
 
-def append_changes(df: DataFrame, path: str, run_ts) -> DataFrame:
-    return _append(stamp(df, run_ts), path, INDEX_CHANGES)
+def append_changes(df: DataFrame, path: str, run_ts, dead_path: str | None = None) -> DataFrame:
+    return _append(stamp(df, run_ts), path, INDEX_CHANGES, dead_path=dead_path)

@@ -48,6 +48,26 @@ def rows(cols, records, digits=6):
     return sorted(out, key=repr)
 
 
+_SPARK_TO_DUCK = {
+    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+    "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP",
+    "smallint": "SMALLINT", "float": "FLOAT",
+}
+
+
+def type_mismatches(spark_df, con, sql: str):
+    """Columns whose Spark type does not map to the DuckDB result type."""
+    rel = con.sql(sql)
+    duck_types = {n: str(t) for n, t in zip(rel.columns, rel.types)}
+    out = []
+    for f in spark_df.schema.fields:
+        want = _SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+        got = duck_types.get(f.name)
+        if got is not None and got != want:
+            out.append((f.name, f.dataType.simpleString(), got))
+    return out
+
+
 def compare(spark_df, con, sql: str, digits: int = 6):
     """Returns (ok, message)."""
     s_cols = spark_df.columns
@@ -57,6 +77,9 @@ def compare(spark_df, con, sql: str, digits: int = 6):
     d_rows = res.fetchall()
     if sorted(s_cols) != sorted(d_cols):
         return False, f"columns differ: spark={sorted(s_cols)} duck={sorted(d_cols)}"
+    bad_types = type_mismatches(spark_df, con, sql)
+    if bad_types:
+        return False, f"types differ: {bad_types}"
     if len(s_rows) != len(d_rows):
         return False, f"row count spark={len(s_rows)} duck={len(d_rows)}"
     a, b = rows(s_cols, s_rows, digits), rows(d_cols, d_rows, digits)

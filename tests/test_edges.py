@@ -233,3 +233,19 @@ def test_previous_trading_day_scalar():
     assert [previous_trading_day_of(D(2023, 1, 2) + dt.timedelta(days=i)) for i in range(7)] == \
         [D(2022, 12, 30), D(2023, 1, 2), D(2023, 1, 3), D(2023, 1, 4), D(2023, 1, 5),
          D(2023, 1, 6), D(2023, 1, 6)]
+
+
+def test_zero_cap_total_weight_is_rejected_on_append(spark, scratch):
+    from indexforge.sinks.versioned import append_composition
+    from indexforge.sources.tables import scan_table
+
+    prices = spark.createDataFrame([("A", 0, D(2024, 1, 1), 10.0), ("B", 0, D(2024, 1, 1), 11.0)],
+                                   "ticker string, timestamp bigint, date date, close double")
+    inst = spark.createDataFrame([("A", 0.0), ("B", 0.0)], "ticker string, market_cap double")
+    built = con.build_index(prices, inst, 5)
+    path, dead = scratch("comp"), scratch("dead")
+    bad = append_composition(built, path, "2024-02-01 00:00:00", dead_path=dead)
+    assert bad.count() == 2 and all(r.index_type == MARKET_CAP_WEIGHTED for r in bad.collect())
+    stored = scan_table(spark, path, "index_composition")
+    assert stored.count() == 2 and {r.index_type for r in stored.collect()} == {EQUAL_WEIGHTED}
+    assert spark.read.text(dead).count() == 2
