@@ -16,6 +16,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from indexforge.operators.joins import broadcast_if_bounded
 from indexforge.schemas import (
     INDEX_CHANGES, INDEX_COMPOSITION, INDEX_COMPOSITION_KEY, INDEX_PERFORMANCE,
     not_null_columns,
@@ -40,17 +41,22 @@ def split_not_null(df: DataFrame, columns) -> tuple[DataFrame, DataFrame]:
 
 
 def conflict_skip(incoming: DataFrame, stored: DataFrame | None,
-                  keys=INDEX_COMPOSITION_KEY) -> DataFrame:
+                  keys=INDEX_COMPOSITION_KEY, run_ts=None) -> DataFrame:
     """``ON CONFLICT (keys) DO NOTHING``: drop keys repeated in the batch and keys
     already stored.  ``update_time`` is part of the key, so only stored rows of
-    the incoming run stamps can conflict; the anti-join reads just those."""
+    the incoming run stamps can conflict: with ``run_ts`` known that is a filter
+    pushed to the stored scan; otherwise the stamp set is broadcast (never
+    shuffled on -- one stamp would put the whole run in one task)."""
     keys = list(keys)
     out = incoming.dropDuplicates(keys)
     if stored is None:
         return out
     if "update_time" in keys:
-        stamps = incoming.select("update_time").distinct()
-        stored = stored.join(stamps, "update_time", "left_semi")
+        if run_ts is not None:
+            stored = stored.filter(F.col("update_time") == run_timestamp(run_ts))
+        else:
+            stamps = broadcast_if_bounded(incoming.select("update_time").distinct())
+            stored = stored.join(stamps, "update_time", "left_semi")
     return out.join(stored.select(*keys), keys, "left_anti")
 
 
@@ -76,7 +82,7 @@ def append_composition(df: DataFrame, path: str, run_ts, stored: DataFrame | Non
                        dead_path: str | None = None) -> DataFrame:
     """Append a run of composition rows; rows rejected by NOT NULL (e.g. a null
     market-cap weight when the selected caps sum to 0) are returned / dead-lettered."""
-    return _append(conflict_skip(stamp(df, run_ts), stored), path, INDEX_COMPOSITION,
+    return _append(conflict_skip(stamp(df, run_ts), stored, run_ts=run_ts), path, INDEX_COMPOSITION,
                    dead_path=dead_path)
 
 
