@@ -623,8 +623,11 @@ def composition_snapshot_legacy(spark, sf_dir):
 # 2.11 streaming -------------------------------------------------------------------------------
 @query("ingest_stream")
 def ingest_stream(spark, sf_dir):
+    """Incremental pickup of the landed days; each micro-batch merged into the
+    current table (files are picked up in batches of at most 10)."""
     land = _landed_payloads(spark, sf_dir)
     log, dead = scratch_path(spark, "price_log"), scratch_path(spark, "dead_letters")
+    current = scratch_path(spark, "stock_prices_current")
     run_ingest_stream(spark, land, log, dead, scratch_path(spark, "stream_ckpt"),
-                      run_ts=RUN_TS)
-    return current_prices(read_price_log(spark, log))
+                      run_ts=RUN_TS, current_path=current, max_files_per_trigger=10)
+    return read_current(spark, current)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from indexforge.plans.ingest import ingest_text
+from indexforge.plans.ingest import ingest_text, merge_into_current
 
 _DATE_IN_PATH = r"date=(\d{4}-\d{2}-\d{2})"
 TEXT_SCHEMA = StructType([StructField("value", StringType(), True)])
@@ -28,8 +28,14 @@ def _with_request_date(df: DataFrame) -> DataFrame:
 
 def start_ingest_stream(spark: SparkSession, landing_root: str, log_root: str,
                         dead_root: str, checkpoint: str, date_rule: str = "request",
-                        max_files_per_trigger: int | None = None, run_ts=None):
-    """Start the stream; returns the StreamingQuery (already running)."""
+                        max_files_per_trigger: int | None = None, run_ts=None,
+                        current_path: str | None = None, rule: str = "partial"):
+    """Start the stream; returns the StreamingQuery (already running).
+
+    With ``current_path`` every micro-batch is also merged into the current
+    price table (only the key days it touches are rewritten); a replayed batch
+    re-applies the same load, which leaves the table unchanged.
+    """
     reader = spark.readStream.schema(TEXT_SCHEMA).format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -39,8 +45,12 @@ def start_ingest_stream(spark: SparkSession, landing_root: str, log_root: str,
 
     def _batch(df: DataFrame, batch_id: int) -> None:
         ts = run_ts or _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
+        load_id = f"stream-{batch_id:012d}"
         results.append(ingest_text(_with_request_date(df), log_root, dead_root,
-                                   f"stream-{batch_id:012d}", ts, date_rule))
+                                   load_id, ts, date_rule))
+        if current_path:
+            load = df.sparkSession.read.parquet(f"{log_root.rstrip('/')}/load={load_id}")
+            merge_into_current(df.sparkSession, current_path, load, rule)
 
     q = (lines.writeStream.foreachBatch(_batch)
          .option("checkpointLocation", checkpoint)

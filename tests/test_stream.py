@@ -5,7 +5,7 @@ import shutil
 
 from compare import rows
 from conftest import SF_SMALL
-from indexforge.plans.ingest import current_prices, ingest_daily, read_price_log
+from indexforge.plans.ingest import current_prices, ingest_daily, read_current, read_price_log
 from indexforge.session import local_path
 from indexforge.sources import fixtures as fx
 from indexforge.streaming.ingest_stream import run_ingest_stream
@@ -24,15 +24,18 @@ def test_stream_in_increments_equals_batch(spark, scratch):
     batch = _collect(current_prices(read_price_log(spark, blog)))
 
     inc = scratch("land_inc")
-    slog, sdead, ckpt = scratch("slog"), scratch("sdead"), scratch("ckpt")
+    slog, sdead, ckpt, cur = scratch("slog"), scratch("sdead"), scratch("ckpt"), scratch("cur")
     os.makedirs(local_path(inc))
     results = []
     for chunk in (days[:10], days[10:20], days[20:]):
         for d in chunk:
             shutil.copytree(os.path.join(local_path(full), d), os.path.join(local_path(inc), d))
-        results += run_ingest_stream(spark, inc, slog, sdead, ckpt, run_ts="2024-03-01 00:00:00")
+        results += run_ingest_stream(spark, inc, slog, sdead, ckpt, run_ts="2024-03-01 00:00:00",
+                                     current_path=cur)
     assert len(results) >= 3
     assert _collect(current_prices(read_price_log(spark, slog))) == batch
-    again = run_ingest_stream(spark, inc, slog, sdead, ckpt, run_ts="2024-03-01 00:00:00")
+    assert _collect(read_current(spark, cur)) == batch
+    again = run_ingest_stream(spark, inc, slog, sdead, ckpt, run_ts="2024-03-01 00:00:00",
+                              current_path=cur)
     assert again == []
     assert _collect(current_prices(read_price_log(spark, slog))) == batch
