@@ -7,7 +7,8 @@ Jobs (fx_bars_wide = one bar per supplier and ship day of lineitem):
   track     track_index_performance over the stored composition, all dates
   changes   detect_index_changes over the stored composition, all dates
   rebuild   a second build run appended, then latest-version snapshot of every date
-  ingest    land grouped-daily payloads from events, batch ingest + dead letters, current view
+  ingest    land grouped-daily payloads from events, batch ingest + dead letters,
+            merged into the current price table (key-day partitions)
 Each job runs to completion (written or sunk to ``noop``); times are wall seconds.
 """
 
@@ -28,7 +29,7 @@ from indexforge.operators import construct as con  # noqa: E402
 from indexforge.operators import performance as perf  # noqa: E402
 from indexforge.operators import versions as ver  # noqa: E402
 from indexforge.plans.ingest import (  # noqa: E402
-    current_prices, ingest_daily, read_price_log, write_prices,
+    ingest_daily, read_current, write_prices,
 )
 from indexforge.session import build_session, scratch_path  # noqa: E402
 from indexforge.sinks.versioned import append_composition  # noqa: E402
@@ -82,8 +83,10 @@ def main():
         land = scratch_path(spark, "bench_landing")
         fx.land_bar_payloads(fx.ticks(spark, sf_dir), land)
         log, dead = scratch_path(spark, "bench_log"), scratch_path(spark, "bench_dead")
-        ingest_daily(spark, land, log, dead, run_ts="2024-03-01 00:00:00", load_id="bench")
-        _sink(current_prices(read_price_log(spark, log)))
+        current = scratch_path(spark, "bench_current")
+        ingest_daily(spark, land, log, dead, run_ts="2024-03-01 00:00:00", load_id="bench",
+                     current_path=current)
+        _sink(read_current(spark, current))
     timed("ingest", ingest)
 
     total = round(sum(v for k, v in times.items()), 3)

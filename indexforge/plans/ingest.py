@@ -153,8 +153,12 @@ def merge_into_current(spark: SparkSession, current_path: str, load: DataFrame,
                 .withColumn("key_date", epoch_ms_to_date("timestamp")))
     order = ["_rank", *LOAD_ORDER]
     pieces = incoming.withColumn("_rank", F.lit(1))
+    exists = True
     try:
         stored = spark.read.parquet(current_path)
+    except AnalysisException:
+        exists = False  # first load: no current table yet
+    if exists:
         days = incoming.select("key_date").distinct()
         old = (stored.join(broadcast_if_bounded(days), "key_date", "left_semi")
                .select(*cols, "key_date")
@@ -163,16 +167,17 @@ def merge_into_current(spark: SparkSession, current_path: str, load: DataFrame,
                .withColumn("source_file", F.lit(None).cast("string"))
                .withColumn("_pos", F.lit(None).cast("long")))
         pieces = old.unionByName(pieces)
-    except AnalysisException:
-        pass  # first load: no current table yet
+    # one row per key after the upsert, so its hash partitioning is already even
+    # (no hot group can survive it); sorting makes one file per key day and task
     merged = (_upsert(pieces, rule, order)
-              .withColumn("key_date", epoch_ms_to_date("timestamp")))
-    staging = scratch_path(spark, "prices_merge")
-    merged.write.parquet(staging)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (spark.read.parquet(staging).repartitionByRange(n, "key_date", "ticker")
-     .sortWithinPartitions("key_date", "ticker")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .withColumn("key_date", epoch_ms_to_date("timestamp"))
+              .sortWithinPartitions("key_date", "ticker"))
+    writer_opts = {"partitionOverwriteMode": "dynamic"}
+    if exists:
+        staging = scratch_path(spark, "prices_merge")
+        merged.write.parquet(staging)
+        merged = spark.read.parquet(staging)
+    (merged.write.mode("overwrite").options(**writer_opts)
      .partitionBy("key_date").parquet(current_path))
 
 
