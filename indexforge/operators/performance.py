@@ -25,26 +25,32 @@ PERFORMANCE_COLUMNS = ["date", "index_price", "daily_return", "index_type"]
 def pct_change(level: str, partition, order, fill_zero: bool = True) -> Column:
     """pandas ``pct_change()`` (pad fill) * 100 as a window expression.
 
-    * nulls are forward-filled first; a leading null has no previous value;
-    * no previous value, or previous 0 and current 0        -> 0 (null if not fill_zero);
-    * previous 0 and current non-zero                       -> +/- infinity;
-    * otherwise ``(current / previous - 1) * 100``.
+    * NaN counts as missing, like in pandas; missing values are forward-filled
+      first, and a leading missing value has no previous value;
+    * no previous value, or 0 / 0                        -> 0 (null if not fill_zero);
+    * previous 0 and current non-zero                    -> +/- infinity, sign by
+      IEEE division (a previous -0.0 flips it);
+    * otherwise ``(current / previous - 1) * 100`` (a NaN outcome counts as missing).
     """
     if isinstance(partition, str):
         partition = [partition]
     if isinstance(order, str):
         order = [order]
     w = Window.partitionBy(*partition).orderBy(*order)
-    filled = F.last(F.col(level), ignorenulls=True).over(
+    lv = F.when(F.isnan(F.col(level)), F.lit(None).cast("double")).otherwise(F.col(level))
+    filled = F.last(lv, ignorenulls=True).over(
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    # lag of the filled series = last non-null value strictly before this row
-    prev = F.last(F.col(level), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    # lag of the filled series = last non-missing value strictly before this row
+    prev = F.last(lv, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
     missing = F.lit(0.0) if fill_zero else F.lit(None).cast("double")
+    negative_zero = prev.cast("string") == F.lit("-0.0")
+    ratio = (filled / prev - F.lit(1.0)) * F.lit(100.0)
     return (F.when(prev.isNull() | filled.isNull(), missing)
             .when((prev == 0) & (filled == 0), missing)
-            .when((prev == 0) & (filled > 0), F.lit(float("inf")))
+            .when((prev == 0) & ((filled > 0) != negative_zero), F.lit(float("inf")))
             .when(prev == 0, F.lit(float("-inf")))
-            .otherwise((filled / prev - F.lit(1.0)) * F.lit(100.0)))
+            .when(F.isnan(ratio), missing)
+            .otherwise(ratio))
 
 
 def index_level(prices: DataFrame, weights: DataFrame, check_size: bool = True,

@@ -33,16 +33,21 @@ def _typed_select(schema, values: dict) -> str:
 
 
 def pct(level: str, part: str, order: str, fill_zero: bool = True) -> str:
-    """pandas pct_change (pad) * 100, fill 0 (or null) where undefined."""
+    """pandas pct_change (pad) * 100: NaN is missing, 0/0 and leading values
+    filled with 0 (or null), x/0 signed infinity, NaN outcomes filled."""
     w = f"PARTITION BY {part} ORDER BY {order}"
-    filled = f"last_value({level} IGNORE NULLS) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    prev = f"last_value({level} IGNORE NULLS) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    lv = f"CASE WHEN isnan({level}) THEN NULL ELSE {level} END"
+    filled = f"last_value({lv} IGNORE NULLS) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    prev = f"last_value({lv} IGNORE NULLS) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     miss = "CAST(0 AS DOUBLE)" if fill_zero else "CAST(NULL AS DOUBLE)"
+    ratio = f"(({filled}) / ({prev}) - 1) * 100"
     return (f"CASE WHEN ({prev}) IS NULL OR ({filled}) IS NULL THEN {miss} "
             f"WHEN ({prev}) = 0 AND ({filled}) = 0 THEN {miss} "
-            f"WHEN ({prev}) = 0 AND ({filled}) > 0 THEN CAST('inf' AS DOUBLE) "
+            f"WHEN ({prev}) = 0 AND (({filled}) > 0) <> (CAST(({prev}) AS VARCHAR) = '-0.0') "
+            f"THEN CAST('inf' AS DOUBLE) "
             f"WHEN ({prev}) = 0 THEN CAST('-inf' AS DOUBLE) "
-            f"ELSE (({filled}) / ({prev}) - 1) * 100 END")
+            f"WHEN isnan({ratio}) THEN {miss} "
+            f"ELSE {ratio} END")
 
 
 def build(bars: str, inst: str, n: int, where: str = "", types=INDEX_TYPES) -> str:
