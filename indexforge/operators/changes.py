@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from indexforge.constants import MEMBERSHIP_SEPARATOR
-from indexforge.operators.versions import _only, latest_weights, version_collapse_legacy
+from indexforge.operators.versions import restrict, latest_weights, version_collapse_legacy
 
 CHANGE_COLUMNS = ["date", "symbols", "prev_date", "prev_symbols", "index_type"]
 
@@ -41,7 +41,7 @@ def changed(symbols="symbols", prev="prev_symbols") -> Column:
 
 def _report(lagged: DataFrame, start, end) -> DataFrame:
     out = lagged.filter(F.coalesce(changed(), F.lit(False)))
-    out = _only(out, None, start=start, end=end)  # after the window, on purpose
+    out = restrict(out, None, start=start, end=end)  # after the window, on purpose
     return out.select(*CHANGE_COLUMNS)
 
 
@@ -66,6 +66,6 @@ def index_changes_legacy(composition: DataFrame, start=None, end=None,
                          index_type=None) -> DataFrame:
     """First-generation changes over the legacy collapse: a ticker with differing
     versions appears more than once in ``symbols``."""
-    members = version_collapse_legacy(_only(composition, index_type)).select(
+    members = version_collapse_legacy(restrict(composition, index_type)).select(
         "index_type", "date", "ticker")
     return _report(membership_lag(daily_membership(members)), start, end)

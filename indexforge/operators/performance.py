@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from indexforge.operators.joins import broadcast_if_bounded
 from indexforge.operators.versions import (
-    _only, latest_performance, latest_weights, performance_collapse_legacy,
+    restrict, latest_performance, latest_weights, performance_collapse_legacy,
     version_collapse_legacy,
 )
 
@@ -89,8 +89,8 @@ def track_index_performance(prices: DataFrame, composition: DataFrame, start=Non
     composition side of the (ticker, date) join and reaches both scans.
     """
     weights = latest_weights(composition, index_type, start, end)
-    bars = _only(prices, None, start=start, end=end)
-    scanned = _only(composition, index_type, start=start, end=end)  # dedup only removes rows
+    bars = restrict(prices, None, start=start, end=end)
+    scanned = restrict(composition, index_type, start=start, end=end)  # dedup only removes rows
     return daily_return(index_level(bars, weights, bound=scanned)).select(*PERFORMANCE_COLUMNS)
 
 
@@ -117,9 +117,9 @@ def index_level_legacy(prices: DataFrame, composition: DataFrame, start=None,
                        end=None, index_type=None) -> DataFrame:
     """First-generation performance: level over the legacy collapse (rows that
     differ between runs are all summed), return as in ``track_index_performance``."""
-    scanned = _only(composition, index_type, start=start, end=end)
+    scanned = restrict(composition, index_type, start=start, end=end)
     weights = version_collapse_legacy(scanned)
-    bars = _only(prices, None, start=start, end=end)
+    bars = restrict(prices, None, start=start, end=end)
     return daily_return(index_level(bars, weights, bound=scanned)).select(*PERFORMANCE_COLUMNS)
 
 
@@ -127,6 +127,6 @@ def performance_history_legacy(performance: DataFrame, start=None, end=None,
                                index_type=None) -> DataFrame:
     """First-generation history: legacy collapse for the range, return recomputed
     in (date, index_price) order with the first row left null."""
-    collapsed = performance_collapse_legacy(_only(performance, index_type, start=start, end=end))
+    collapsed = performance_collapse_legacy(restrict(performance, index_type, start=start, end=end))
     return (daily_return(collapsed, fill_zero=False, order=("date", "index_price"))
             .select("date", "index_price", "daily_return", "latest_update_time", "index_type"))

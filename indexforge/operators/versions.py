@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _only(df: DataFrame, index_type=None, date=None, start=None, end=None) -> DataFrame:
+def restrict(df: DataFrame, index_type=None, date=None, start=None, end=None) -> DataFrame:
+    """Filter a versioned table by index type, one date and/or a date range
+    (partition and Parquet-statistics filters)."""
     if index_type is not None:
         df = df.filter(F.col("index_type") == F.lit(index_type))
     if date is not None:
@@ -39,14 +41,14 @@ def latest_weights(composition: DataFrame, index_type=None, start=None,
     """Newest (date, ticker) row per index type.  Filters on the window's
     partition keys (index_type, date) are applied before ranking and reach the
     scan as partition filters."""
-    comp = _only(composition, index_type, start=start, end=end)
+    comp = restrict(composition, index_type, start=start, end=end)
     return latest_per(comp, ["index_type", "date", "ticker"])
 
 
 def composition_snapshot(composition: DataFrame, date=None, index_type=None) -> DataFrame:
     """Latest version per ticker for a date and index type, weight descending.
     With ``date=None`` / ``index_type=None`` all dates / types come out at once."""
-    snap = latest_weights(_only(composition, index_type, date))
+    snap = latest_weights(restrict(composition, index_type, date))
     return (snap.select("date", "ticker", "close_price", "weight", "market_cap", "index_type")
             .orderBy(F.col("index_type"), F.col("date"), F.col("weight").desc(),
                      F.col("ticker")))
@@ -67,7 +69,7 @@ def version_collapse_legacy(composition: DataFrame) -> DataFrame:
 def composition_snapshot_legacy(composition: DataFrame, date=None,
                                 index_type=None) -> DataFrame:
     """First-generation snapshot: legacy collapse for a date, market cap descending."""
-    snap = version_collapse_legacy(_only(composition, index_type, date))
+    snap = version_collapse_legacy(restrict(composition, index_type, date))
     return snap.orderBy("index_type", "date", F.col("market_cap").desc_nulls_last(), "ticker")
 
 
@@ -82,5 +84,5 @@ def performance_collapse_legacy(performance: DataFrame) -> DataFrame:
 def latest_performance(performance: DataFrame, start=None, end=None,
                        index_type=None) -> DataFrame:
     """Newest stored performance row per (index_type, date)."""
-    perf = _only(performance, index_type, start=start, end=end)
+    perf = restrict(performance, index_type, start=start, end=end)
     return latest_per(perf, ["index_type", "date"])

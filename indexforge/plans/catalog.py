@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from indexforge.constants import (
     DEFAULT_TOP_N, EQUAL_WEIGHTED, INDEX_TYPES, MARKET_CAP_WEIGHTED, SERVICE_TOP_N,
@@ -144,8 +145,8 @@ def _details_loads(spark, sf_dir):
     an upper-case name and no market (a whole-row replace must null it)."""
     first = fx.instruments(spark, sf_dir)
     c = fx.table(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == REDELIVERED_SEGMENT)
-    second = fx._as_details(c, {
-        "ticker": fx._ticker("U", "c_custkey"),
+    second = fx.as_details(c, {
+        "ticker": fx.ticker_of("U", "c_custkey"),
         "active": F.lit(True),
         "name": F.upper("c_name"),
         "market_cap": F.when(F.col("c_acctbal") > 0, F.col("c_acctbal") * F.lit(2e6)),
@@ -261,8 +262,7 @@ def export_composition(spark, sf_dir):
     base = scratch_path(spark, "csv")
     path = exp.export_composition(fx.composition(spark, sf_dir), base, SNAPSHOT_DATE,
                                   MARKET_CAP_WEIGHTED)
-    schema = INDEX_COMPOSITION.__class__(
-        [f for f in INDEX_COMPOSITION.fields if f.name != "update_time"])
+    schema = StructType([f for f in INDEX_COMPOSITION.fields if f.name != "update_time"])
     return exp.read_csv(spark, path, schema)
 
 
@@ -572,7 +572,7 @@ def detect_index_changes(spark, sf_dir):
 
 @query("composition_get_or_build")
 def composition_get_or_build(spark, sf_dir):
-    stored = ver._only(fx.composition(spark, sf_dir), end=STORED_UNTIL)
+    stored = ver.restrict(fx.composition(spark, sf_dir), end=STORED_UNTIL)
     return views.composition_get_or_build(stored, fx.bars(spark, sf_dir),
                                           fx.instruments(spark, sf_dir), SERVICE_TOP_N)
 

@@ -10,7 +10,7 @@ from indexforge.functions.calendar import date_text
 from indexforge.operators.construct import COMPOSITION_COLUMNS, build_index
 from indexforge.operators.joins import broadcast_if_bounded
 from indexforge.operators.performance import performance_history
-from indexforge.operators.versions import _only, composition_snapshot
+from indexforge.operators.versions import restrict, composition_snapshot
 
 
 def composition_get_or_build(stored: DataFrame, prices: DataFrame, instruments: DataFrame,
@@ -21,7 +21,7 @@ def composition_get_or_build(stored: DataFrame, prices: DataFrame, instruments:
     the missing pairs with an anti-join on (index_type, date)."""
     if isinstance(index_types, str):
         index_types = (index_types,)
-    stored = _only(stored, start=start, end=end).filter(F.col("index_type").isin(list(index_types)))
+    stored = restrict(stored, start=start, end=end).filter(F.col("index_type").isin(list(index_types)))
     snap = composition_snapshot(stored).select(*COMPOSITION_COLUMNS)
     # (index_type, date) pairs already stored: at most days x index types rows
     have = broadcast_if_bounded(stored.select("index_type", "date").distinct())

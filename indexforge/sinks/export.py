@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from indexforge.functions.scalar import slug
-from indexforge.operators.versions import _only, composition_snapshot
+from indexforge.operators.versions import restrict, composition_snapshot
 
 
 def _slug_text(s: str) -> str:
@@ -32,7 +32,7 @@ def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
 
 def export_performance(performance: DataFrame, base: str, index_type: str, start, end) -> str:
     """All stored versions in the range (no dedup)."""
-    df = _only(performance, index_type, start=start, end=end)
+    df = restrict(performance, index_type, start=start, end=end)
     name = f"performance_{_slug_text(index_type)}_{start}_{end}.csv"
     return write_csv(df, f"{base.rstrip('/')}/{name}")
 

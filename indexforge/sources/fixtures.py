@@ -39,26 +39,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _ticker(prefix: str, key) -> Column:
+def ticker_of(prefix: str, key) -> Column:
     k = F.col(key) if isinstance(key, str) else key
     return F.format_string(f"{prefix}%06d", k)
 
 
-def _as_details(df: DataFrame, values: dict) -> DataFrame:
+def as_details(df: DataFrame, values: dict) -> DataFrame:
     return df.select(*[
         (values[f.name] if f.name in values else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in TICKER_DETAILS.fields])
 
 
-def _as_prices(df: DataFrame, values: dict) -> DataFrame:
+def as_prices(df: DataFrame, values: dict) -> DataFrame:
     return df.select(*[values[f.name].cast(f.dataType).alias(f.name) for f in STOCK_PRICES.fields])
 
 
 def instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """fx_instruments: one instrument per customer; cap = balance * 1e6 when positive."""
     c = table(spark, sf_dir, "customer")
-    return _as_details(c, {
-        "ticker": _ticker("U", "c_custkey"),
+    return as_details(c, {
+        "ticker": ticker_of("U", "c_custkey"),
         "active": F.col("c_custkey") % 10 != 0,
         "name": F.col("c_name"),
         "market": F.col("c_mktsegment"),
@@ -69,8 +69,8 @@ def instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def instruments_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """fx_instruments_wide: one instrument per supplier."""
     s = table(spark, sf_dir, "supplier")
-    return _as_details(s, {
-        "ticker": _ticker("S", "s_suppkey"),
+    return as_details(s, {
+        "ticker": ticker_of("S", "s_suppkey"),
         "active": F.lit(True),
         "name": F.col("s_name"),
         "market_cap": F.when(F.col("s_acctbal") > 0, F.col("s_acctbal") * F.lit(1e6)),
@@ -87,8 +87,8 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.min_by("value", "_ord").alias("open"), F.max("value").alias("high"),
         F.min("value").alias("low"), F.max_by("value", "_ord").alias("close"),
         F.count(F.lit(1)).alias("_n"), F.avg("value").alias("vwap"))
-    return _as_prices(g, {
-        "ticker": _ticker("U", "user_id"), "timestamp": date_to_epoch_ms("date"),
+    return as_prices(g, {
+        "ticker": ticker_of("U", "user_id"), "timestamp": date_to_epoch_ms("date"),
         "date": F.col("date"), "open": F.col("open"), "high": F.col("high"),
         "low": F.col("low"), "close": F.col("close"), "volume": F.col("_n"),
         "transactions": F.col("_n"), "volume_weighted_avg": F.col("vwap"),
@@ -108,8 +108,8 @@ def bars_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.min("price").alias("low"), F.max_by("price", "_ord").alias("close"),
         F.sum("l_quantity").alias("qty"), F.count(F.lit(1)).alias("_n"),
         F.sum("l_extendedprice").alias("amount"))
-    return _as_prices(g, {
-        "ticker": _ticker("S", "l_suppkey"), "timestamp": date_to_epoch_ms("date"),
+    return as_prices(g, {
+        "ticker": ticker_of("S", "l_suppkey"), "timestamp": date_to_epoch_ms("date"),
         "date": F.col("date"), "open": F.col("open"), "high": F.col("high"),
         "low": F.col("low"), "close": F.col("close"), "volume": F.col("qty"),
         "transactions": F.col("_n"),
@@ -160,7 +160,7 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     return ev.select(
         F.to_date("ts").alias("date"), "event_id",
-        F.when(F.col("event_type") != "error", _ticker("U", "user_id")).alias("ticker"),
+        F.when(F.col("event_type") != "error", ticker_of("U", "user_id")).alias("ticker"),
         ntz_to_epoch_ms("ts").alias("epoch_ms"),
         F.col("value").alias("o"), F.col("value").alias("h"), F.col("value").alias("l"),
         F.col("value").alias("c"), F.lit(1.0).alias("v"), F.lit(1).alias("n"),
@@ -194,7 +194,7 @@ def land_detail_payloads(spark: SparkSession, sf_dir: str, path: str) -> None:
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")  # 25 rows by definition of the schema
     j = c.join(n, c["c_custkey"].isNotNull() & (c["c_nationkey"] == n["n_nationkey"]), "left")
-    ticker = _ticker("U", "c_custkey")
+    ticker = ticker_of("U", "c_custkey")
     address = F.when(F.col("c_custkey") % 7 != 0, F.struct(
         F.concat(F.col("c_custkey").cast("string"), F.lit(" Market St")).alias("address1"),
         F.col("n_name").alias("city")))
@@ -217,7 +217,7 @@ def land_roster(spark: SparkSession, sf_dir: str, path: str,
     c = table(spark, sf_dir, "customer")
     pages = (c.groupBy(F.floor(F.col("c_custkey") / F.lit(page_rows)).alias("_page"))
              .agg(F.collect_list(F.struct(
-                 _ticker("U", "c_custkey").alias("ticker"),
+                 ticker_of("U", "c_custkey").alias("ticker"),
                  F.lit(ROSTER_MARKET).alias("market"),
                  (F.col("c_custkey") % 10 != 0).alias("active"))).alias("results")))
     pages.select("results").write.mode("errorifexists").json(path)
@@ -226,7 +226,7 @@ def land_roster(spark: SparkSession, sf_dir: str, path: str,
 def stored_tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored instrument set of the roster fixture: tickers seen in events."""
     ev = table(spark, sf_dir, "events")
-    return ev.select(_ticker("U", "user_id").alias("ticker")).distinct()
+    return ev.select(ticker_of("U", "user_id").alias("ticker")).distinct()
 
 
 def upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
