@@ -53,6 +53,21 @@ def pct_change(level: str, partition, order, fill_zero: bool = True) -> Column:
             .otherwise(ratio))
 
 
+def ordered_sum(col: Column) -> Column:
+    """Sum of a group's values added in ascending order.
+
+    Floating-point addition depends on order, and a plain ``sum`` adds in
+    whatever order partitions arrive, so a rerun over the same rows could
+    differ in the last bit.  Index levels must not: reruns are collapsed by
+    comparing ``index_price`` (first-generation history), and a level must be
+    reproducible on any cluster layout.  Used where a group is one date's index
+    members (bounded by the index size), never over raw bar volume.
+    """
+    terms = F.array_sort(F.collect_list(col))
+    return F.when(F.size(terms) > 0,
+                  F.aggregate(terms, F.lit(0.0).cast("double"), lambda acc, x: acc + x))
+
+
 def index_level(prices: DataFrame, weights: DataFrame, check_size: bool = True,
                 bound: DataFrame | None = None) -> DataFrame:
     """``SUM(weight * close)`` per (index_type, date) over bars joined to weights
@@ -63,7 +78,7 @@ def index_level(prices: DataFrame, weights: DataFrame, check_size: bool = True,
     is then never shuffled for the join.  Above the bound it falls back to a
     shuffle join.  ``bound``: a frame with at least as many rows as ``weights``
     (the composition scan before dedup) that is cheaper to count.  The sum is
-    planned as partial + final aggregate.
+    ``ordered_sum`` (reproducible to the bit); its group is one date's members.
     """
     px = prices.select("ticker", "date", "close")
     w = weights.select("index_type", "date", "ticker", "weight")
@@ -71,7 +86,7 @@ def index_level(prices: DataFrame, weights: DataFrame, check_size: bool = True,
         w = broadcast_if_bounded(w, bound=bound)
     return (px.join(w, ["ticker", "date"])
             .groupBy("index_type", "date")
-            .agg(F.sum(F.col("weight") * F.col("close")).alias("index_price")))
+            .agg(ordered_sum(F.col("weight") * F.col("close")).alias("index_price")))
 
 
 def daily_return(levels: DataFrame, fill_zero: bool = True,

@@ -71,6 +71,11 @@ def build(bars: str, inst: str, n: int, where: str = "", types=INDEX_TYPES) -> s
     ) top CROSS JOIN (VALUES {type_rows}) types(index_type)"""
 
 
+def osum(x: str) -> str:
+    """Sum added in ascending value order (reproducible to the bit)."""
+    return f"list_reduce(list_sort(list({x}) FILTER (WHERE ({x}) IS NOT NULL)), lambda a, b: a + b)"
+
+
 def latest(src: str, keys: str, extra_where: str = "") -> str:
     return f"""
     SELECT * EXCLUDE (rn) FROM (
@@ -135,8 +140,8 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
       SELECT *, {_lit_ts(fx.RUN1_TS)} AS update_time FROM fx_run1
       UNION ALL SELECT *, {_lit_ts(fx.RUN2_TS)} AS update_time FROM fx_run2""", ("fx_run1", "fx_run2")),
     "fx_latest": (latest("fx_composition", "index_type, date, ticker"), ("fx_composition",)),
-    "fx_levels": ("""
-      SELECT l.index_type, b.date, sum(l.weight * b.close) AS index_price
+    "fx_levels": (f"""
+      SELECT l.index_type, b.date, {osum('l.weight * b.close')} AS index_price
       FROM fx_bars b JOIN fx_latest l ON b.ticker = l.ticker AND b.date = l.date
       GROUP BY l.index_type, b.date""", ("fx_bars", "fx_latest")),
     "fx_performance": (f"""
@@ -367,8 +372,9 @@ ORACLE: dict[str, str] = {
     "constituent_count": sql("SELECT index_type, date, count(*) AS constituents FROM fx_run2 "
                              "GROUP BY index_type, date", "fx_run2"),
     "return_summary": sql(_summary(_tracked()), "fx_levels"),
-    "composition_insights": sql("SELECT index_type, date, count(*) AS constituents, avg(close_price) AS mean_close "
-                                "FROM fx_latest GROUP BY index_type, date", "fx_latest"),
+    "composition_insights": sql(f"SELECT index_type, date, count(*) AS constituents, "
+                                f"{osum('close_price')} / count(close_price) AS mean_close "
+                                f"FROM fx_latest GROUP BY index_type, date", "fx_latest"),
     "change_event_count": sql(f"SELECT index_type, count(*) AS change_days FROM fx_lagged WHERE {_CHANGED} "
                               f"GROUP BY index_type", "fx_lagged"),
     "version_collapse_legacy": sql(_legacy_collapse("fx_composition"), "fx_composition"),
@@ -436,7 +442,7 @@ ORACLE: dict[str, str] = {
         f"WHERE {_CHANGED} AND {_between(R0, R1)}", "fx_composition"),
     "index_level_legacy": sql(
         f"SELECT date, index_price, {pct('index_price', 'index_type', 'date')} AS daily_return, index_type FROM "
-        f"(SELECT c.index_type, b.date, sum(c.weight * b.close) AS index_price FROM fx_bars b JOIN "
+        f"(SELECT c.index_type, b.date, {osum('c.weight * b.close')} AS index_price FROM fx_bars b JOIN "
         f"({_legacy_collapse('(SELECT * FROM fx_composition WHERE ' + _between(R0, R1) + ')')}) c "
         f"ON b.ticker = c.ticker AND b.date = c.date WHERE {_between(R0, R1, 'b.date')} "
         f"GROUP BY c.index_type, b.date)", "fx_bars", "fx_composition"),

@@ -18,7 +18,8 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def _norm(v, digits: int):
+def _norm(v, digits):
+    """digits=None compares floats bit for bit."""
     if v is None:
         return None
     if hasattr(v, "item") and not isinstance(v, (str, bytes)):
@@ -31,6 +32,8 @@ def _norm(v, digits: int):
             return "nan"
         if math.isinf(v):
             return "inf" if v > 0 else "-inf"
+        if digits is None:
+            return float.hex(v)
         r = round(v, digits)
         return 0.0 if r == 0 else r
     if isinstance(v, bool):

@@ -1,6 +1,8 @@
 """CLI: run every registered query against its DuckDB oracle.
 
-    python tests/run_oracle.py [sf_dir] [key ...]
+    python tests/run_oracle.py [--exact] [sf_dir] [key ...]
+
+``--exact`` compares floats bit for bit instead of rounded to 6 places.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from indexforge.session import build_session  # noqa: E402
 
 
 def main(argv):
+    exact = "--exact" in argv
+    argv = [a for a in argv if a != "--exact"]
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     keys = argv[2:] or list(entry.queries())
     spark = build_session("local[8]", shuffle_partitions=8)
@@ -29,7 +33,7 @@ def main(argv):
     for k in keys:
         t0 = time.time()
         try:
-            ok, msg = compare(qs[k](spark, sf_dir), con, oracle[k])
+            ok, msg = compare(qs[k](spark, sf_dir), con, oracle[k], digits=None if exact else 6)
         except Exception as e:  # noqa: BLE001
             ok, msg = False, f"ERROR {type(e).__name__}: {str(e)[:300]}"
             traceback.print_exc(limit=3, file=sys.stderr)
