@@ -76,3 +76,16 @@ def test_signed_zero_and_nan_follow_pandas(spark):
     ours = [r.daily_return for r in perf.daily_return(df).orderBy("date").collect()]
     want = _pandas_returns(vals)
     assert all(_same(a, b) for a, b in zip(ours, want)), (ours, want)
+
+
+def test_index_level_is_reproducible_across_layouts(spark):
+    from indexforge.operators import versions as ver
+
+    weights = ver.latest_weights(fx.composition(spark, SF_SMALL))
+    bars = fx.bars(spark, SF_SMALL)
+    a = {(r.index_type, r.date): r.index_price.hex()
+         for r in perf.index_level(bars.repartition(3), weights).collect()}
+    b = {(r.index_type, r.date): r.index_price.hex()
+         for r in perf.index_level(bars.repartition(11, "ticker").sortWithinPartitions("close"),
+                                   weights.repartition(5)).collect()}
+    assert a == b
