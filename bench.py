@@ -44,7 +44,7 @@ def _sink(df):
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = build_session(f"local[{cpus}]", "indexforge-bench", shuffle_partitions=cpus * 2,
+    spark = build_session(f"local[{cpus}]", "indexforge-bench", shuffle_partitions=cpus,
                           extra={"spark.driver.memory": "16g"})
     sf = sf_dir.rstrip("/").rsplit("sf", 1)[-1]
     times = {}
