@@ -13,13 +13,14 @@ import datetime as _dt
 from functools import reduce
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from indexforge.operators.joins import broadcast_if_bounded
 from indexforge.schemas import (
-    INDEX_CHANGES, INDEX_COMPOSITION, INDEX_COMPOSITION_KEY, INDEX_PERFORMANCE,
-    not_null_columns,
+    INDEX_CHANGES, INDEX_CHANGES_KEY, INDEX_COMPOSITION, INDEX_COMPOSITION_KEY,
+    INDEX_PERFORMANCE, INDEX_PERFORMANCE_KEY, not_null_columns,
 )
 
 
@@ -44,27 +45,45 @@ def conflict_skip(incoming: DataFrame, stored: DataFrame | None,
                   keys=INDEX_COMPOSITION_KEY, run_ts=None) -> DataFrame:
     """``ON CONFLICT (keys) DO NOTHING``: drop keys repeated in the batch and keys
     already stored.  ``update_time`` is part of the key, so only stored rows of
-    the incoming run stamps can conflict: with ``run_ts`` known that is a filter
-    pushed to the stored scan; otherwise the stamp set is broadcast (never
-    shuffled on -- one stamp would put the whole run in one task)."""
+    the incoming run stamps can conflict: with ``run_ts`` known they are found by
+    a filter pushed to the stored scan (at most one run's rows, broadcast after
+    the size check); otherwise the stamp set is broadcast -- never shuffled on,
+    as one stamp would put the whole run in one task."""
     keys = list(keys)
     out = incoming.dropDuplicates(keys)
     if stored is None:
         return out
     if "update_time" in keys:
         if run_ts is not None:
-            stored = stored.filter(F.col("update_time") == run_timestamp(run_ts))
-        else:
-            stamps = broadcast_if_bounded(incoming.select("update_time").distinct())
-            stored = stored.join(stamps, "update_time", "left_semi")
+            same_run = stored.filter(F.col("update_time") == run_timestamp(run_ts)).select(*keys)
+            return out.join(broadcast_if_bounded(same_run), keys, "left_anti")
+        stamps = broadcast_if_bounded(incoming.select("update_time").distinct())
+        stored = stored.join(stamps, "update_time", "left_semi")
     return out.join(stored.select(*keys), keys, "left_anti")
 
 
-def _append(df: DataFrame, path: str, schema, partition_by=("index_type",),
-            sort_by=("date",), dead_path: str | None = None) -> DataFrame:
-    """Append rows that satisfy the NOT NULL rules; the others are returned and,
-    with ``dead_path``, written there as JSON lines (one folder per run)."""
-    rows = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+def _existing(spark, path: str, schema) -> DataFrame | None:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException:
+        return None
+
+
+def _append(df: DataFrame, path: str, schema, keys, run_ts, partition_by=("index_type",),
+            sort_by=("date",), dead_path: str | None = None,
+            stored: DataFrame | None = None) -> DataFrame:
+    """Stamp, skip conflicts, append rows that satisfy the NOT NULL rules.
+
+    Conflicts are checked against the table at ``path`` itself (or ``stored``),
+    so appending the same run again -- e.g. a retried job -- adds nothing.
+    Rows violating NOT NULL are returned and, with ``dead_path``, written there
+    as JSON lines (one folder per run).
+    """
+    spark = df.sparkSession
+    if stored is None:
+        stored = _existing(spark, path, schema)
+    rows = conflict_skip(stamp(df, run_ts), stored, keys, run_ts=run_ts)
+    rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
     if dead_path:
         # two writes from one computation of the run (a run is N x days rows)
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
@@ -82,13 +101,13 @@ def append_composition(df: DataFrame, path: str, run_ts, stored: DataFrame | Non
                        dead_path: str | None = None) -> DataFrame:
     """Append a run of composition rows; rows rejected by NOT NULL (e.g. a null
     market-cap weight when the selected caps sum to 0) are returned / dead-lettered."""
-    return _append(conflict_skip(stamp(df, run_ts), stored, run_ts=run_ts), path, INDEX_COMPOSITION,
-                   dead_path=dead_path)
+    return _append(df, path, INDEX_COMPOSITION, INDEX_COMPOSITION_KEY, run_ts,
+                   dead_path=dead_path, stored=stored)
 
 
 def append_performance(df: DataFrame, path: str, run_ts, dead_path: str | None = None) -> DataFrame:
-    return _append(stamp(df, run_ts), path, INDEX_PERFORMANCE, dead_path=dead_path)
+    return _append(df, path, INDEX_PERFORMANCE, INDEX_PERFORMANCE_KEY, run_ts, dead_path=dead_path)
 
 
 def append_changes(df: DataFrame, path: str, run_ts, dead_path: str | None = None) -> DataFrame:
-    return _append(stamp(df, run_ts), path, INDEX_CHANGES, dead_path=dead_path)
+    return _append(df, path, INDEX_CHANGES, INDEX_CHANGES_KEY, run_ts, dead_path=dead_path)

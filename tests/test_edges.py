@@ -249,3 +249,24 @@ def test_zero_cap_total_weight_is_rejected_on_append(spark, scratch):
     stored = scan_table(spark, path, "index_composition")
     assert stored.count() == 2 and {r.index_type for r in stored.collect()} == {EQUAL_WEIGHTED}
     assert spark.read.text(dead).count() == 2
+
+
+def test_reappending_a_run_adds_nothing(spark, scratch):
+    from indexforge.sinks.versioned import append_composition, append_performance
+    from indexforge.sources.tables import scan_table
+
+    prices = spark.createDataFrame([("A", 0, D(2024, 1, 1), 10.0), ("B", 0, D(2024, 1, 1), 11.0)],
+                                   "ticker string, timestamp bigint, date date, close double")
+    inst = spark.createDataFrame([("A", 2.0), ("B", 1.0)], "ticker string, market_cap double")
+    built = con.build_index(prices, inst, 5)
+    path = scratch("comp")
+    for _ in range(2):
+        append_composition(built, path, "2024-02-01 00:00:00")
+    assert scan_table(spark, path, "index_composition").count() == 4
+    append_composition(built, path, "2024-02-02 00:00:00")
+    assert scan_table(spark, path, "index_composition").count() == 8
+    perf_rows = perf.track_index_performance(prices, scan_table(spark, path, "index_composition"))
+    ppath = scratch("perf")
+    for _ in range(2):
+        append_performance(perf_rows, ppath, "2024-02-03 00:00:00")
+    assert scan_table(spark, ppath, "index_performance").count() == 2
