@@ -270,3 +270,17 @@ def test_reappending_a_run_adds_nothing(spark, scratch):
     for _ in range(2):
         append_performance(perf_rows, ppath, "2024-02-03 00:00:00")
     assert scan_table(spark, ppath, "index_performance").count() == 2
+
+
+def test_dates_do_not_depend_on_session_time_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        df = spark.createDataFrame([(1672531199999,)], "t bigint").select(
+            cal.epoch_ms_to_date("t").alias("d"),
+            cal.date_to_epoch_ms(cal.epoch_ms_to_date("t")).alias("m"),
+            cal.ntz_to_epoch_ms(F.lit("2023-01-01 00:00:00.5").cast("timestamp_ntz")).alias("n"))
+        r = df.collect()[0]
+        assert (r.d, r.m, r.n) == (D(2022, 12, 31), 1672444800000, 1672531200500)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
