@@ -28,8 +28,7 @@ from indexforge.operators.insights import composition_insights as _insights
 from indexforge.operators.upsert import upsert_partial, upsert_replace
 from indexforge.plans import views
 from indexforge.plans.ingest import (
-    current_prices, ingest_counts as _ingest_counts, ingest_daily as _ingest_daily,
-    read_current, read_price_log,
+    ingest_counts as _ingest_counts, ingest_daily as _ingest_daily, read_current,
 )
 from indexforge.schemas import (
     INDEX_COMPOSITION, INDEX_PERFORMANCE, STOCK_PRICES, TICKER_DETAILS,
@@ -38,7 +37,7 @@ from indexforge.session import scratch_path
 from indexforge.sinks import export as exp
 from indexforge.sinks.dead_letters import read_dead_letters
 from indexforge.sinks.versioned import (
-    append_changes, append_composition, append_performance, conflict_skip, stamp,
+    append_changes, append_composition, append_performance, stamp,
 )
 from indexforge.sources import fixtures as fx
 from indexforge.sources import landing
