@@ -45,13 +45,19 @@ def latest_weights(composition: DataFrame, index_type=None, start=None,
     return latest_per(comp, ["index_type", "date", "ticker"])
 
 
-def composition_snapshot(composition: DataFrame, date=None, index_type=None) -> DataFrame:
-    """Latest version per ticker for a date and index type, weight descending.
-    With ``date=None`` / ``index_type=None`` all dates / types come out at once."""
+def snapshot_rows(composition: DataFrame, date=None, index_type=None) -> DataFrame:
+    """Latest version per ticker for a date and index type (all when None), unsorted:
+    the form to aggregate or combine further without a global sort."""
     snap = latest_weights(restrict(composition, index_type, date))
-    return (snap.select("date", "ticker", "close_price", "weight", "market_cap", "index_type")
-            .orderBy(F.col("index_type"), F.col("date"), F.col("weight").desc(),
-                     F.col("ticker")))
+    return snap.select("date", "ticker", "close_price", "weight", "market_cap", "index_type")
+
+
+def composition_snapshot(composition: DataFrame, date=None, index_type=None) -> DataFrame:
+    """Latest version per ticker for a date and index type, weight descending
+    (display order).  With ``date=None`` / ``index_type=None`` all dates / types
+    come out at once."""
+    return snapshot_rows(composition, date, index_type).orderBy(
+        F.col("index_type"), F.col("date"), F.col("weight").desc(), F.col("ticker"))
 
 
 def version_collapse_legacy(composition: DataFrame) -> DataFrame:

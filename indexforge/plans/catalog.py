@@ -413,7 +413,7 @@ def return_summary(spark, sf_dir):
 
 @query("composition_insights")
 def composition_insights(spark, sf_dir):
-    return _insights(ver.composition_snapshot(fx.composition(spark, sf_dir)))
+    return _insights(ver.snapshot_rows(fx.composition(spark, sf_dir)))
 
 
 @query("change_event_count")

@@ -10,7 +10,7 @@ from indexforge.functions.calendar import date_text
 from indexforge.operators.construct import COMPOSITION_COLUMNS, build_index
 from indexforge.operators.joins import broadcast_if_bounded
 from indexforge.operators.performance import performance_history
-from indexforge.operators.versions import restrict, composition_snapshot
+from indexforge.operators.versions import composition_snapshot, restrict, snapshot_rows
 
 
 def composition_get_or_build(stored: DataFrame, prices: DataFrame, instruments: DataFrame,
@@ -22,7 +22,7 @@ def composition_get_or_build(stored: DataFrame, prices: DataFrame, instruments:
     if isinstance(index_types, str):
         index_types = (index_types,)
     stored = restrict(stored, start=start, end=end).filter(F.col("index_type").isin(list(index_types)))
-    snap = composition_snapshot(stored).select(*COMPOSITION_COLUMNS)
+    snap = snapshot_rows(stored).select(*COMPOSITION_COLUMNS)
     # (index_type, date) pairs already stored: at most days x index types rows
     have = broadcast_if_bounded(stored.select("index_type", "date").distinct())
     complete = (have.groupBy("date").agg(F.count(F.lit(1)).alias("_k"))
