@@ -50,7 +50,12 @@ def conflict_skip(incoming: DataFrame, stored: DataFrame | None,
     the size check); otherwise the stamp set is broadcast -- never shuffled on,
     as one stamp would put the whole run in one task."""
     keys = list(keys)
-    out = incoming.dropDuplicates(keys)
+    # one row per key; when a run repeats a key (two bars of a ticker on one day)
+    # the kept row is the smallest of the rest of the row, so reruns agree
+    rest = [c for c in incoming.columns if c not in keys]
+    out = (incoming.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"))
+           .select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])) if rest \
+        else incoming.dropDuplicates(keys)
     if stored is None:
         return out
     if "update_time" in keys:

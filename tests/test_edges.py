@@ -284,3 +284,12 @@ def test_dates_do_not_depend_on_session_time_zone(spark):
         assert (r.d, r.m, r.n) == (D(2022, 12, 31), 1672444800000, 1672531200500)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_conflict_skip_keeps_a_deterministic_row(spark):
+    from indexforge.sinks.versioned import conflict_skip, stamp
+
+    rows = _comp(spark, [(D(2024, 1, 1), "A", 11.0, 0.5, 1.0, EQUAL_WEIGHTED, None),
+                         (D(2024, 1, 1), "A", 10.0, 0.5, 1.0, EQUAL_WEIGHTED, None)]).drop("update_time")
+    out = conflict_skip(stamp(rows, "2024-02-01 00:00:00"), None).collect()
+    assert len(out) == 1 and out[0].close_price == 10.0
