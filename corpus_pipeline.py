@@ -9,15 +9,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from indexforge.llm import curriculum, decontam, line_dedup
+from indexforge.llm import curriculum, decontam, line_dedup, parity_join, quality_cnn
 from indexforge.llm.text import read_table, stored
 
 
+def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 1: documents scored under 0.3 go.  Learned from the labels outside fold 0 of 5."""
+    net = quality_cnn.train(docs, read_table(spark, sf_dir, "labels"))
+    return quality_cnn.filter_quality(docs, net, least=0.3)
+
+
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: lines over a source's boilerplate ratio leave the text; documents stay."""
     return line_dedup.drop_boilerplate(docs).drop("__dropped").select(*docs.columns)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 2: of each component of near copies the document with the smallest id stays."""
+    return parity_join.drop_near_copies(docs).select(*docs.columns)
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: documents that hold a benchmark window go."""
     return decontam.decontaminate(docs, read_table(spark, sf_dir, "benchmark")).select(*docs.columns)
@@ -29,7 +40,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality", drop_low_quality),
     ("line_dedup", drop_boilerplate_lines),
+    ("near_copies", drop_near_copies),
     ("decontamination", drop_contaminated),
     ("mix", mix),
 ]

@@ -5,8 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indexforge.llm import curriculum, decontam, line_dedup, line_rules, secrets, url_markov
-from indexforge.llm.text import read_table
+from indexforge.llm import (
+    curriculum, decontam, line_dedup, line_rules, parity_join, quality_cnn, secrets, suffix_dedup,
+    toxicity, url_markov,
+)
+from indexforge.llm.text import fold_bucket, read_table
+
+
+def _judged(scores: DataFrame, folds: int, held_out: int, least: float) -> DataFrame:
+    return scores.select("doc_id", (fold_bucket(F.col("doc_id"), folds) == held_out).alias("held_out"), "score",
+                         (F.col("score") >= least).cast("int").alias("predicted"))
+
+
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    net = quality_cnn.train(docs, read_table(spark, sf_dir, "labels"), folds=5, held_out=0)
+    return _judged(quality_cnn.score_quality(docs, net), 5, 0, 0.3)
+
+
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.near_components(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id")
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"), folds=3, held_out=1)
+    return _judged(toxicity.score_toxicity(docs, model), 3, 1, 0.7)
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +61,11 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curriculum.mix_sources(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "positions")
@@ -48,10 +78,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
+    "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_secret_scan": op3_secret_scan,
+    "op4_toxicity": op4_toxicity,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_quality_rules": op6_quality_rules,
     "op7_url_filter": op7_url_filter,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_mix_sources": op9_mix_sources,
     "op10_line_dedup": op10_line_dedup,
 }
