@@ -12,7 +12,6 @@ INDEX_TYPES = (EQUAL_WEIGHTED, MARKET_CAP_WEIGHTED)
 DEFAULT_TOP_N = 100            # index size of the monolithic generation
 SERVICE_TOP_N = 5              # index size of the service generation
 DEFAULT_WINDOW_DAYS = 30       # default reporting window (days before as_of)
-DEFAULT_ROSTER_LIMIT = 1000    # roster size requested from the market API
 DEFAULT_PREVIEW_ROWS = 10      # preview helpers
 DEFAULT_MISSING_BATCH = 50     # profiles fetched per missing-symbol batch
 ROSTER_MARKET = "stocks"       # roster filter market=stocks, active=true

@@ -1,9 +1,9 @@
 """Membership per day and the days on which it changes.
 
 Membership of a date is the ticker-sorted, comma-separated list of its latest
-members.  The previous snapshot is taken with ``lag`` over **all** dates of the
-index and the date filter is applied afterwards, so the first reported day can
-point back to a day before the window.  A ``listagg`` group holds one date's
+members.  The previous snapshot is taken with ``lag`` before the date filter is
+applied, over a history that reaches back to the last date before the window, so the
+first reported day can point to it.  A ``listagg`` group holds one date's
 members, bounded by the index size of the runs, not by the bar volume.
 """
 
@@ -45,10 +45,24 @@ def _report(lagged: DataFrame, start, end) -> DataFrame:
     return out.select(*CHANGE_COLUMNS)
 
 
+def _reported_history(composition: DataFrame, start, end, index_type) -> DataFrame:
+    """The dates a report can look at: none after ``end``, and before ``start`` only those
+    from the last earlier date on (of the index type where that is earliest).  ``lag``
+    looks back one date, so the rest cannot matter; both bounds reach the scan."""
+    out = restrict(composition, index_type, end=end)
+    if start is None:
+        return out
+    before = restrict(composition, index_type).filter(F.col("date") < F.lit(str(start)).cast("date"))
+    last = before.groupBy("index_type").agg(F.max("date").alias("d"))
+    floor = last.agg(F.coalesce(F.min("d"), F.lit(str(start)).cast("date")).alias("d")).scalar()
+    return out.filter(F.col("date") >= floor)
+
+
 def detect_index_changes(composition: DataFrame, start=None, end=None,
                          index_type=None) -> DataFrame:
     """(date, symbols, prev_date, prev_symbols, index_type) for change days in range."""
-    members = latest_weights(composition, index_type).select("index_type", "date", "ticker")
+    history = _reported_history(composition, start, end, index_type)
+    members = latest_weights(history).select("index_type", "date", "ticker")
     return _report(membership_lag(daily_membership(members)), start, end)
 
 
@@ -66,6 +80,6 @@ def index_changes_legacy(composition: DataFrame, start=None, end=None,
                          index_type=None) -> DataFrame:
     """First-generation changes over the legacy collapse: a ticker with differing
     versions appears more than once in ``symbols``."""
-    members = version_collapse_legacy(restrict(composition, index_type)).select(
+    members = version_collapse_legacy(_reported_history(composition, start, end, index_type)).select(
         "index_type", "date", "ticker")
     return _report(membership_lag(daily_membership(members)), start, end)

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from indexforge.constants import EQUAL_WEIGHTED, INDEX_TYPES, MARKET_CAP_WEIGHTED
 from indexforge.functions.calendar import weekday_only
 from indexforge.functions.scalar import cap_share, equal_share
-from indexforge.operators.joins import broadcast_if_bounded
 
 COMPOSITION_COLUMNS = ["date", "ticker", "close_price", "weight", "market_cap", "index_type"]
 
@@ -43,22 +42,16 @@ def bars_in_range(prices: DataFrame, start=None, end=None, dates=None,
     return out
 
 
-def join_instruments_prices(prices: DataFrame, instruments: DataFrame,
-                            check_size: bool = False) -> DataFrame:
+def join_instruments_prices(prices: DataFrame, instruments: DataFrame) -> DataFrame:
     """Inner equi-join on ticker; two bars of one ticker on one date give two rows.
 
-    The instrument side grows with the universe, not with the bars.  With
-    ``check_size`` it is broadcast after a bounded row count (a few million
-    tickers at most), otherwise the optimizer's estimate and AQE decide; above
-    the bound the join shuffles on ticker and AQE splits a hot ticker's
-    partition (skew join).
+    The instrument side grows with the universe, not with the bars: Spark broadcasts
+    it when its size in bytes is within the threshold (by statistics, or by AQE at run
+    time) and otherwise shuffles on ticker, where AQE splits a hot ticker's partition.
     """
     bars = prices.select("ticker", "date", "timestamp",
                          F.col("close").alias("close_price"))
-    inst = instruments.select("ticker", "market_cap")
-    if check_size:
-        inst = broadcast_if_bounded(inst)
-    return bars.join(inst, "ticker")
+    return bars.join(instruments.select("ticker", "market_cap"), "ticker")
 
 
 def top_n_by_market_cap(candidates: DataFrame, top_n: int) -> DataFrame:
@@ -106,7 +99,7 @@ def build_index(prices: DataFrame, instruments: DataFrame, top_n: int,
     if isinstance(index_types, str):
         index_types = (index_types,)
     bars = bars_in_range(prices, start, end, dates, weekdays_only)
-    candidates = join_instruments_prices(bars, eligible_instruments(instruments), check_size=True)
+    candidates = join_instruments_prices(bars, eligible_instruments(instruments))
     top = top_n_by_market_cap(candidates, top_n)
     return weigh(top, index_types)
 

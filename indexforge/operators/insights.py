@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indexforge.operators.performance import ordered_sum
+from indexforge.operators.performance import exact_sum
 
 
 def composition_insights(snapshot: DataFrame) -> DataFrame:
     """Constituent count and mean close per (index_type, date); the mean uses the
-    order-independent ``ordered_sum`` over the date's members."""
+    order-independent ``exact_sum`` over the date's members."""
     return (snapshot.groupBy("index_type", "date")
             .agg(F.count(F.lit(1)).alias("constituents"),
-                 (ordered_sum(F.col("close_price")) / F.count("close_price")).alias("mean_close")))
+                 (exact_sum(F.col("close_price")) / F.count("close_price")).alias("mean_close")))

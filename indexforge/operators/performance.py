@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from indexforge.operators.joins import broadcast_if_bounded
 from indexforge.operators.versions import (
     restrict, latest_performance, latest_weights, performance_collapse_legacy,
     version_collapse_legacy,
@@ -53,40 +52,31 @@ def pct_change(level: str, partition, order, fill_zero: bool = True) -> Column:
             .otherwise(ratio))
 
 
-def ordered_sum(col: Column) -> Column:
-    """Sum of a group's values added in ascending order.
+def exact_sum(col: Column) -> Column:
+    """Sum of a group's doubles whose value does not depend on their order.
 
-    Floating-point addition depends on order, and a plain ``sum`` adds in
-    whatever order partitions arrive, so a rerun over the same rows could
-    differ in the last bit.  Index levels must not: reruns are collapsed by
-    comparing ``index_price`` (first-generation history), and a level must be
-    reproducible on any cluster layout.  Used where a group is one date's index
-    members (bounded by the index size), never over raw bar volume.
+    Floating-point addition does, and index levels must not: reruns are collapsed by
+    comparing ``index_price`` (first-generation history).  The terms are added as
+    decimals with 15 places, which is exact, and as a partial aggregate, so no group is
+    gathered.  A group with a value that is no such decimal (NaN, infinity, beyond 1e22)
+    falls back to the plain sum.
     """
-    terms = F.array_sort(F.collect_list(col))
-    return F.when(F.size(terms) > 0,
-                  F.aggregate(terms, F.lit(0.0).cast("double"), lambda acc, x: acc + x))
+    d = col.try_cast("decimal(38,15)")
+    return F.when(F.count(d) == F.count(col), F.sum(d).cast("double")).otherwise(F.sum(col))
 
 
-def index_level(prices: DataFrame, weights: DataFrame, check_size: bool = True,
-                bound: DataFrame | None = None) -> DataFrame:
+def index_level(prices: DataFrame, weights: DataFrame) -> DataFrame:
     """``SUM(weight * close)`` per (index_type, date) over bars joined to weights
     on (ticker, date).  A missing bar drops the name (inner join, no re-weighting).
 
-    The weights side holds index members x days (x index types), independent of
-    the bar volume, so it is broadcast after a bounded row count: the bar side
-    is then never shuffled for the join.  Above the bound it falls back to a
-    shuffle join.  ``bound``: a frame with at least as many rows as ``weights``
-    (the composition scan before dedup) that is cheaper to count.  The sum is
-    ``ordered_sum`` (reproducible to the bit); its group is one date's members.
+    The weights side holds index members x days (x index types), independent of the bar
+    volume; Spark broadcasts it by size, or shuffles both sides on (ticker, date).
     """
     px = prices.select("ticker", "date", "close")
     w = weights.select("index_type", "date", "ticker", "weight")
-    if check_size:
-        w = broadcast_if_bounded(w, bound=bound)
     return (px.join(w, ["ticker", "date"])
             .groupBy("index_type", "date")
-            .agg(ordered_sum(F.col("weight") * F.col("close")).alias("index_price")))
+            .agg(exact_sum(F.col("weight") * F.col("close")).alias("index_price")))
 
 
 def daily_return(levels: DataFrame, fill_zero: bool = True,
@@ -105,8 +95,7 @@ def track_index_performance(prices: DataFrame, composition: DataFrame, start=Non
     """
     weights = latest_weights(composition, index_type, start, end)
     bars = restrict(prices, None, start=start, end=end)
-    scanned = restrict(composition, index_type, start=start, end=end)  # dedup only removes rows
-    return daily_return(index_level(bars, weights, bound=scanned)).select(*PERFORMANCE_COLUMNS)
+    return daily_return(index_level(bars, weights)).select(*PERFORMANCE_COLUMNS)
 
 
 def performance_history(performance: DataFrame, start=None, end=None,
@@ -132,10 +121,9 @@ def index_level_legacy(prices: DataFrame, composition: DataFrame, start=None,
                        end=None, index_type=None) -> DataFrame:
     """First-generation performance: level over the legacy collapse (rows that
     differ between runs are all summed), return as in ``track_index_performance``."""
-    scanned = restrict(composition, index_type, start=start, end=end)
-    weights = version_collapse_legacy(scanned)
+    weights = version_collapse_legacy(restrict(composition, index_type, start=start, end=end))
     bars = restrict(prices, None, start=start, end=end)
-    return daily_return(index_level(bars, weights, bound=scanned)).select(*PERFORMANCE_COLUMNS)
+    return daily_return(index_level(bars, weights)).select(*PERFORMANCE_COLUMNS)
 
 
 def performance_history_legacy(performance: DataFrame, start=None, end=None,

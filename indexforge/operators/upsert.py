@@ -45,10 +45,3 @@ def upsert_partial(log: DataFrame, key: Sequence[str], order: Sequence[str] | st
             .select(*key, *[F.col(f"_k.{c}").alias(c) for c in kept],
                     *[F.col(f"_u.{c}").alias(c) for c in updated]))
 
-
-def with_load_order(df: DataFrame, load_seq, position: str | None = None) -> DataFrame:
-    """Stamp rows of one load with its sequence (and in-load position)."""
-    out = df.withColumn("_load_seq", F.lit(load_seq))
-    if position:
-        out = out.withColumn("_load_pos", F.col(position))
-    return out

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from indexforge.constants import (
-    DEFAULT_TOP_N, EQUAL_WEIGHTED, INDEX_TYPES, MARKET_CAP_WEIGHTED, SERVICE_TOP_N,
+    DEFAULT_MISSING_BATCH, DEFAULT_TOP_N, EQUAL_WEIGHTED, INDEX_TYPES, MARKET_CAP_WEIGHTED, SERVICE_TOP_N,
 )
 from indexforge.functions import calendar as cal
 from indexforge.functions import scalar as fn
@@ -28,7 +28,8 @@ from indexforge.operators.insights import composition_insights as _insights
 from indexforge.operators.upsert import upsert_partial, upsert_replace
 from indexforge.plans import views
 from indexforge.plans.ingest import (
-    ingest_counts as _ingest_counts, ingest_daily as _ingest_daily, read_current,
+    current_prices, ingest_counts as _ingest_counts, ingest_daily as _ingest_daily, read_current,
+    read_price_log,
 )
 from indexforge.schemas import (
     INDEX_COMPOSITION, INDEX_PERFORMANCE, STOCK_PRICES, TICKER_DETAILS,
@@ -50,7 +51,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 # --- fixed parameters of the registered queries -------------------------------
-AS_OF = "2024-01-30"
+AS_OF = "2024-02-10"                  # its window begins inside the data
 REPORT_START, REPORT_END = "2024-01-05", "2024-01-25"
 SNAPSHOT_DATE = "2024-01-16"
 STORED_UNTIL = "2024-01-15"           # get-or-build: stored composition up to here
@@ -58,6 +59,7 @@ WIDE_START, WIDE_END = "1995-01-01", "2001-12-31"
 SUBSET_TICKERS = ("U000001", "U000002", "U000003", "U000004", "U000005")
 ADHOC_MIN_CAP = 5e9
 RUN_TS = "2024-03-01 00:00:00"
+SECOND_TS = "2024-03-02 00:00:00"     # the load of the re-delivered ticks
 REDELIVERED_SEGMENT = "BUILDING"      # instruments re-delivered in a second load
 # -------------------------------------------------------------------------------
 
@@ -178,19 +180,11 @@ def upsert_partial_bars(spark, sf_dir):
                           fx.UPSERT_KEPT, fx.UPSERT_UPDATED)
 
 
-def _comp_runs(spark, sf_dir):
-    px, inst = fx.bars(spark, sf_dir), fx.instruments(spark, sf_dir)
-    run1 = con.build_index(px, inst, fx.RUN1_TOP_N)
-    run2 = con.build_index(px.filter(F.dayofmonth("date") % 2 == 0), inst, fx.RUN2_TOP_N)
-    return run1, run2
-
-
 @query("append_composition")
 def append_composition_q(spark, sf_dir):
     path = scratch_path(spark, "index_composition")
-    run1, run2 = _comp_runs(spark, sf_dir)
-    append_composition(run1, path, fx.RUN1_TS)
-    append_composition(run2, path, fx.RUN2_TS)
+    for ts, run in fx.composition_runs(spark, sf_dir):
+        append_composition(run, path, ts)
     return scan_table(spark, path, "index_composition").select(
         *[f.name for f in INDEX_COMPOSITION.fields])
 
@@ -217,16 +211,53 @@ def append_changes_q(spark, sf_dir):
 @query("conflict_skip")
 def conflict_skip_q(spark, sf_dir):
     path = scratch_path(spark, "index_composition")
-    run1, run2 = _comp_runs(spark, sf_dir)
-    append_composition(run1, path, fx.RUN1_TS)
-    append_composition(run2, path, fx.RUN2_TS)
-    stored = scan_table(spark, path, "index_composition")
+    runs = fx.composition_runs(spark, sf_dir)
+    for ts, run in runs:
+        append_composition(run, path, ts)
     # replay run 1 with its own stamp: every key conflicts, nothing is added
-    append_composition(run1, path, fx.RUN1_TS, stored=stored)
+    counts = append_composition(runs[0][1], path, runs[0][0])
+    if counts["written"] or counts["conflicts"] != counts["built"]:
+        raise AssertionError(counts)
     return scan_table(spark, path, "index_composition").select(
         *[f.name for f in INDEX_COMPOSITION.fields])
 
 
+@query("append_rejects")
+def append_rejects(spark, sf_dir):
+    """One bar per tick: a ticker with several bars fills several slots of a day's top N; the
+    key keeps one row, the others go to the rejects of the run, none is lost."""
+    path = scratch_path(spark, "index_composition")
+    bars = _tick_bars(spark, sf_dir).filter("ticker IS NOT NULL")
+    run = con.build_index(bars, fx.instruments(spark, sf_dir), DEFAULT_TOP_N)
+    append_composition(run, path, fx.RUN1_TS)
+    kept = scan_table(spark, path, "index_composition").select(
+        "index_type", "date", "ticker", "close_price", F.lit("").alias("reason"))
+    lines = spark.read.option("recursiveFileLookup", "true").text(path + "_rejected")
+    return kept.unionByName(lines.select(F.from_json(
+        "value", "index_type string, date date, ticker string, close_price double, reason string").alias("r")
+    ).select("r.*"))
+
+
+def _price_log(spark, sf_dir):
+    """Two loads: every tick, then the re-delivered ones."""
+    land, again = _landed_payloads(spark, sf_dir), scratch_path(spark, "landing")
+    fx.land_bar_payloads(fx.redelivered(fx.ticks(spark, sf_dir)), again)
+    log, dead = scratch_path(spark, "price_log"), scratch_path(spark, "dead_letters")
+    _ingest_daily(spark, land, log, dead, run_ts=RUN_TS, load_id="batch-1")
+    _ingest_daily(spark, again, log, dead, run_ts=SECOND_TS, load_id="batch-2")
+    return read_price_log(spark, log)
+
+
+@query("current_prices_replace")
+def current_prices_replace(spark, sf_dir):
+    return current_prices(_price_log(spark, sf_dir), "replace")
+
+
+@query("current_prices_partial")
+def current_prices_partial(spark, sf_dir):
+    return current_prices(_price_log(spark, sf_dir), "partial")
+
+
 def _ingested(spark, sf_dir):
     land = _landed_payloads(spark, sf_dir)
     log, dead = scratch_path(spark, "price_log"), scratch_path(spark, "dead_letters")
@@ -283,6 +314,13 @@ def table_audit(spark, sf_dir):
     })
 
 
+@query("table_audit_violations")
+def table_audit_violations(spark, sf_dir):
+    """The same rules on prices with null tickers (failed ticks) and repeated keys."""
+    dirty = _tick_bars(spark, sf_dir).unionByName(_tick_bars(spark, sf_dir, redelivered=True))
+    return _table_audit({"stock_prices": dirty})
+
+
 # 2.3 projections, filters, predicates ------------------------------------------------
 @query("project_rename")
 def project_rename(spark, sf_dir):
@@ -330,8 +368,9 @@ def filter_index_type(spark, sf_dir):
     return fx.composition(spark, sf_dir).filter(F.col("index_type") == MARKET_CAP_WEIGHTED)
 
 
-def _tick_bars(spark, sf_dir):
+def _tick_bars(spark, sf_dir, redelivered=False):
     t = fx.ticks(spark, sf_dir)
+    t = fx.redelivered(t) if redelivered else t
     return t.select("ticker", F.col("epoch_ms").alias("timestamp"), "date",
                     F.col("o").alias("open"), F.col("h").alias("high"), F.col("l").alias("low"),
                     F.col("c").alias("close"), F.col("v").alias("volume"),
@@ -348,7 +387,8 @@ def filter_exclude_otc(spark, sf_dir):
 # 2.4 joins -------------------------------------------------------------------------
 @query("join_instruments_prices")
 def join_instruments_prices(spark, sf_dir):
-    return con.join_instruments_prices(fx.bars(spark, sf_dir), fx.instruments(spark, sf_dir)) \
+    active = fx.instruments(spark, sf_dir).filter("active")  # bars of the others have no partner
+    return con.join_instruments_prices(fx.bars(spark, sf_dir), active) \
         .select("ticker", "date", "timestamp", "close_price", "market_cap")
 
 
@@ -363,10 +403,18 @@ def join_prices_composition(spark, sf_dir):
 def missing_symbols(spark, sf_dir):
     path = scratch_path(spark, "roster")
     fx.land_roster(spark, sf_dir, path)
-    return landing.missing_symbols(landing.roster_entries(spark, path),
+    return landing.missing_symbols(landing.roster_scan(spark, path),
                                    fx.stored_tickers(spark, sf_dir))
 
 
+@query("missing_symbols_batch")
+def missing_symbols_batch(spark, sf_dir):
+    path = scratch_path(spark, "roster")
+    fx.land_roster(spark, sf_dir, path)
+    return landing.missing_symbols(landing.roster_scan(spark, path),
+                                   fx.stored_tickers(spark, sf_dir), n=DEFAULT_MISSING_BATCH)
+
+
 @query("previous_snapshot_lookup")
 def previous_snapshot_lookup(spark, sf_dir):
     return chg.previous_snapshot_lookup(fx.composition(spark, sf_dir))
@@ -391,14 +439,12 @@ def daily_membership(spark, sf_dir):
 
 @query("total_market_cap")
 def total_market_cap(spark, sf_dir):
-    run1, _ = _comp_runs(spark, sf_dir)
-    return con.total_market_cap(run1)
+    return con.total_market_cap(fx.composition_runs(spark, sf_dir)[0][1])
 
 
 @query("constituent_count")
 def constituent_count(spark, sf_dir):
-    _, run2 = _comp_runs(spark, sf_dir)
-    return con.constituent_count(run2)
+    return con.constituent_count(fx.composition_runs(spark, sf_dir)[1][1])
 
 
 def _tracked(spark, sf_dir, start=None, end=None):
@@ -527,6 +573,11 @@ def fn_percent_text(spark, sf_dir):
                     fn.percent_text("volatility").alias("volatility"))
 
 
+@query("fn_dollar_text")
+def fn_dollar_text(spark, sf_dir):
+    return fx.instruments(spark, sf_dir).select("ticker", fn.money_text("market_cap").alias("market_cap"))
+
+
 @query("fn_json_encode")
 def fn_json_encode(spark, sf_dir):
     return fx.bars(spark, sf_dir).select(
@@ -588,12 +639,17 @@ def composition_view(spark, sf_dir):
 
 @query("ingest_daily")
 def ingest_daily(spark, sf_dir):
-    """Batch ingest of every landed day, merged day by day into the current table."""
+    """Batch ingest of every landed day, then of the re-delivered ticks, each load merged
+    into the current table."""
     land = _landed_payloads(spark, sf_dir)
     log, dead = scratch_path(spark, "price_log"), scratch_path(spark, "dead_letters")
     current = scratch_path(spark, "stock_prices_current")
     _ingest_daily(spark, land, log, dead, run_ts=RUN_TS, load_id="batch-1",
                   current_path=current)
+    again = scratch_path(spark, "landing")
+    fx.land_bar_payloads(fx.redelivered(fx.ticks(spark, sf_dir)), again)
+    _ingest_daily(spark, again, log, dead, run_ts=SECOND_TS, load_id="batch-2",
+                  current_path=current)
     return read_current(spark, current)
 
 
@@ -627,6 +683,11 @@ def ingest_stream(spark, sf_dir):
     land = _landed_payloads(spark, sf_dir)
     log, dead = scratch_path(spark, "price_log"), scratch_path(spark, "dead_letters")
     current = scratch_path(spark, "stock_prices_current")
-    run_ingest_stream(spark, land, log, dead, scratch_path(spark, "stream_ckpt"),
-                      run_ts=RUN_TS, current_path=current, max_files_per_trigger=10)
+    checkpoint = scratch_path(spark, "stream_ckpt")
+    run_ingest_stream(spark, land, log, dead, checkpoint, run_ts=RUN_TS,
+                      current_path=current, max_files_per_trigger=10)
+    # more files land in the same folders; the stream picks up only those
+    fx.land_bar_payloads(fx.redelivered(fx.ticks(spark, sf_dir)), land, mode="append")
+    run_ingest_stream(spark, land, log, dead, checkpoint, run_ts=SECOND_TS,
+                      current_path=current, max_files_per_trigger=10)
     return read_current(spark, current)

@@ -3,28 +3,30 @@
 The price table is an append log, one folder per load (``load=<id>``), written
 with ``overwrite`` so a retried load replaces itself instead of duplicating.
 The current table is a view over the log (``current_prices``): one row per
-(ticker, timestamp), chosen by load order.  ``compact_prices`` materialises
-that view into a new folder partitioned by date for the index jobs.
+(ticker, timestamp), chosen by load order; ``merge_into_current`` keeps that table
+up to date load by load.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
-from indexforge.operators.joins import broadcast_if_bounded
+from indexforge.functions.calendar import epoch_ms_to_date
 from indexforge.operators.upsert import upsert_partial, upsert_replace
 from indexforge.schemas import PRICES_KEPT, PRICES_UPDATED, STOCK_PRICES, STOCK_PRICES_KEY
+from indexforge.session import drop_scratch, scratch_path
 from indexforge.sinks.dead_letters import write_dead_letters
 from indexforge.sources.landing import (
     explode_bar_entries, flatten_bars, read_landed_text, with_source,
 )
+from indexforge.sources.tables import scan_if_exists
 
 LOAD_ORDER = ("_load_ts", "source_file", "_pos")
+CURRENT_PRICES = StructType([*STOCK_PRICES.fields, StructField("key_date", DateType(), True)])
 LOG_COLUMNS = [f.name for f in STOCK_PRICES.fields] + ["_load_ts", "source_file", "_pos"]
 
 
@@ -33,22 +35,22 @@ def ingest_text(text: DataFrame, log_root: str, dead_root: str, load_id: str,
     """Parse, split and write one load.  Returns {'total', 'success', 'rejected'}.
 
     ``text`` has columns value, source_file, request_date.  Counts come from an
-    ``Observation`` on the same pass that writes the good rows.
+    ``Observation`` on the pass that parses the text.
     """
-    run_ts = str(run_ts)
+    run_ts, spark = str(run_ts), text.sparkSession
     obs = Observation(f"ingest_{load_id}")
-    bars = (flatten_bars(explode_bar_entries(text), date_rule)
-            .withColumn("_load_ts", F.lit(run_ts).cast("timestamp_ntz"))
-            .observe(obs, F.count(F.lit(1)).alias("total"),
-                     F.count_if(F.col("_valid")).alias("success"))
-            .persist(StorageLevel.MEMORY_AND_DISK))
-    try:
-        (bars.filter(F.col("_valid")).select(*LOG_COLUMNS)
-         .write.mode("overwrite").parquet(f"{log_root.rstrip('/')}/load={load_id}"))
-        write_dead_letters(bars.filter(~F.col("_valid")),
-                           f"{dead_root.rstrip('/')}/load={load_id}", run_ts)
-    finally:
-        bars.unpersist()
+    # parsed once, into the shared folder; both outputs are written from there
+    staging = scratch_path(spark, "parsed")
+    (flatten_bars(explode_bar_entries(text), date_rule)
+     .withColumn("_load_ts", F.lit(run_ts).cast("timestamp_ntz"))
+     .observe(obs, F.count(F.lit(1)).alias("total"), F.count_if(F.col("_valid")).alias("success"))
+     .write.parquet(staging))
+    bars = spark.read.parquet(staging)
+    (bars.filter(F.col("_valid")).select(*LOG_COLUMNS)
+     .write.mode("overwrite").parquet(f"{log_root.rstrip('/')}/load={load_id}"))
+    write_dead_letters(bars.filter(~F.col("_valid")),
+                       f"{dead_root.rstrip('/')}/load={load_id}", run_ts)
+    drop_scratch(spark, staging)
     m = obs.get
     total, success = int(m.get("total", 0)), int(m.get("success", 0))
     return {"total": total, "success": success, "rejected": total - success}
@@ -122,10 +124,19 @@ def write_prices(prices: DataFrame, out_path: str, num_files: int | None = None,
     writer.parquet(out_path)
 
 
-def compact_prices(log: DataFrame, out_path: str, rule: str = "partial", **kw) -> None:
-    """Materialise the current view into a *new* folder (a Parquet path cannot be
-    overwritten while it is being read); readers then switch to it."""
-    write_prices(current_prices(log, rule), out_path, **kw)
+#: Key days of a load that are named one by one in the partition filter.
+MAX_LISTED_DAYS = 2000
+
+
+def _key_day_filter(incoming: DataFrame):
+    """A filter on ``key_date`` with the load's key days as literals, so that it prunes the
+    partitions of the current table.  A load of more days (its size, not the
+    table's, sets their number) is given its first and last day instead."""
+    days = [r["key_date"] for r in incoming.select("key_date").distinct().limit(MAX_LISTED_DAYS + 1).collect()]
+    if len(days) <= MAX_LISTED_DAYS:
+        return F.col("key_date").isin(days)
+    span = incoming.agg(F.min("key_date").alias("a"), F.max("key_date").alias("b")).first()
+    return F.col("key_date").between(F.lit(span["a"]), F.lit(span["b"]))
 
 
 def merge_into_current(spark: SparkSession, current_path: str, load: DataFrame,
@@ -137,48 +148,36 @@ def merge_into_current(spark: SparkSession, current_path: str, load: DataFrame,
     the key itself names, whatever ``date`` the upsert rule kept.  A load
     therefore reads and rewrites only the partitions of its own key days:
 
-    1. old rows of those partitions  UNION  the load's valid rows (newer);
+    1. old rows of those partitions (a literal partition filter)  UNION  the load's rows;
     2. upsert per (ticker, timestamp) with the chosen rule;
-    3. stage the result under the checkpoint folder (a path cannot be
-       overwritten while it is read), then replace just those partitions
-       (dynamic partition overwrite).
+    3. rebalance on ``key_date``: few files per day, and a large day is split;
+    4. stage the result under the checkpoint folder (a path cannot be
+       overwritten while it is read), replace just those partitions
+       (dynamic partition overwrite), and drop the staged copy.
 
     A failed run can simply be repeated: the upsert of the same load is idempotent.
     """
-    from indexforge.functions.calendar import epoch_ms_to_date
-    from indexforge.session import scratch_path
-
     cols = [f.name for f in STOCK_PRICES.fields]
-    incoming = (load.select(*cols, *[c for c in LOAD_ORDER])
+    incoming = (load.select(*cols, *LOAD_ORDER)
                 .withColumn("key_date", epoch_ms_to_date("timestamp")))
-    order = ["_rank", *LOAD_ORDER]
     pieces = incoming.withColumn("_rank", F.lit(1))
-    exists = True
-    try:
-        stored = spark.read.parquet(current_path)
-    except AnalysisException:
-        exists = False  # first load: no current table yet
-    if exists:
-        days = incoming.select("key_date").distinct()
-        old = (stored.join(broadcast_if_bounded(days), "key_date", "left_semi")
-               .select(*cols, "key_date")
+    stored = scan_if_exists(spark, current_path, CURRENT_PRICES)
+    if stored is not None:
+        old = (stored.filter(_key_day_filter(incoming))
                .withColumn("_rank", F.lit(0))
                .withColumn("_load_ts", F.lit(None).cast("timestamp_ntz"))
                .withColumn("source_file", F.lit(None).cast("string"))
                .withColumn("_pos", F.lit(None).cast("long")))
         pieces = old.unionByName(pieces)
-    # one row per key after the upsert, so its hash partitioning is already even
-    # (no hot group can survive it); sorting makes one file per key day and task
-    merged = (_upsert(pieces, rule, order)
+    merged = (_upsert(pieces, rule, ["_rank", *LOAD_ORDER])
               .withColumn("key_date", epoch_ms_to_date("timestamp"))
-              .sortWithinPartitions("key_date", "ticker"))
-    writer_opts = {"partitionOverwriteMode": "dynamic"}
-    if exists:
-        staging = scratch_path(spark, "prices_merge")
-        merged.write.parquet(staging)
-        merged = spark.read.parquet(staging)
-    (merged.write.mode("overwrite").options(**writer_opts)
+              .hint("rebalance", "key_date"))
+    staging = scratch_path(spark, "prices_merge")
+    merged.write.parquet(staging)
+    (spark.read.schema(CURRENT_PRICES).parquet(staging).sortWithinPartitions("key_date", "ticker")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("key_date").parquet(current_path))
+    drop_scratch(spark, staging)
 
 
 def read_current(spark: SparkSession, current_path: str) -> DataFrame:
@@ -194,5 +193,5 @@ def _upsert(df: DataFrame, rule: str, order) -> DataFrame:
     raise ValueError(rule)
 
 
-__all__ = ["merge_into_current", "read_current", "compact_prices", "write_prices", "current_prices", "ingest_counts", "ingest_daily",
+__all__ = ["merge_into_current", "read_current", "write_prices", "current_prices", "ingest_counts", "ingest_daily",
            "ingest_text", "read_price_log", "with_source"]

@@ -1,13 +1,13 @@
 """DuckDB SQL for every registered query (the correctness oracle).
 
-Written independently of the Spark code: plain SQL over the driver's base
-tables (customer, events, lineitem, ...).  Fixture tables are CTEs defined once
+Plain SQL over the driver's base tables (customer, events, lineitem, ...); it shares
+the fixtures' fixed values and the schemas with the Spark code.  Fixture tables are CTEs defined once
 here and pulled into each statement with their dependencies.
 """
 
 from __future__ import annotations
 
-from indexforge.constants import EQUAL_WEIGHTED, INDEX_TYPES, MARKET_CAP_WEIGHTED
+from indexforge.constants import DEFAULT_MISSING_BATCH, DEFAULT_TOP_N, EQUAL_WEIGHTED, INDEX_TYPES, MARKET_CAP_WEIGHTED
 from indexforge.plans import catalog as q
 from indexforge.schemas import TABLES, TICKER_DETAILS, not_null_columns
 from indexforge.sources import fixtures as fx
@@ -72,8 +72,8 @@ def build(bars: str, inst: str, n: int, where: str = "", types=INDEX_TYPES) -> s
 
 
 def osum(x: str) -> str:
-    """Sum added in ascending value order (reproducible to the bit)."""
-    return f"list_reduce(list_sort(list({x}) FILTER (WHERE ({x}) IS NOT NULL)), lambda a, b: a + b)"
+    """Sum that does not depend on the order of its terms."""
+    return f"CAST(sum(CAST({x} AS DECIMAL(38,15))) AS DOUBLE)"
 
 
 def latest(src: str, keys: str, extra_where: str = "") -> str:
@@ -106,6 +106,8 @@ _details_instruments = {
     "name": "c_name", "market": "c_mktsegment",
     "market_cap": "CASE WHEN c_acctbal > 0 THEN c_acctbal * 1e6 END"}
 
+LANDED = f"CAST(ts AS DATE) + CAST(CASE WHEN event_id % {fx.LATE_EVERY} = 0 THEN 1 ELSE 0 END AS INTEGER)"
+
 CTES: dict[str, tuple[str, tuple[str, ...]]] = {
     "fx_instruments": (f"SELECT {_typed_select(TICKER_DETAILS, _details_instruments)} FROM customer", ()),
     "fx_instruments_wide": (
@@ -138,7 +140,9 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
                 ("fx_bars", "fx_instruments")),
     "fx_composition": (f"""
       SELECT *, {_lit_ts(fx.RUN1_TS)} AS update_time FROM fx_run1
-      UNION ALL SELECT *, {_lit_ts(fx.RUN2_TS)} AS update_time FROM fx_run2""", ("fx_run1", "fx_run2")),
+      UNION ALL SELECT *, {_lit_ts(fx.RUN2_TS)} AS update_time FROM fx_run2
+      UNION ALL SELECT *, {_lit_ts(fx.RUN3_TS)} AS update_time FROM fx_run1 WHERE dayofmonth(date) % 4 = 0""",
+                       ("fx_run1", "fx_run2")),
     "fx_latest": (latest("fx_composition", "index_type, date, ticker"), ("fx_composition",)),
     "fx_levels": (f"""
       SELECT l.index_type, b.date, {osum('l.weight * b.close')} AS index_price
@@ -152,8 +156,8 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
     "fx_lagged": (members_lagged("fx_latest"), ("fx_latest",)),
     "fx_changes": (f"SELECT *, {_lit_ts(fx.CHANGES_TS)} AS update_time FROM fx_lagged WHERE {_CHANGED}",
                    ("fx_lagged",)),
-    "fx_ticks": ("""
-      SELECT CAST(ts AS DATE) AS date, event_id,
+    "fx_ticks": (f"""
+      SELECT {LANDED} AS date, CAST(ts AS DATE) AS own_date, event_id,
              CASE WHEN event_type <> 'error' THEN printf('U%06d', user_id) END AS ticker,
              epoch_us(ts) // 1000 AS epoch_ms, value AS o, value AS h, value AS l, value AS c,
              CAST(1 AS DOUBLE) AS v, CAST(1 AS INTEGER) AS n, value AS vw,
@@ -164,6 +168,11 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
              v AS volume, n AS transactions, vw AS volume_weighted_avg,
              coalesce(otc, false) AS is_otc, true AS is_adjusted
       FROM fx_ticks""", ("fx_ticks",)),
+    "fx_again_bars": (f"""
+      SELECT ticker, epoch_ms AS timestamp, date + 2 AS date, o * 2 AS open, h * 2 AS high, l * 2 AS low,
+             c * 2 AS close, v AS volume, n AS transactions, vw * 2 AS volume_weighted_avg,
+             false AS is_otc, true AS is_adjusted
+      FROM fx_ticks WHERE event_id % {fx.REDELIVERED_EVERY} = 0""", ("fx_ticks",)),
 }
 
 
@@ -221,8 +230,8 @@ def _upsert_rank(direction: str) -> str:
             f"ORDER BY {_UPS_ORDER.format(d=direction)}) AS rn FROM lineitem)")
 
 
-def _audit_sql() -> str:
-    srcs = {"ticker_details": "fx_instruments", "stock_prices": "fx_bars",
+def _audit_sql(srcs: dict | None = None) -> str:
+    srcs = srcs or {"ticker_details": "fx_instruments", "stock_prices": "fx_bars",
             "index_composition": "fx_composition", "index_performance": "fx_performance",
             "index_composition_changes": "fx_changes"}
     parts = []
@@ -274,8 +283,16 @@ def _summary(src: str) -> str:
             f"stddev_samp(daily_return) AS volatility, count(*) AS days FROM ({src}) GROUP BY index_type")
 
 
-def _ingested_prices() -> str:
-    return f"SELECT {PRICE_COLS} FROM fx_tick_bars WHERE ticker IS NOT NULL"
+def _current(rule: str) -> str:
+    """Both loads: the newest row of a key wins, or only its prices do."""
+    first = ("date", "is_otc", "is_adjusted") if rule == "partial" else ()
+    cols = ", ".join(("f." if c in first else "l.") + c + f" AS {c}" for c in PRICE_COLS.split(", "))
+    loads = (f"(SELECT {PRICE_COLS}, 1 AS load FROM fx_tick_bars WHERE ticker IS NOT NULL UNION ALL "
+             f"SELECT {PRICE_COLS}, 2 FROM fx_again_bars WHERE ticker IS NOT NULL)")
+    pick = (f"(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ticker, timestamp ORDER BY load {{}}) rn "
+            f"FROM {loads}) WHERE rn = 1)")
+    return (f"SELECT {cols} FROM {pick.format('ASC')} f JOIN {pick.format('DESC')} l "
+            f"ON f.ticker = l.ticker AND f.timestamp = l.timestamp")
 
 
 def _details_json() -> str:
@@ -295,12 +312,16 @@ def _weekday(col="date") -> str:
     return f"dayofweek({col}) BETWEEN 1 AND 5"
 
 
+_MISSING = ("SELECT printf('U%06d', c_custkey) AS ticker FROM customer WHERE c_custkey % 10 <> 0 AND NOT EXISTS "
+            "(SELECT 1 FROM events WHERE printf('U%06d', user_id) = printf('U%06d', c_custkey))")
+
 ORACLE: dict[str, str] = {
     # 2.1
     "roster_scan": "SELECT printf('U%06d', c_custkey) AS ticker FROM customer "
-                   "WHERE c_custkey % 10 <> 0 ORDER BY ticker LIMIT 1000",
+                   "WHERE c_custkey % 10 <> 0 ORDER BY ticker",
     "details_flatten": _details_json(),
-    "bars_flatten_epoch": sql(f"SELECT {PRICE_COLS} FROM fx_tick_bars", "fx_tick_bars"),
+    "bars_flatten_epoch": sql(f"SELECT b.* REPLACE (CAST(epoch_ms(timestamp) AS DATE) AS date) "
+                              f"FROM (SELECT {PRICE_COLS} FROM fx_tick_bars) b", "fx_tick_bars"),
     "bars_flatten_request": sql(f"SELECT {PRICE_COLS} FROM fx_tick_bars", "fx_tick_bars"),
     "scan_prices": sql("SELECT * FROM fx_bars", "fx_bars"),
     "preview_details": sql("SELECT * FROM fx_instruments ORDER BY ticker LIMIT 10", "fx_instruments"),
@@ -324,12 +345,12 @@ ORACLE: dict[str, str] = {
     "append_performance": sql("SELECT * FROM fx_performance", "fx_performance"),
     "append_changes": sql("SELECT * FROM fx_changes", "fx_changes"),
     "conflict_skip": sql("SELECT * FROM fx_composition", "fx_composition"),
-    "dead_letter_split": "SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS date, CAST(NULL AS VARCHAR) AS ticker, "
+    "dead_letter_split": "SELECT strftime(" + LANDED + ", '%Y-%m-%d') AS date, CAST(NULL AS VARCHAR) AS ticker, "
                          "epoch_us(ts) // 1000 AS t, value AS close, 'null_ticker' AS reason "
                          "FROM events WHERE event_type = 'error'",
-    "ingest_counts": "SELECT CAST(ts AS DATE) AS date, count(*) AS total, "
+    "ingest_counts": "SELECT " + LANDED + " AS date, count(*) AS total, "
                      "count(*) FILTER (WHERE event_type <> 'error') AS success, "
-                     "count(*) FILTER (WHERE event_type = 'error') AS rejected FROM events GROUP BY CAST(ts AS DATE)",
+                     "count(*) FILTER (WHERE event_type = 'error') AS rejected FROM events GROUP BY " + LANDED,
     "export_performance": sql(f"SELECT * FROM fx_performance WHERE index_type = '{EQUAL_WEIGHTED}' "
                               f"AND {_between(R0, R1)}", "fx_performance"),
     "export_composition": sql(f"SELECT {COMP_COLS} FROM ({_snapshot(f'date = {_lit_date(q.SNAPSHOT_DATE)} AND index_type = ' + chr(39) + MARKET_CAP_WEIGHTED + chr(39))})",
@@ -337,6 +358,16 @@ ORACLE: dict[str, str] = {
     "export_query": sql("SELECT * FROM fx_composition", "fx_composition"),
     "table_audit": sql(_audit_sql(), "fx_instruments", "fx_bars", "fx_composition",
                        "fx_performance", "fx_changes"),
+    "table_audit_violations": sql(_audit_sql({"stock_prices": "(SELECT * FROM fx_tick_bars UNION ALL "
+                                              "SELECT * FROM fx_again_bars)"}), "fx_tick_bars", "fx_again_bars"),
+    "append_rejects": sql(f"""
+        SELECT index_type, date, ticker, close_price, CASE WHEN nth = 1 THEN '' ELSE 'repeated_key' END AS reason
+        FROM (SELECT *, row_number() OVER (PARTITION BY index_type, date, ticker
+                                           ORDER BY close_price, weight, market_cap) AS nth
+              FROM ({build("(SELECT * FROM fx_tick_bars WHERE ticker IS NOT NULL)", "fx_instruments", DEFAULT_TOP_N)}))""",
+                          "fx_tick_bars", "fx_instruments"),
+    "current_prices_replace": sql(_current("replace"), "fx_tick_bars", "fx_again_bars"),
+    "current_prices_partial": sql(_current("partial"), "fx_tick_bars", "fx_again_bars"),
     # 2.3
     "project_rename": sql("SELECT ticker, date, close AS close_price FROM fx_bars", "fx_bars"),
     "literal_columns": sql(f"SELECT ticker, date, '{EQUAL_WEIGHTED}' AS index_type, "
@@ -346,7 +377,7 @@ ORACLE: dict[str, str] = {
                            f"WHERE b.date = {_lit_date(q.SNAPSHOT_DATE)} AND i.market_cap IS NOT NULL",
                            "fx_bars", "fx_instruments"),
     "filter_date_range": sql(f"SELECT * FROM fx_bars WHERE {_between(R0, R1)}", "fx_bars"),
-    "default_window": sql(f"SELECT * FROM fx_bars WHERE {_between('2023-12-31', q.AS_OF)}", "fx_bars"),
+    "default_window": sql(f"SELECT * FROM fx_bars WHERE {_between('2024-01-11', q.AS_OF)}", "fx_bars"),
     "filter_changed": sql(f"SELECT * FROM fx_lagged WHERE {_CHANGED}", "fx_lagged"),
     "instrument_subset": sql("SELECT * FROM fx_instruments WHERE ticker IN ("
                              + ", ".join(f"'{t}'" for t in q.SUBSET_TICKERS) + ")", "fx_instruments"),
@@ -355,13 +386,13 @@ ORACLE: dict[str, str] = {
     "filter_exclude_otc": sql(f"SELECT {PRICE_COLS} FROM fx_tick_bars WHERE NOT is_otc", "fx_tick_bars"),
     # 2.4
     "join_instruments_prices": sql("SELECT b.ticker, b.date, b.timestamp, b.close AS close_price, i.market_cap "
-                                   "FROM fx_bars b JOIN fx_instruments i ON b.ticker = i.ticker",
+                                   "FROM fx_bars b JOIN fx_instruments i ON b.ticker = i.ticker WHERE i.active",
                                    "fx_bars", "fx_instruments"),
     "join_prices_composition": sql("SELECT b.ticker, b.date, b.close, l.index_type, l.weight "
                                    "FROM fx_bars b JOIN fx_latest l ON b.ticker = l.ticker AND b.date = l.date",
                                    "fx_bars", "fx_latest"),
-    "missing_symbols": "SELECT printf('U%06d', c_custkey) AS ticker FROM customer WHERE NOT EXISTS "
-                       "(SELECT 1 FROM events WHERE printf('U%06d', user_id) = printf('U%06d', c_custkey))",
+    "missing_symbols": _MISSING,
+    "missing_symbols_batch": _MISSING + f" ORDER BY ticker LIMIT {DEFAULT_MISSING_BATCH}",
     "previous_snapshot_lookup": sql("SELECT * FROM fx_lagged", "fx_lagged"),
     # 2.5
     "index_level": sql("SELECT * FROM fx_levels", "fx_levels"),
@@ -410,6 +441,8 @@ ORACLE: dict[str, str] = {
     "fn_percent_text": sql(f"SELECT index_type, {_percent('total_return')} AS total_return, "
                            f"{_percent('mean_return')} AS mean_return, {_percent('volatility')} AS volatility "
                            f"FROM ({_summary(_tracked())})", "fx_levels"),
+    "fn_dollar_text": sql("SELECT ticker, CASE WHEN market_cap IS NULL THEN '$nan' "
+                          "ELSE printf('$%.2f', market_cap) END AS market_cap FROM fx_instruments", "fx_instruments"),
     "fn_json_encode": sql("SELECT ticker, timestamp, CAST(to_json(struct_pack(ticker := ticker, "
                           "\"timestamp\" := timestamp, transactions := transactions)) AS VARCHAR) AS json "
                           "FROM fx_bars", "fx_bars"),
@@ -436,7 +469,7 @@ ORACLE: dict[str, str] = {
                             f"FROM ({_history(R0, R1)})", "fx_performance"),
     "composition_view": sql(f"SELECT ticker, weight, market_cap, close_price, index_type, date FROM "
                             f"({_snapshot(f'date = {_lit_date(q.SNAPSHOT_DATE)}')})", "fx_composition"),
-    "ingest_daily": sql(_ingested_prices(), "fx_tick_bars"),
+    "ingest_daily": sql(_current("partial"), "fx_tick_bars", "fx_again_bars"),
     "index_changes_legacy": sql(
         f"SELECT * FROM ({members_lagged('(' + _legacy_collapse('fx_composition') + ')')}) "
         f"WHERE {_CHANGED} AND {_between(R0, R1)}", "fx_composition"),
@@ -454,5 +487,5 @@ ORACLE: dict[str, str] = {
         _legacy_collapse(f"(SELECT * FROM fx_composition WHERE date = {_lit_date(q.SNAPSHOT_DATE)})"),
         "fx_composition"),
     # 2.11
-    "ingest_stream": sql(_ingested_prices(), "fx_tick_bars"),
+    "ingest_stream": sql(_current("partial"), "fx_tick_bars", "fx_again_bars"),
 }

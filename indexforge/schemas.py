@@ -148,9 +148,3 @@ DETAIL_PAYLOAD = StructType([StructField("results", DETAIL_RESULT, True)])
 ROSTER_ENTRY = _s(("ticker", StringType(), True), ("market", StringType(), True),
                   ("active", BooleanType(), True))
 ROSTER_PAYLOAD = StructType([StructField("results", ArrayType(ROSTER_ENTRY), True)])
-
-DEAD_LETTER = _s(
-    ("date", StringType(), True),
-    ("timestamp", StringType(), True),
-    ("data", _s(("ticker", StringType(), True), ("payload", StringType(), True)), True),
-)

@@ -66,6 +66,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the store holds ``path``; a store that cannot be reached raises."""
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``scratch_path`` named, once nothing reads it any more."""
+    if not path.startswith(checkpoint_root(spark).rstrip("/") + "/"):
+        raise ValueError(f"{path} is not a scratch folder of this session")
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so Python file APIs can use a local path."""
     if path.startswith("file:"):

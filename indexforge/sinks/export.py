@@ -8,22 +8,42 @@ Empty results write nothing, as in the original.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from indexforge.functions.scalar import slug
 from indexforge.operators.versions import restrict, composition_snapshot
+from indexforge.session import drop_scratch, scratch_path
 
 
 def _slug_text(s: str) -> str:
     return s.lower().replace(" ", "_")
 
 
+def plain_number(c: Column) -> Column:
+    """A double as text without an exponent (7954220000.0, not 7.95422E9), digits unchanged."""
+    text = c.cast("string")
+    wide = F.regexp_replace(text.try_cast("decimal(38,18)").cast("string"), "(\\.\\d+?)0+$", "$1")
+    return F.when(text.contains("E"), F.coalesce(wide, text)).otherwise(text)
+
+
 def write_csv(df: DataFrame, path: str) -> str:
-    """Write with a header; returns the path, or '' when there is nothing to write."""
-    if df.isEmpty():
-        return ""
-    df.write.mode("overwrite").option("header", True).csv(path)
-    return path
+    """Write with a header; returns the path, or '' when there is nothing to write.
+
+    The query runs once, into the shared scratch folder; the CSV is written from there.
+    """
+    spark = df.sparkSession
+    doubles = {f.name: plain_number(F.col(f.name)) for f in df.schema.fields
+               if isinstance(f.dataType, (DoubleType, FloatType))}
+    staging = scratch_path(spark, "csv")
+    (df.withColumns(doubles) if doubles else df).write.parquet(staging)
+    rows = spark.read.parquet(staging)
+    some = not rows.isEmpty()
+    if some:
+        rows.write.mode("overwrite").option("header", True).csv(path)
+    drop_scratch(spark, staging)
+    return path if some else ""
 
 
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:

@@ -2,8 +2,8 @@
 
 Each run stamps its rows with one explicit ``update_time`` (TIMESTAMP_NTZ, the
 same wall-clock meaning as ``TIMESTAMP WITHOUT TIME ZONE``) and appends.
-Composition / performance / changes are partitioned by ``index_type`` and
-sorted by ``date`` inside the files, so date filters prune row groups through
+Composition / performance / changes are partitioned by ``index_type``; a run is
+range-partitioned by date, so a date filter skips files and row groups through
 Parquet statistics without creating one small folder per day.
 """
 
@@ -12,16 +12,15 @@ from __future__ import annotations
 import datetime as _dt
 from functools import reduce
 
-from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from indexforge.operators.joins import broadcast_if_bounded
 from indexforge.schemas import (
     INDEX_CHANGES, INDEX_CHANGES_KEY, INDEX_COMPOSITION, INDEX_COMPOSITION_KEY,
     INDEX_PERFORMANCE, INDEX_PERFORMANCE_KEY, not_null_columns,
 )
+from indexforge.session import drop_scratch, scratch_path
+from indexforge.sources.tables import scan_if_exists
 
 
 def run_timestamp(ts) -> F.Column:
@@ -41,78 +40,91 @@ def split_not_null(df: DataFrame, columns) -> tuple[DataFrame, DataFrame]:
     return df.filter(ok), df.filter(~ok)
 
 
+def _ranked(incoming: DataFrame, keys) -> DataFrame:
+    """``_nth``: 1 for the kept row of each key.  When a run repeats a key (two bars of a
+    ticker on one day) that is the smallest of the rest of the row, so reruns agree; a
+    key's rows in one run are bounded by the index size."""
+    rest = [c for c in incoming.columns if c not in keys]
+    w = Window.partitionBy(*keys).orderBy(*(rest or keys))
+    return incoming.withColumn("_nth", F.row_number().over(w))
+
+
+def _stored_keys(stored: DataFrame, keys, run_ts) -> DataFrame:
+    """``update_time`` is part of the key, so only stored rows of the run's own stamp can
+    conflict; the filter reaches the scan."""
+    if run_ts is not None and "update_time" in keys:
+        stored = stored.filter(F.col("update_time") == run_timestamp(run_ts))
+    return stored.select(*keys)
+
+
 def conflict_skip(incoming: DataFrame, stored: DataFrame | None,
                   keys=INDEX_COMPOSITION_KEY, run_ts=None) -> DataFrame:
     """``ON CONFLICT (keys) DO NOTHING``: drop keys repeated in the batch and keys
-    already stored.  ``update_time`` is part of the key, so only stored rows of
-    the incoming run stamps can conflict: with ``run_ts`` known they are found by
-    a filter pushed to the stored scan (at most one run's rows, broadcast after
-    the size check); otherwise the stamp set is broadcast -- never shuffled on,
-    as one stamp would put the whole run in one task."""
+    already stored.  ``append_*`` record what is dropped here."""
     keys = list(keys)
-    # one row per key; when a run repeats a key (two bars of a ticker on one day)
-    # the kept row is the smallest of the rest of the row, so reruns agree
-    rest = [c for c in incoming.columns if c not in keys]
-    out = (incoming.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"))
-           .select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])) if rest \
-        else incoming.dropDuplicates(keys)
-    if stored is None:
-        return out
-    if "update_time" in keys:
-        if run_ts is not None:
-            same_run = stored.filter(F.col("update_time") == run_timestamp(run_ts)).select(*keys)
-            return out.join(broadcast_if_bounded(same_run), keys, "left_anti")
-        stamps = broadcast_if_bounded(incoming.select("update_time").distinct())
-        stored = stored.join(stamps, "update_time", "left_semi")
-    return out.join(stored.select(*keys), keys, "left_anti")
-
-
-def _existing(spark, path: str, schema) -> DataFrame | None:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        return None
+    out = _ranked(incoming, keys).filter("_nth = 1").drop("_nth")
+    return out if stored is None else out.join(_stored_keys(stored, keys, run_ts), keys, "left_anti")
 
 
 def _append(df: DataFrame, path: str, schema, keys, run_ts, partition_by=("index_type",),
-            sort_by=("date",), dead_path: str | None = None,
-            stored: DataFrame | None = None) -> DataFrame:
+            dead_path: str | None = None, stored: DataFrame | None = None) -> dict:
     """Stamp, skip conflicts, append rows that satisfy the NOT NULL rules.
 
-    Conflicts are checked against the table at ``path`` itself (or ``stored``),
-    so appending the same run again -- e.g. a retried job -- adds nothing.
-    Rows violating NOT NULL are returned and, with ``dead_path``, written there
-    as JSON lines (one folder per run).
+    Returns the counts {'built', 'written', 'conflicts', 'repeated', 'rejected'}.  Conflicts
+    are keys already stored for this run stamp (at ``path``, or in ``stored``), so a
+    retried append adds nothing.  Rows that repeat a key of the run and rows that violate
+    NOT NULL are written as JSON lines with their reason to ``dead_path``, by default a
+    folder of this run beside the table: built = written + conflicts + repeated + rejected.
+
+    The run is computed once, into the shared scratch folder, and written from there
+    range-partitioned by (index type, date, ...), so each file covers a narrow date range.
     """
-    spark = df.sparkSession
+    spark, keys = df.sparkSession, list(keys)
     if stored is None:
-        stored = _existing(spark, path, schema)
-    rows = conflict_skip(stamp(df, run_ts), stored, keys, run_ts=run_ts)
-    rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-    if dead_path:
-        # two writes from one computation of the run (a run is N x days rows)
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    good, bad = split_not_null(rows, not_null_columns(schema))
-    (good.sortWithinPartitions(*partition_by, *sort_by)
-     .write.mode("append").partitionBy(*partition_by).parquet(path))
-    if dead_path:
-        bad.select(F.to_json(F.struct(*bad.columns)).alias("value")) \
-            .write.mode("overwrite").text(dead_path)
-        rows.unpersist()
-    return bad
+        stored = scan_if_exists(spark, path, schema)
+    missing = [c for c in not_null_columns(schema)]
+    rows = stamp(df, run_ts).select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+    rows = _ranked(rows, keys)
+    nulls = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in missing])
+    rows = rows.withColumn("_reason", F.when(nulls != "", F.concat(F.lit("null_value:"), nulls)).when(
+        F.col("_nth") > 1, F.lit("repeated_key")))
+    if stored is not None:
+        have = _stored_keys(stored, keys, run_ts).distinct().withColumn("_have", F.lit(True))
+        rows = rows.join(have, keys, "left").withColumn("_reason", F.when(
+            F.col("_reason").isNull() & F.col("_have"), F.lit("conflict")).otherwise(F.col("_reason")))
+    names = [f.name for f in schema.fields]
+    staging = scratch_path(spark, "append")
+    rows.select(*names, "_reason").write.parquet(staging)
+    rows = spark.read.parquet(staging)
+    n = {r["_reason"]: r["n"] for r in rows.groupBy(F.split("_reason", ":")[0].alias("_reason")).agg(
+        F.count(F.lit(1)).alias("n")).collect()}  # at most four kinds
+    counts = {"built": sum(n.values()), "written": n.get(None, 0), "conflicts": n.get("conflict", 0),
+              "repeated": n.get("repeated_key", 0), "rejected": n.get("null_value", 0)}
+    order = [c for c in ("index_type", "date", "ticker") if c in names]
+    if counts["written"]:
+        (rows.filter("_reason IS NULL").drop("_reason").repartitionByRange(*order)
+         .sortWithinPartitions(*order).write.mode("append").partitionBy(*partition_by).parquet(path))
+    if counts["repeated"] or counts["rejected"]:
+        run = "".join(ch for ch in str(run_ts) if ch.isdigit())
+        bad = rows.filter("_reason <> 'conflict'")
+        bad.select(F.to_json(F.struct(*names, F.col("_reason").alias("reason"))).alias("value")) \
+            .write.mode("overwrite").text(dead_path or f"{path.rstrip('/')}_rejected/run={run}")
+    drop_scratch(spark, staging)
+    return counts
 
 
 def append_composition(df: DataFrame, path: str, run_ts, stored: DataFrame | None = None,
-                       dead_path: str | None = None) -> DataFrame:
+                       dead_path: str | None = None) -> dict:
     """Append a run of composition rows; rows rejected by NOT NULL (e.g. a null
-    market-cap weight when the selected caps sum to 0) are returned / dead-lettered."""
+    market-cap weight when the selected caps sum to 0) and second bars of a ticker-day
+    are counted and dead-lettered."""
     return _append(df, path, INDEX_COMPOSITION, INDEX_COMPOSITION_KEY, run_ts,
                    dead_path=dead_path, stored=stored)
 
 
-def append_performance(df: DataFrame, path: str, run_ts, dead_path: str | None = None) -> DataFrame:
+def append_performance(df: DataFrame, path: str, run_ts, dead_path: str | None = None) -> dict:
     return _append(df, path, INDEX_PERFORMANCE, INDEX_PERFORMANCE_KEY, run_ts, dead_path=dead_path)
 
 
-def append_changes(df: DataFrame, path: str, run_ts, dead_path: str | None = None) -> DataFrame:
+def append_changes(df: DataFrame, path: str, run_ts, dead_path: str | None = None) -> dict:
     return _append(df, path, INDEX_CHANGES, INDEX_CHANGES_KEY, run_ts, dead_path=dead_path)

@@ -8,6 +8,8 @@ written as DuckDB SQL in ``indexforge.plans.oracle``.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +25,7 @@ from indexforge.sinks.versioned import run_timestamp
 # --- fixed values of the fixtures -------------------------------------------
 RUN1_TS = "2024-02-01 00:00:00"     # composition run 1: top 5 on every date
 RUN2_TS = "2024-02-02 00:00:00"     # composition run 2: top 3 on even days
+RUN3_TS = "2024-02-02 12:00:00"     # composition run 3: run 1 again on every fourth day
 RUN1_TOP_N = 5
 RUN2_TOP_N = 3
 PERF_RUNS = (                        # (update_time, start, end) of the performance runs
@@ -32,6 +35,8 @@ PERF_RUNS = (                        # (update_time, start, end) of the performa
 CHANGES_TS = "2024-02-05 00:00:00"
 PAYLOAD_CHUNK_ROWS = 5000            # bar entries per landed JSON document
 ROSTER_PAGE_ROWS = 1000              # roster entries per landed page
+LATE_EVERY = 11                      # such event ids are landed under the next day
+REDELIVERED_EVERY = 7                # such event ids come again, two days later, at twice the price
 # ----------------------------------------------------------------------------
 
 
@@ -117,14 +122,19 @@ def bars_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
         "is_otc": F.lit(False), "is_adjusted": F.lit(True)})
 
 
-def composition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """fx_composition: run 1 = top 5 on every date, run 2 = top 3 on even days of
-    the month; both index types, both appended (with their update_time)."""
+def composition_runs(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFrame]]:
+    """(update_time, rows) of the runs: 1 = top 5 on every date, 2 = top 3 on even days of
+    the month, 3 = the rows of run 1 again on every fourth day; both index types."""
     px, inst = bars(spark, sf_dir), instruments(spark, sf_dir)
     run1 = build_index(px, inst, RUN1_TOP_N, INDEX_TYPES)
     run2 = build_index(px.filter(F.dayofmonth("date") % 2 == 0), inst, RUN2_TOP_N, INDEX_TYPES)
-    return (run1.withColumn("update_time", run_timestamp(RUN1_TS))
-            .unionByName(run2.withColumn("update_time", run_timestamp(RUN2_TS))))
+    return [(RUN1_TS, run1), (RUN2_TS, run2), (RUN3_TS, run1.filter(F.dayofmonth("date") % 4 == 0))]
+
+
+def composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """fx_composition: the three runs appended, with their update_time."""
+    runs = [df.withColumn("update_time", run_timestamp(ts)) for ts, df in composition_runs(spark, sf_dir)]
+    return reduce(DataFrame.unionByName, runs)
 
 
 def performance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,11 +165,13 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bar entries of the landed payloads: one per event.  The ticker is missing
     for 'error' events (they become dead letters); ``otc`` only on even event ids.
+    ``date`` is the landing day: the event's, or the next one for late ids.
     Columns are named ticker / epoch_ms here; the payload keys T / t are only
     given when the JSON is written (they clash in a case-insensitive session)."""
     ev = table(spark, sf_dir, "events")
     return ev.select(
-        F.to_date("ts").alias("date"), "event_id",
+        F.date_add(F.to_date("ts"), F.when(F.col("event_id") % LATE_EVERY == 0, 1).otherwise(0)).alias("date"),
+        "event_id",
         F.when(F.col("event_type") != "error", ticker_of("U", "user_id")).alias("ticker"),
         ntz_to_epoch_ms("ts").alias("epoch_ms"),
         F.col("value").alias("o"), F.col("value").alias("h"), F.col("value").alias("l"),
@@ -168,8 +180,15 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_id") % 2 == 0, F.lit(True)).alias("otc"))
 
 
+def redelivered(ticks_df: DataFrame) -> DataFrame:
+    """Some ticks again in a later file: same key, landed two days later, twice the price, not otc."""
+    again = ticks_df.filter(F.col("event_id") % REDELIVERED_EVERY == 0)
+    return again.withColumns({"date": F.date_add("date", 2), "otc": F.lit(None).cast("boolean"),
+                              **{c: F.col(c) * 2 for c in ("o", "h", "l", "c", "vw")}})
+
+
 def land_bar_payloads(ticks_df: DataFrame, root: str,
-                      chunk_rows: int = PAYLOAD_CHUNK_ROWS) -> None:
+                      chunk_rows: int = PAYLOAD_CHUNK_ROWS, mode: str = "errorifexists") -> None:
     """Write grouped-daily payload documents under ``root/date=YYYY-MM-DD/``.
 
     A day is split into documents of at most ``chunk_rows`` entries, so no
@@ -185,7 +204,7 @@ def land_bar_payloads(ticks_df: DataFrame, root: str,
                        F.transform("_r", lambda x: x["e"]).alias("results"))
     (docs.select(F.date_format("date", "yyyy-MM-dd").alias("date"),
                  F.to_json(payload).alias("value"))
-     .write.mode("errorifexists").partitionBy("date").text(root))
+     .write.mode(mode).partitionBy("date").text(root))
 
 
 def land_detail_payloads(spark: SparkSession, sf_dir: str, path: str) -> None:

@@ -11,10 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from indexforge.constants import DEFAULT_ROSTER_LIMIT, ROSTER_MARKET
+from indexforge.constants import ROSTER_MARKET
 from indexforge.functions.calendar import epoch_ms_to_date
 from indexforge.schemas import BAR_FIELDS, DETAIL_PAYLOAD, ROSTER_PAYLOAD, STOCK_PRICES
 
@@ -43,6 +44,11 @@ def read_landed_text(spark: SparkSession, root: str, dates=None) -> DataFrame:
     return with_source(spark.read.option("recursiveFileLookup", "true").text(paths))
 
 
+def _default_false(raw) -> Column:
+    """A missing key is false; an explicit null stays null."""
+    return F.when(raw.isNull(), F.lit(False)).otherwise(F.try_variant_get(raw, "$", "boolean"))
+
+
 def explode_bar_entries(text: DataFrame) -> DataFrame:
     """One row per bar entry; an unparsable line yields one row with a null entry.
 
@@ -57,7 +63,7 @@ def explode_bar_entries(text: DataFrame) -> DataFrame:
         "source_file", "request_date",
         F.when(v.isNull(), F.col("value")).alias("raw"),
         v.isNull().alias("corrupt"),
-        F.try_variant_get(v, "$.adjusted", "boolean").alias("adjusted"),
+        _default_false(F.try_variant_get(v, "$.adjusted", "variant")).alias("adjusted"),
         F.variant_get(v, "$.results", "variant").alias("results"))
     return spark.sql(
         """
@@ -72,7 +78,7 @@ def flatten_bars(entries: DataFrame, date_rule: str = "epoch") -> DataFrame:
 
     ``date_rule='epoch'``: date = UTC date of ``t`` (monolithic generation).
     ``date_rule='request'``: date = the requested (landing) date (service generation).
-    ``otc`` and ``adjusted`` default to false when missing.
+    ``otc`` and ``adjusted`` default to false when missing; an explicit null stays null.
     Rejected: unparsable line, null ticker or timestamp, or a present value that
     does not fit its column (e.g. ``n`` above the int range).
 
@@ -99,8 +105,9 @@ def flatten_bars(entries: DataFrame, date_rule: str = "epoch") -> DataFrame:
                   ",", *[F.when(u, F.lit(k)) for k, u in unusable.items()]))))
     step3 = step2.withColumn("_reason", reason)
     cols = {name: F.col(typ) for _, _, typ, name, _ in keys}
-    cols["is_otc"] = F.coalesce(cols["is_otc"], F.lit(False))
-    cols["is_adjusted"] = F.coalesce(F.col("adjusted"), F.lit(False))
+    raw_otc = next(raw for k, raw, _, _, _ in keys if k == "otc")
+    cols["is_otc"] = F.when(F.col(raw_otc).isNull(), F.lit(False)).otherwise(cols["is_otc"])
+    cols["is_adjusted"] = F.col("adjusted")
     if date_rule == "epoch":
         cols["date"] = epoch_ms_to_date(cols["timestamp"])
     elif date_rule == "request":
@@ -143,8 +150,22 @@ def flatten_details(raw: DataFrame) -> DataFrame:
             "weighted_shares_outstanding")])
 
 
+def _detail_lines(spark: SparkSession, path: str) -> DataFrame:
+    schema = StructType([*DETAIL_PAYLOAD.fields, StructField("_corrupt_record", StringType(), True)])
+    return spark.read.schema(schema).json(path)
+
+
 def read_detail_payloads(spark: SparkSession, path: str) -> DataFrame:
-    return flatten_details(spark.read.schema(DETAIL_PAYLOAD).json(path))
+    """Profiles whose every value fits its column; the others are in ``detail_rejects``."""
+    lines = _detail_lines(spark, path)
+    return flatten_details(lines.filter(F.col("_corrupt_record").isNull()))
+
+
+def detail_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """(ticker, payload) of the profiles that are no JSON or hold a value that does not fit,
+    for example an employee count above the int range: rejected whole, as the original does."""
+    lines = _detail_lines(spark, path).filter(F.col("_corrupt_record").isNotNull())
+    return lines.select(F.col("results.ticker").alias("ticker"), F.col("_corrupt_record").alias("payload"))
 
 
 def roster_entries(spark: SparkSession, path: str) -> DataFrame:
@@ -153,9 +174,8 @@ def roster_entries(spark: SparkSession, path: str) -> DataFrame:
             .select(F.inline("results")))
 
 
-def roster_scan(spark: SparkSession, path: str,
-                limit: int | None = DEFAULT_ROSTER_LIMIT) -> DataFrame:
-    """Active stock tickers in roster order (ticker order), first ``limit``."""
+def roster_scan(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
+    """Active stock tickers in roster order (ticker order); all, or the first ``limit``."""
     out = (roster_entries(spark, path)
            .filter((F.col("market") == ROSTER_MARKET) & F.col("active"))
            .select("ticker").orderBy("ticker"))
@@ -163,7 +183,8 @@ def roster_scan(spark: SparkSession, path: str,
 
 
 def missing_symbols(roster: DataFrame, stored: DataFrame, n: int | None = None) -> DataFrame:
-    """Roster tickers not yet stored, roster order kept, first ``n`` (all if None)."""
+    """Tickers of ``roster`` (the active stocks of ``roster_scan``) not yet stored, roster
+    order kept, first ``n`` (all if None)."""
     out = (roster.select("ticker").join(stored.select("ticker"), "ticker", "left_anti")
            .orderBy("ticker"))
     return out.limit(n) if n is not None else out

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from indexforge.constants import DEFAULT_PREVIEW_ROWS
 from indexforge.schemas import TABLES
+from indexforge.session import path_exists
 
 
 def scan_table(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -16,6 +17,12 @@ def scan_table(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def scan_if_exists(spark: SparkSession, path: str, schema) -> DataFrame | None:
+    """The table at ``path``, or None when there is no such path.  Any other failure
+    to read it is raised: an unreadable table must not pass for an empty one."""
+    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else None
+
+
 def preview(df: DataFrame, key, n: int = DEFAULT_PREVIEW_ROWS) -> DataFrame:
     """``SELECT * ... LIMIT n`` made deterministic by ordering on the key
     (planned as a top-k, not a full sort)."""

@@ -2,14 +2,15 @@
 
 File source -> ``trigger(availableNow=True)`` -> ``foreachBatch`` running the
 same parse/split/write as the batch job.  Each micro-batch writes to folders
-named by its batch id with ``overwrite``, so a batch replayed after a failure
-replaces its own output (exactly-once effect on the log).  No watermark: a late
+named by stream id and batch id with ``overwrite``, so a batch replayed after a
+failure replaces its own output and no other stream's (exactly-once effect on the log).  No watermark: a late
 day is simply accepted and upserts over older rows, as in the original.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,13 @@ def _with_request_date(df: DataFrame) -> DataFrame:
         F.regexp_extract("source_file", _DATE_IN_PATH, 1), "yyyy-MM-dd"))
 
 
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id the checkpoint holds for its stream: it survives restarts, and a new
+    checkpoint has a new one, so two streams on one log cannot replace each other's loads."""
+    line = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()["value"]
+    return json.loads(line)["id"]
+
+
 def start_ingest_stream(spark: SparkSession, landing_root: str, log_root: str,
                         dead_root: str, checkpoint: str, date_rule: str = "request",
                         max_files_per_trigger: int | None = None, run_ts=None,
@@ -42,10 +50,13 @@ def start_ingest_stream(spark: SparkSession, landing_root: str, log_root: str,
     lines = (reader.load(f"{landing_root.rstrip('/')}/date=*")
              .select("value", F.col("_metadata.file_path").alias("source_file")))
     results: list[dict] = []
+    name: list[str] = []
 
     def _batch(df: DataFrame, batch_id: int) -> None:
         ts = run_ts or _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
-        load_id = f"stream-{batch_id:012d}"
+        if not name:
+            name.append(_stream_id(spark, checkpoint))
+        load_id = f"stream-{name[0]}-{batch_id:012d}"
         results.append(ingest_text(_with_request_date(df), log_root, dead_root,
                                    load_id, ts, date_rule))
         if current_path:

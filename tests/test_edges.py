@@ -244,8 +244,10 @@ def test_zero_cap_total_weight_is_rejected_on_append(spark, scratch):
     inst = spark.createDataFrame([("A", 0.0), ("B", 0.0)], "ticker string, market_cap double")
     built = con.build_index(prices, inst, 5)
     path, dead = scratch("comp"), scratch("dead")
-    bad = append_composition(built, path, "2024-02-01 00:00:00", dead_path=dead)
-    assert bad.count() == 2 and all(r.index_type == MARKET_CAP_WEIGHTED for r in bad.collect())
+    counts = append_composition(built, path, "2024-02-01 00:00:00", dead_path=dead)
+    assert counts == {"built": 4, "written": 2, "conflicts": 0, "repeated": 0, "rejected": 2}
+    lost = [json.loads(r.value) for r in spark.read.text(dead).collect()]
+    assert all(r["index_type"] == MARKET_CAP_WEIGHTED and r["reason"] == "null_value:weight" for r in lost)
     stored = scan_table(spark, path, "index_composition")
     assert stored.count() == 2 and {r.index_type for r in stored.collect()} == {EQUAL_WEIGHTED}
     assert spark.read.text(dead).count() == 2

@@ -5,8 +5,10 @@ import pytest
 import __spark_entry__ as entry
 from compare import compare, duck
 from conftest import SF_SMALL
+from indexforge.plans.catalog import QUERIES
+from indexforge.plans.oracle import ORACLE
 
-KEYS = sorted(entry.queries())
+KEYS = sorted(QUERIES)  # the training-data queries have tests of their own
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +17,8 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("key", KEYS)

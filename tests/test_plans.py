@@ -1,9 +1,9 @@
 """Plan shape: the properties the design relies on at scale."""
 
-import __spark_entry__ as entry
 from conftest import SF_SMALL
 from indexforge.operators import construct as con
 from indexforge.operators import performance as perf
+from indexforge.plans.catalog import QUERIES
 from indexforge.sources import fixtures as fx
 
 
@@ -25,7 +25,7 @@ def test_report_range_reaches_the_scan(spark):
 
 
 def test_no_python_in_any_registered_plan(spark):
-    for key, q in entry.queries().items():
+    for key, q in QUERIES.items():
         if key in ("ingest_stream",):
             continue
         p = _plan(q(spark, SF_SMALL))
