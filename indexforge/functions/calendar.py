@@ -1,7 +1,7 @@
 """Date helpers as Catalyst expressions.
 
 All of them are independent of the session time zone: bar dates are UTC dates
-of epoch milliseconds, computed with integer day arithmetic.
+of epoch milliseconds, the floor of milliseconds / day.
 """
 
 from __future__ import annotations
