@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from indexforge.llm.text import fold_bucket
 
-#: Rows of an Arrow batch handed to Python: bounds a worker's memory when texts are long.
-BATCH_ROWS = 256
+#: Rows and bytes of an Arrow batch handed to Python: they bound a worker's memory when texts are long
+#: and keep batches of small rows large.
+BATCH_ROWS, BATCH_BYTES = 20_000, 1 << 20
 
 
 def small_batches(spark) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, *, folds: int, held_out: int,

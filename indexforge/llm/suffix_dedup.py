@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,7 +46,7 @@ _RNG = np.random.default_rng(20261)
 _BYTE = _RNG.integers(1, 2 ** 63, 256, dtype=np.uint64)
 _K = [np.uint64(pow(0x9E3779B97F4A7C15, 2 ** k, 2 ** 64)) for k in range(5)]
 #: Rows of refinement sorted at once.
-ROWS_AT_ONCE = 60_000
+ROWS_AT_ONCE = 30_000
 
 
 def qgrams(b: np.ndarray) -> np.ndarray:
@@ -140,6 +141,7 @@ def _around(n: int):
         for b in batches:
             for i, t, ats in zip(b.column(0).to_pylist(), _texts(b.column(1)), b.column(2), strict=True):
                 raw, h = t.tobytes(), qgrams(t)
+                spread = int(h[0]) - (1 << 63)  # decided ranges only pass through the next shuffle
                 for p in np.unique(ats.values.to_numpy()).tolist():
                     s, e = max(0, p - left), min(len(raw), p + n)
                     around = bytes([p - s]) + raw[s:e]
@@ -148,29 +150,35 @@ def _around(n: int):
                         first[around] = (i, p)
                         rows.append((0, int(h[p]) - (1 << 63), i, p, 0, around))
                     elif i > old[0]:
-                        rows.append((1, 0, i, s, e, None))
+                        rows.append((1, spread, i, s, e, None))
                     # i == old[0]: strings repeated inside one document do not count here
                     elif i < old[0]:  # the smaller id goes on instead; the one before is covered
                         q = old[1]
-                        rows.append((1, 0, old[0], q - (p - s), q - (p - s) + e - s, None))
+                        rows.append((1, spread, old[0], q - (p - s), q - (p - s) + e - s, None))
                         first[around] = (i, p)
                         rows.append((0, int(h[p]) - (1 << 63), i, p, 0, around))
                     else:
                         rows.append((0, int(h[p]) - (1 << 63), i, p, 0, around))
-            if len(first) > 400_000:  # bounds the memory of a large task
-                first = {}
-            if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(
-                        (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))],
-                    names=["kind", "g", "id", "s", "e", "around"])
-                rows = []
+                if len(rows) >= 20_000:  # a batch of long texts has many
+                    yield rows_of(rows)
+                    rows = []
+                if len(first) > 100_000:  # bounds the memory of a large task
+                    first = {}
+        if rows:
+            yield rows_of(rows)
+
+    def rows_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(
+                (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))],
+            names=["kind", "g", "id", "s", "e", "around"])
     return run
 
 
 def refine(bucket: np.ndarray, later: np.ndarray) -> np.ndarray:
     """Bucket identifiers after sorting on (bucket, identifier at a later offset)."""
-    return np.unique(bucket.astype(np.int64) * (int(later.max(initial=0)) + 1) + later, return_inverse=True)[1]
+    later = later.astype(np.int64)
+    return np.unique(bucket * (int(later.max(initial=0)) + 1) + later, return_inverse=True)[1]
 
 
 def _decide(g, ids, at, around, n: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -196,7 +204,7 @@ def _decide(g, ids, at, around, n: int) -> Iterator[tuple[np.ndarray, np.ndarray
         return
     pick = pick[np.argsort(ids[pick], kind="stable")]
     # 0 pads beyond a text's ends, bytes count from 1
-    full = np.zeros((len(pick), left + n), np.int64)
+    full = np.zeros((len(pick), left + n), np.int16)
     for r, k in enumerate(pick):
         x = np.frombuffer(around[k], np.uint8)[1:]
         full[r, left - before[k]:left - before[k] + len(x)] = x
@@ -223,7 +231,7 @@ def _decide(g, ids, at, around, n: int) -> Iterator[tuple[np.ndarray, np.ndarray
 
 
 def _refined(n: int, max_bucket: int):
-    """From rows (g, id, t, around) sorted by (g, around, id): (kind 1, id, s, e) of decided ranges and
+    """From the rows of ``_around`` sorted by (g, around, id): (kind 1, id, s, e) of decided ranges and
     (kind 2, id, s, around) of buckets too large to gather."""
     def ranges(parts) -> Iterator[pa.RecordBatch]:
         for i, s, e in parts:
@@ -240,35 +248,47 @@ def _refined(n: int, max_bucket: int):
              pa.array(np.zeros(k, np.int32)), pa.array(rows[3], pa.binary())],
             names=["kind", "id", "s", "e", "around"])
 
+    def split(x) -> Iterator[pa.RecordBatch]:
+        """Whole buckets: the large ones go on as they are, the others are decided."""
+        _, where, size = np.unique(x[0], return_inverse=True, return_counts=True)
+        big = size[where] > max_bucket
+        if big.any():
+            yield large([c[big] for c in x])
+        if not big.all():
+            yield from ranges(_decide(*[c[~big] for c in x], n))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest, over = None, None
+        parts, count, over = [], 0, None
         for b in batches:
+            done = pc.equal(b.column(0), 1)
+            yield b.filter(done).select(["kind", "id", "s", "e", "around"])
+            b = b.filter(pc.invert(done)).select(["g", "id", "s", "around"])
             x = [b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_numpy().astype(np.int64),
                  np.array([*b.column(3).to_pylist(), None], object)[:-1]]
-            if rest is not None:
-                x = [np.concatenate(p) for p in zip(rest, x, strict=True)]
-                rest = None
-            if over is not None:  # more of a large bucket
-                cut = np.searchsorted(x[0], over, side="right") if x[0][0] == over else 0
+            if over is not None and len(x[0]):  # more of a large bucket
+                cut = np.searchsorted(x[0], over, side="right")
                 if cut:
                     yield large([c[:cut] for c in x])
                     x = [c[cut:] for c in x]
-                if not len(x[0]):
-                    continue
-                over = None
-            if len(x[0]) < ROWS_AT_ONCE:
-                rest = x
+                over = None if len(x[0]) else over
+            parts.append(x)
+            count += len(x[0])
+            if count < ROWS_AT_ONCE:
                 continue
+            x = [np.concatenate(p) for p in zip(*parts, strict=True)]
             start = np.searchsorted(x[0], x[0][-1])  # the last bucket may go on
             if start:
-                yield from ranges(_decide(*[c[:start] for c in x], n))
-            rest = [c[start:] for c in x]
-            if len(rest[0]) > max_bucket:
-                over = rest[0][0]
-                yield large(rest)
-                rest = None
-        if rest is not None and len(rest[0]):
-            yield from ranges(_decide(*rest, n))
+                yield from split([c[:start] for c in x])
+            x = [c[start:] for c in x]
+            if len(x[0]) > max_bucket:
+                over = x[0][0]
+                yield large(x)
+                x = [c[:0] for c in x]
+            parts, count = [x], len(x[0]) if len(x[0]) < ROWS_AT_ONCE else 0
+        if parts:
+            x = [np.concatenate(p) for p in zip(*parts, strict=True)]
+            if len(x[0]):
+                yield from split(x)
     return run
 
 
@@ -335,22 +355,16 @@ def repeated_ranges(d: DataFrame, n: int = 50, *, max_bucket: int = 100_000,
                     max_broadcast_rows: int = 500_000) -> DataFrame:
     """(id, s, e) of byte ranges of ``d`` (id, text) covered by strings of smaller ids."""
     spark = d.sparkSession
-    wide = lambda: spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "30000")
     small_batches(spark)
     found = d.mapInArrow(_all_anchors(n), "g long, id long, t int")
-    wide()
     shared = stored(found.repartition("g").sortWithinPartitions("g", "id").mapInArrow(
         _shared, "id long, t int"), "shared_anchors")
     by_doc = shared.groupBy("id").agg(F.collect_list("t").alias("ts"))
     ids = stored(shared.select("id").distinct(), "anchored")
-    small_batches(spark)
     own = _restricted(d, ids, max_broadcast_rows).dropDuplicates(["id"])
     near = own.join(by_doc, "id").select("id", "text", "ts").mapInArrow(
         _around(n), "kind int, g long, id long, s int, e int, around binary")
-    near = stored(near, "anchor_surroundings")
-    wide()
-    rows = near.filter("kind = 0").select("g", "id", F.col("s").alias("t"), "around")
-    decided = stored(rows.repartition("g").sortWithinPartitions("g", "around", "id").mapInArrow(
+    decided = stored(near.repartition("g").sortWithinPartitions("g", "around", "id").mapInArrow(
         _refined(n, max_bucket), "kind int, id long, s int, e int, around binary"), "refined")
     strings = decided.filter("kind = 2").select("id", F.col("s").alias("t"), "around").mapInArrow(
         _strings(n), "k1 long, k2 long, id long, s long")
@@ -358,9 +372,7 @@ def repeated_ranges(d: DataFrame, n: int = 50, *, max_bucket: int = 100_000,
         "low < high").select("k1", "k2", "low")
     late = strings.join(low, ["k1", "k2"]).filter("low < id").select(
         "id", F.col("s").cast("int").alias("s"), (F.col("s") + n).cast("int").alias("e"))
-    small_batches(spark)
-    return near.filter("kind = 1").select("id", "s", "e").unionByName(
-        decided.filter("kind = 1").select("id", "s", "e")).unionByName(late)
+    return decided.filter("kind = 1").select("id", "s", "e").unionByName(late)
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", *, n: int = 50,
