@@ -161,19 +161,24 @@ def learn_lexicon(sample: list[tuple[str, int]], least: int = 5, log_odds: float
     words that merely come along with an insult (in copies of a text, say) stay out.  Equal texts count once.
     """
     sample = sorted(set((t or "", y) for t, y in sample))
-    n, toxic, plain = Counter(y for _, y in sample), {}, Counter()
-    forms = []
-    for t, _ in sample:
+    def forms(t: str) -> set:
         own = set(WORD.findall(t.lower()))
-        forms.append({(w, True) for w in own} | {(w[:k], False) for w in own for k in STEMS if len(w) > k})
-    for i, (_, y) in enumerate(sample):
+        return {(w, True) for w in own} | {(w[:k], False) for w in own for k in STEMS if len(w) > k}
+
+    # counts first, so that texts are only listed for forms that enough of them have
+    n, often, plain = Counter(y for _, y in sample), Counter(), Counter()
+    for t, y in sample:
+        if y:
+            often.update(forms(t))
+    toxic: dict = {f: set() for f, k in often.items() if k >= least}
+    del often
+    for i, (t, y) in enumerate(sample):
+        own = forms(t) & toxic.keys()
         if y:
-            for f in forms[i]:
-                toxic.setdefault(f, set()).add(i)
-    toxic = {f: d for f, d in toxic.items() if len(d) >= least}
-    for i, (_, y) in enumerate(sample):
-        if not y:
-            plain.update(forms[i] & toxic.keys())
+            for f in own:
+                toxic[f].add(i)
+        else:
+            plain.update(own)
     sure = []
     for f, d in toxic.items():
         a, b = len(d), plain[f]
