@@ -6,8 +6,8 @@ shared anew by weight until none is above (water filling).  Filled amounts are
 min(cap, level x weight), so the level follows from the sources in order of cap / weight.
 
 Documents: inside a source the order is a hash of (doc_id, text), so reruns agree.  A target
-takes whole passes over the source and then the documents whose words begin before the rest of the
-target in that order, so a source misses its target by less than one document.
+takes whole passes over the source and then, in that order, the documents whose middle lies before the
+rest of the target, so a source misses its target by half a document at most.
 
 Curriculum: source k's share of the training stream changes over the time t in [0, 1] as
 ``1 + slope_k (2 t - 1)``, with slopes that alternate in sign.  Its integral up to t is the part
@@ -32,7 +32,7 @@ from indexforge.llm.text import stored, ws_words
 #: The repeating weights and the slopes of the schedules.
 WEIGHTS = [5, 2, 1]
 SLOPES = [-0.5, 0.5, 0.0]
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 5_000
 
 
 def source_targets(sizes: DataFrame, share: float = 1.5, max_epochs: int = 2) -> DataFrame:
@@ -94,7 +94,7 @@ def mix_sources(docs: DataFrame, key: str = "doc_id", source: str = "source", te
     passes = F.least(passes.cast("long"), F.lit(max_epochs).cast("long"))
     rest = F.col("target") - passes * F.col("source_size")
     copies = F.when(F.col("size") == 0, 0).otherwise(
-        passes + F.when((passes < max_epochs) & (start < rest), 1).otherwise(0)).cast("long")
+        passes + F.when((passes < max_epochs) & (start + F.col("size") / 2 <= rest), 1).otherwise(0)).cast("long")
     d = d.withColumn("start", start).withColumn("copies", copies)
     at = F.transform(F.filter(F.sequence(F.lit(0), F.lit(max_epochs - 1)), lambda i: i < F.col("copies")),
                      lambda i: position(F.least(F.lit(1.0), (i * F.col("source_size") + F.col("start"))
