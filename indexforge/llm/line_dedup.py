@@ -8,8 +8,9 @@ of that host.
 Scale: lines are reduced to distinct hashes inside each row, and counts per (host, line) are
 combined in the map tasks, so a host or a line with a third of all rows sends one row per task.
 A host has at most ``distinct lines per page / max_share`` boilerplate lines, so its list is
-bounded by the page length and not by the number of pages; it joins the pages by host as a plain
-equi-join (Spark broadcasts it when its statistics say so and splits a hot host otherwise).
+bounded by the page length and not by the number of pages.  The lists are counted: up to
+``max_broadcast_lines`` (16 bytes each) they are broadcast and the texts are not shuffled; beyond
+that they join the pages by host as a plain equi-join, in which Spark splits a hot host.
 
 Defined results: a null text stays null and an empty one stays empty; a null host is a host of
 its own; lines without a word stay; repeated rows are pages of their own; all columns of the
@@ -21,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from indexforge.llm.text import WS
+from indexforge.llm.text import WS, stored
 
 
 def _line_key(line: Column) -> Column:
@@ -53,10 +54,14 @@ def boilerplate_lines(pages: DataFrame, host: str = "source", text: str = "text"
 
 
 def drop_boilerplate(pages: DataFrame, host: str = "source", text: str = "text", *,
-                     max_share: float = 0.1, min_pages: int = 3) -> DataFrame:
+                     max_share: float = 0.1, min_pages: int = 3,
+                     max_broadcast_lines: int = 500_000) -> DataFrame:
     """``pages`` with boilerplate lines removed from ``text``, and ``__dropped`` lines counted."""
-    bad = boilerplate_lines(pages, host, text, max_share=max_share, min_pages=min_pages).select(
-        F.col("host").alias("__host"), F.col("lines").alias("__bad"))
+    bad = stored(boilerplate_lines(pages, host, text, max_share=max_share, min_pages=min_pages), "boilerplate")
+    size = bad.agg(F.coalesce(F.sum(F.size("lines")), F.lit(0))).first()[0]
+    bad = bad.select(F.col("host").alias("__host"), F.col("lines").alias("__bad"))
+    if size <= max_broadcast_lines:
+        bad = F.broadcast(bad)
     j = pages.join(bad, F.col(host).eqNullSafe(F.col("__host")), "left")
     lines = F.split(F.col(text), "\n")
     kept = F.filter(lines, lambda x: ~F.array_contains(F.col("__bad"), F.struct(

@@ -145,7 +145,7 @@ def test_mix(spark, edge, sample):
             assert r.taken <= 2 * r.size and r.taken == r.copies * r.size == len(r.positions) * r.size
             assert all(-1e-9 <= p <= 1 + 1e-9 for p in r.positions)
             taken[s], most[s] = taken[s] + r.taken, max(most[s], r.size)
-        assert all(abs(taken[s] - want[s]) <= most[s] for s in want)
+        assert all(abs(taken[s] - want[s]) <= most[s] / 2 + 1e-6 for s in want)
         again = curriculum.mix_sources(df.repartition(7)).collect()
         assert sorted(map(str, got)) == sorted(map(str, again))
     assert curriculum.mix_sources(edge.limit(0)).count() == 0
@@ -181,6 +181,8 @@ def test_line_dedup(spark, edge):
         got = line_dedup.drop_boilerplate(df, max_share=share, min_pages=least)
         assert {r.doc_id: r.text for r in got.collect()} == want(pages, share, least)
         assert got.drop("__dropped").columns == df.columns
+        wide = line_dedup.drop_boilerplate(df, max_share=share, min_pages=least, max_broadcast_lines=-1)
+        assert sorted(map(str, wide.collect())) == sorted(map(str, got.collect()))
     assert line_dedup.drop_boilerplate(df.limit(0)).count() == 0
     small = spark.read.parquet(f"{SF}/documents.parquet")
     pages = [(r.doc_id, r.text, r.source) for r in small.collect()]
