@@ -83,11 +83,30 @@ def _texts(column: pa.Array) -> Iterator[np.ndarray]:
         yield data[a:b]
 
 
-def _all_anchors(n: int):
+def _all_anchors(n: int, flush: int = 300_000):
+    """(g, id, t) of every anchor.  A q-gram that two documents of the task's last ``flush`` rows share is
+    known to be shared: its rows only pass through the shuffle, spread evenly (marked by t < 0), and
+    the smallest and largest id stand for them under g, however many documents hold it."""
+    def rows(g: np.ndarray, ids: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+        order = np.argsort(g, kind="stable")
+        g, ids, at = g[order], ids[order], at[order].astype(np.int32)
+        start = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
+        low, high = np.minimum.reduceat(ids, start), np.maximum.reduceat(ids, start)
+        two = low < high
+        known = np.repeat(two, np.diff(np.append(start, len(g))))
+        own = np.where(known, mix(ids.view(np.uint64) * np.uint64(31) + at.astype(np.uint64)), g)
+        # any position of the two ids will do: their rows are there already
+        both = [np.flatnonzero(known & (ids == np.repeat(x, np.diff(np.append(start, len(g)))))) for x in (low, high)]
+        both = [x[np.unique(g[x], return_index=True)[1]] for x in both]
+        extra = np.concatenate(both)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([own, g[extra]]).view(np.int64)), pa.array(np.concatenate([ids, ids[extra]])),
+             pa.array(np.concatenate([np.where(known, -at - 1, at), at[extra]]).astype(np.int32))],
+            names=["g", "id", "t"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = set()
+        seen, g, ids, at, count = set(), [], [], [], 0
         for b in batches:
-            g, ids, at = [], [], []
             for i, t in zip(b.column(0).to_pylist(), _texts(b.column(1)), strict=True):
                 if len(t) < n:
                     continue
@@ -99,10 +118,12 @@ def _all_anchors(n: int):
                 g.append(h)
                 at.append(p)
                 ids.append(np.full(len(p), i, np.int64))
-            if g:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(g).view(np.int64)), pa.array(np.concatenate(ids)),
-                     pa.array(np.concatenate(at).astype(np.int32))], names=["g", "id", "t"])
+                count += len(p)
+            if count >= flush:
+                yield rows(*map(np.concatenate, (g, ids, at)))
+                g, ids, at, count = [], [], [], 0
+        if count:
+            yield rows(*map(np.concatenate, (g, ids, at)))
     return run
 
 
@@ -111,7 +132,11 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held = None  # rows of the last bucket, while it has one id only
     open_ = None  # the last bucket, once it has two
     for b in batches:
-        x = [c.to_numpy() for c in b.columns]
+        known = pc.less(b.column(2), 0)
+        x = [c.to_numpy() for c in b.filter(known).columns[1:]]
+        if len(x[0]):
+            yield pa.RecordBatch.from_arrays([pa.array(x[0]), pa.array(-x[1] - 1)], names=["id", "t"])
+        x = [c.to_numpy() for c in b.filter(pc.invert(known)).columns]
         if held is not None:
             x = [np.concatenate(p) for p in zip(held, x, strict=True)]
             held = None
