@@ -13,7 +13,8 @@ shingles, so a pair that leaves out up to the larger of two such limits still me
 
 1. Copies (equal sets) become one representative: the smallest id.
 2. Cells are repartitioned and sorted by value; the reducer streams each group and names the
-   smallest id as hub of the others: groups cost their rows, not their pairs.
+   smallest id as hub of the others: groups cost their rows, not their pairs.  A cell that many texts of
+   one map task share is split off before the shuffle and represented by its smallest id.
 3. Each text is verified against the hub it shares most cells with; verified links form components.
 4. Groups that hold texts of different components are completed: what is not joined
    yet is compared inside the group by fixed-width bit-parity sketches (their Hamming distance bounds the
@@ -35,6 +36,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,7 +46,8 @@ from indexforge.llm.graph import components
 from indexforge.llm.shingles import mix, shingle_sets
 from indexforge.llm.text import stored
 
-SKETCH_BITS = 2048
+#: Least bits of a bit-parity sketch; it has 2 to 4 bits a shingle beyond that.
+SKETCH_BITS = 1024
 
 
 class Bands:
@@ -88,11 +92,23 @@ def cells(s: np.ndarray, band: int, d: int, k: int) -> np.ndarray:
 
 
 def bit_sketch(s: np.ndarray) -> bytes:
-    """SKETCH_BITS parities: bit i tells whether an odd number of shingles falls on it."""
-    n = np.bincount((mix(s + np.uint64(7)) % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS)
+    """Parities: bit i tells whether an odd number of shingles falls on it.  The width is a power of two
+    that grows with the set, so that the distance of large sets does not saturate."""
+    bits = max(SKETCH_BITS, 1 << (2 * len(s) - 1).bit_length())
+    n = np.bincount((mix(s + np.uint64(7)) % np.uint64(bits)).astype(np.int64), minlength=bits)
     return np.packbits((n & 1).astype(np.uint8)).tobytes()
 
 
+def sketch_distance(x: np.ndarray, y: np.ndarray) -> int:
+    """Hamming distance of two sketches; the wider is folded (halves XORed) to the width of the other,
+    which is its sketch at that width."""
+    while len(x) != len(y):
+        if len(x) < len(y):
+            x, y = y, x
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def similar(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
     if not len(a) or not len(b) or den * min(len(a), len(b)) < num * max(len(a), len(b)):
         return False
@@ -115,11 +131,34 @@ def _sets_info(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              _long(np.array([x for _, x in sums], np.uint64).view(np.int64))], names=["id", "n", "s1", "s2"])
 
 
-def _all_cells(num: int, den: int):
+def _all_cells(num: int, den: int, split: int, flush: int = 300_000):
+    """(cell, id, root) of every text.  A cell that more than ``split`` texts of the task's last
+    ``flush`` rows share becomes a cell of this task (its ``root`` tells which), and only its smallest id
+    goes on under the cell itself: a cell shared by a third of all texts sends one row per flush."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands, seen = Bands(num, den), set()
+        bands, seen, keys, ids, salt = Bands(num, den), set(), [], [], [TaskContext.get().partitionId() << 32]
+
+        def rows() -> pa.RecordBatch:
+            c, i = np.concatenate(keys), np.concatenate(ids)
+            keys.clear()
+            ids.clear()
+            salt[0] += 1
+            order = np.argsort(c, kind="stable")
+            c, i = c[order], i[order]
+            start = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
+            size = np.diff(np.append(start, len(c)))
+            hot = np.repeat(size > split, size)
+            own = np.where(hot, mix(c ^ mix(np.full(1, salt[0], np.uint64))), c)
+            first = size > split
+            lows = np.minimum.reduceat(i, start)[first]
+            cell = np.concatenate([own, c[start[first]]]).view(np.int64)
+            root = pa.array(np.concatenate([c, c[start[first]]]).view(np.int64),
+                            mask=np.concatenate([~hot, np.ones(len(lows), bool)]))
+            return pa.RecordBatch.from_arrays([pa.array(cell), pa.array(np.concatenate([i, lows])), root],
+                                              names=["cell", "id", "root"])
+
+        n = 0
         for b in batches:
-            keys, ids = [], []
             for i, s in zip(b.column(0).to_pylist(), shingle_sets(b.column(1)), strict=True):
                 if not len(s):
                     continue
@@ -131,15 +170,17 @@ def _all_cells(num: int, den: int):
                 for band in (own, own + 1):
                     keys.append(cells(s, band, *bands.shape(band)))
                     ids.append(np.full(len(keys[-1]), i, np.int64))
-            if keys:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(ids))],
-                    names=["cell", "id"])
+                    n += len(ids[-1])
+            if n >= flush:
+                yield rows()
+                n = 0
+        if keys:
+            yield rows()
     return run
 
 
 def _hubs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by (cell, id): (cell, hub, id) for all but the first row of each cell."""
+    """From rows sorted by (cell, id): (root, hub, id) for all but the first row of each cell."""
     cell0 = hub0 = None
     for b in batches:
         c, i = b.column(0).to_numpy(), b.column(1).to_numpy()
@@ -151,7 +192,9 @@ def _hubs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell0, hub0 = c[-1], hub[-1]
         keep = ~new & (hub != i)
         if keep.any():
-            yield pa.RecordBatch.from_arrays([pa.array(c[keep]), pa.array(hub[keep]), pa.array(i[keep])],
+            root = b.column(2).filter(pa.array(keep))
+            root = pc.coalesce(root, pa.array(c[keep]))
+            yield pa.RecordBatch.from_arrays([root, pa.array(hub[keep]), pa.array(i[keep])],
                                              names=["cell", "a", "b"])
 
 
@@ -163,6 +206,17 @@ def _with_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array([bit_sketch(s) for s in sets], pa.binary())], names=["id", "text", "n", "sketch"])
 
 
+def _near_sketches(num: int, den: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n = b.column(2).to_numpy() + b.column(3).to_numpy()
+            far = np.array([sketch_distance(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(
+                b.column(4).to_pylist(), b.column(5).to_pylist(), strict=True)], np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(
+                pa.array(far * (den + num) <= n * (den - num)))
+    return run
+
+
 def _verified(num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -179,11 +233,11 @@ def _crossing(num: int, den: int):
         ids, comp, n = (np.array([g[k] for g in group], np.int64) for k in range(3))
         if len(ids) < 3 or (comp == comp[0]).all():
             return
-        bits = np.frombuffer(b"".join(g[3] for g in group), np.uint64).reshape(len(ids), -1)
+        bits = [np.frombuffer(g[3], np.uint64) for g in group]
         for x in range(len(ids) - 1):
             y = np.arange(x + 1, len(ids))
             y = y[(comp[y] != comp[x]) & (den * np.minimum(n[y], n[x]) >= num * np.maximum(n[y], n[x]))]
-            far = np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1)
+            far = np.array([sketch_distance(bits[x], bits[j]) for j in y], np.int64)
             for j in y[far * (den + num) <= (n[y] + n[x]) * (den - num)]:
                 yield (min(ids[x], ids[j]), max(ids[x], ids[j]))
 
@@ -208,7 +262,7 @@ def _pair_batch(out) -> pa.RecordBatch:
 
 
 def near_components(docs: DataFrame, key: str = "doc_id", text: str = "text", *, num: int = 80, den: int = 100,
-                    max_broadcast_rows: int = 500_000) -> DataFrame:
+                    split: int = 64, max_broadcast_rows: int = 500_000) -> DataFrame:
     """(key, n_shingles, component_id) for every distinct key of ``docs``."""
     spark = docs.sparkSession
     small_batches(spark)
@@ -219,11 +273,9 @@ def near_components(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
     rep = stored(some.join(first.filter("copies > 1"), ["s1", "s2", "n"]).filter("id <> rep").select(
         "id", "rep").distinct(), "copies")
     # 2: cells and hubs
-    rows = d.mapInArrow(_all_cells(num, den), "cell long, id long")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50000")
+    rows = d.mapInArrow(_all_cells(num, den, split), "cell long, id long, root long")
     hubs = stored(rows.repartition("cell").sortWithinPartitions("cell", "id").mapInArrow(
         _hubs, "cell long, a long, b long"), "hubs")
-    small_batches(spark)
     of = lambda df, c: df.join(rep.select(F.col("id").alias("__id"), F.col("rep").alias("__rep")),
                                F.col(c) == F.col("__id"), "left").withColumn(
         "r" + c, F.coalesce("__rep", c)).drop("__id", "__rep")
@@ -239,12 +291,20 @@ def near_components(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
     texts = texts.dropDuplicates(["id"]) if n != texts.count() else texts
 
     def verify(p: DataFrame) -> DataFrame:
-        a = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"), F.col("n").alias("na"))
-        b = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"), F.col("n").alias("nb"))
-        # sizes first: only pairs that can be similar meet their texts
-        sized = p.join(a.drop("ta"), "a").join(b.drop("tb"), "b").filter(
-            den * F.least("na", "nb") >= num * F.greatest("na", "nb")).select("a", "b")
-        return sized.join(a, "a").join(b, "b").select("a", "b", "ta", "tb").mapInArrow(
+        def both(p: DataFrame, column: str, table: DataFrame = texts) -> DataFrame:
+            for c in ("a", "b"):
+                p = p.join(table.select(F.col("id").alias(c), F.col(column).alias(column + c)), c)
+            return p
+
+        # sizes and sketches first: only pairs that may be similar meet their texts
+        p = both(p, "n").filter(den * F.least("na", "nb") >= num * F.greatest("na", "nb"))
+        p = both(p, "sketch").select("a", "b", "na", "nb", "sketcha", "sketchb").mapInArrow(
+            _near_sketches(num, den), "a long, b long")
+        p = stored(p, "near_pairs")
+        ids = stored(p.select(F.col("a").alias("__id")).union(p.select("b")).distinct(), "near_ids")
+        side = F.broadcast(ids) if ids.count() <= max_broadcast_rows else ids
+        own = texts.join(side, F.col("id") == F.col("__id"), "left_semi")
+        return both(p, "text", own).select("a", "b", "texta", "textb").mapInArrow(
             _verified(num, den), "a long, b long")
 
     # 3: the best hub of each text
@@ -261,14 +321,23 @@ def near_components(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
     if open_.limit(1).count():
         again = open_.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
         cell = hubs.join(open_.select("a", "b").distinct(), ["a", "b"], "left_semi").select("cell").distinct()
+        # cells of two texts have had their only pair; the others are completed
+        cell = hubs.join(cell, "cell", "left_semi").groupBy("cell").agg(F.count(F.lit(1)).alias("k")).filter(
+            "k > 1").select("cell")
         rows = hubs.join(cell, "cell", "left_semi")
         rows = rows.select("cell", F.explode(F.array("a", "b")).alias("m")).distinct()
-        rows = of(rows, "m").select("cell", F.col("rm").alias("m")).distinct()
+        rows = stored(of(rows, "m").select("cell", F.col("rm").alias("m")).distinct(), "open_cells")
+        # near copies share many cells: of cells with the same texts one is enough
+        same = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("k"), F.bit_xor(F.xxhash64("m")).alias("x"),
+                                        F.bit_xor(F.xxhash64("m", F.lit(1))).alias("y"))
+        one = same.filter("k > 2").groupBy("k", "x", "y").agg(F.min("cell").alias("cell")).select("cell")
+        rows = rows.join(one, "cell", "left_semi")
         rows = label(rows, "m").join(texts.select(F.col("id").alias("m"), "n", "sketch"), "m")
         more = rows.select("cell", "m", "cm", "n", "sketch").repartition("cell").sortWithinPartitions(
             "cell", "m").mapInArrow(_crossing(num, den), "a long, b long")
         again = again.unionByName(more).distinct().join(tried, ["a", "b"], "left_anti")
-        late = stored(verify(stored(again, "untried")), "verified")
+        again = stored(again, "untried")
+        late = stored(verify(again), "verified")
         if late.limit(1).count():
             comp = stored(components(links.unionByName(late)), "components")
     out = of(info.groupBy("id").agg(F.max("n").alias("n_shingles")), "id")
