@@ -99,14 +99,17 @@ def bit_sketch(s: np.ndarray) -> bytes:
     return np.packbits((n & 1).astype(np.uint8)).tobytes()
 
 
-def sketch_distance(x: np.ndarray, y: np.ndarray) -> int:
-    """Hamming distance of two sketches; the wider is folded (halves XORed) to the width of the other,
-    which is its sketch at that width."""
-    while len(x) != len(y):
-        if len(x) < len(y):
-            x, y = y, x
+def fold(x: np.ndarray, width: int) -> np.ndarray:
+    """The sketch at a smaller width: its halves XORed."""
+    while len(x) > width:
         x = x[:len(x) // 2] ^ x[len(x) // 2:]
-    return int(np.bitwise_count(x ^ y).sum())
+    return x
+
+
+def sketch_distance(x: np.ndarray, y: np.ndarray) -> int:
+    """Hamming distance of two sketches at the width of the narrower."""
+    width = min(len(x), len(y))
+    return int(np.bitwise_count(fold(x, width) ^ fold(y, width)).sum())
 
 
 def similar(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
@@ -233,11 +236,14 @@ def _crossing(num: int, den: int):
         ids, comp, n = (np.array([g[k] for g in group], np.int64) for k in range(3))
         if len(ids) < 3 or (comp == comp[0]).all():
             return
+        # sizes of a cell lie in two bands, so folding to the narrowest sketch halves a width at most twice
         bits = [np.frombuffer(g[3], np.uint64) for g in group]
+        width = min(map(len, bits))
+        bits = np.array([fold(x, width) for x in bits])
         for x in range(len(ids) - 1):
             y = np.arange(x + 1, len(ids))
             y = y[(comp[y] != comp[x]) & (den * np.minimum(n[y], n[x]) >= num * np.maximum(n[y], n[x]))]
-            far = np.array([sketch_distance(bits[x], bits[j]) for j in y], np.int64)
+            far = np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1)
             for j in y[far * (den + num) <= (n[y] + n[x]) * (den - num)]:
                 yield (min(ids[x], ids[j]), max(ids[x], ids[j]))
 
