@@ -5,6 +5,12 @@ Pages are grouped by host.  The share of a host's pages that contain a line is
 are on at least ``min_pages`` pages of the host) are boilerplate and are dropped from every page
 of that host.
 
+The ratio is 1% of a host's pages, and 3 pages at least.  A host has several templates, sections and
+licences, each on a part of its pages, so the line of one of them is on a few percent of the pages and
+not on a tenth; a line that is written for its page is on one page, or on a few that quote or copy it,
+and their number does not grow with the host.  Under 300 pages the floor decides: two pages
+may quote one another.  A line on 1% or less of a larger host stays.
+
 Scale: lines are reduced to distinct hashes inside each row, and counts per (host, line) are
 combined in the map tasks, so a host or a line with a third of all rows sends one row per task.
 A host has at most ``distinct lines per page / max_share`` boilerplate lines, so its list is
@@ -36,8 +42,12 @@ def _hashes(text: Column) -> Column:
                        lambda k: F.struct(F.xxhash64(k).alias("h"), F.crc32(k).alias("c")))
 
 
+#: The share of a host's pages above which a line is boilerplate.
+MAX_SHARE = 0.01
+
+
 def boilerplate_lines(pages: DataFrame, host: str = "source", text: str = "text", *,
-                      max_share: float = 0.1, min_pages: int = 3) -> DataFrame:
+                      max_share: float = MAX_SHARE, min_pages: int = 3) -> DataFrame:
     """(host, lines): the line hashes over ``max_share`` of each host that has any."""
     p = pages.select(F.col(host).alias("host"), _hashes(F.col(text)).alias("lines"))
     # the empty struct row of each page counts the pages of the host in the same aggregate
@@ -54,7 +64,7 @@ def boilerplate_lines(pages: DataFrame, host: str = "source", text: str = "text"
 
 
 def drop_boilerplate(pages: DataFrame, host: str = "source", text: str = "text", *,
-                     max_share: float = 0.1, min_pages: int = 3,
+                     max_share: float = MAX_SHARE, min_pages: int = 3,
                      max_broadcast_lines: int = 500_000) -> DataFrame:
     """``pages`` with boilerplate lines removed from ``text``, and ``__dropped`` lines counted."""
     bad = stored(boilerplate_lines(pages, host, text, max_share=max_share, min_pages=min_pages), "boilerplate")

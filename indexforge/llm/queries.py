@@ -72,7 +72,8 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = line_dedup.drop_boilerplate(read_table(spark, sf_dir, "documents"))
+    # the ratio that its SQL names; the operator's own is MAX_SHARE
+    d = line_dedup.drop_boilerplate(read_table(spark, sf_dir, "documents"), max_share=0.1)
     return d.select("doc_id", F.col("__dropped").alias("n_dropped"),
                     F.sha2("text", 256).alias("kept_sha256"))
 

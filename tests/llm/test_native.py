@@ -187,3 +187,13 @@ def test_line_dedup(spark, edge):
     small = spark.read.parquet(f"{SF}/documents.parquet")
     pages = [(r.doc_id, r.text, r.source) for r in small.collect()]
     assert {r.doc_id: r.text for r in line_dedup.drop_boilerplate(small).collect()} == want(pages, 0.1, 3)
+
+
+def test_line_dedup_ratio(spark):
+    """By default a line on a few percent of a large source goes; lines of their own page stay."""
+    pages = [(i, f"own line {i}\n" + ("Licensed to all.\n" if i % 33 == 0 else "") + ("quoted\n" if i < 4 else "")
+              + f"end {i}", "large") for i in range(400)]
+    pages += [(1000 + i, f"small {i}" + "\nfooter" * (i < 3) + "\ntwice" * (i < 2), "small") for i in range(30)]
+    df = spark.createDataFrame(pages, "doc_id long, text string, source string")
+    got = {r.doc_id: r.text for r in line_dedup.drop_boilerplate(df).collect()}
+    assert got == {d: t.replace("Licensed to all.\n", "").replace("\nfooter", "") for d, t, _ in pages}
