@@ -18,8 +18,9 @@ shingles, so a pair that leaves out up to the larger of two such limits still me
 3. Each text is verified against the hub it shares most cells with; verified links form components.
 4. Groups that hold texts of different components are completed: what is not joined
    yet is compared inside the group by fixed-width bit-parity sketches (their Hamming distance bounds the
-   symmetric difference from below as well) and what passes is verified.  So no link between
-   different texts is lost to the choice of hubs, at any group size.
+   symmetric difference from below as well) and what passes is verified.  A group over ``max_cell`` texts
+   is dealt to blocks, and block meets block in tasks of their own: a task holds two blocks at most.
+   So no link between different texts is lost to the choice of hubs, at any group size.
 5. Components come from alternating stars over the verified links.
 
 Nothing about all documents reaches the driver.  A broadcast is used for candidate ids only if their
@@ -229,12 +230,22 @@ def _verified(num: int, den: int):
     return run
 
 
+def _spread(rows: DataFrame, max_cell: int) -> DataFrame:
+    """``rows`` (cell, k, m and others) by (cell, i, j): the members of a cell of k rows are dealt to
+    ceil(k / max_cell) blocks ``blk``, and every two blocks i <= j meet as a group of their own."""
+    n = F.ceil(F.col("k") / F.lit(max_cell)).cast("int")
+    rows = rows.withColumn("blk", F.pmod(F.xxhash64("m", "cell"), n).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), n - 1)))
+    return rows.withColumn("i", F.least("blk", "other")).withColumn("j", F.greatest("blk", "other")).drop("other", "k")
+
+
 def _crossing(num: int, den: int):
-    """From rows (cell, id, component, n, sketch) sorted by cell: pairs of different components
-    whose sizes and sketches allow the similarity."""
-    def pairs(group: list[tuple]) -> Iterator[tuple[int, int]]:
+    """From rows (cell, i, j, id, component, n, sketch, block) sorted by cell, i and j: pairs of different
+    components whose sizes and sketches allow the similarity.  Members of one block meet where i = j."""
+    def pairs(group: list[tuple], one: bool) -> Iterator[tuple[int, int]]:
         ids, comp, n = (np.array([g[k] for g in group], np.int64) for k in range(3))
-        if len(ids) < 3 or (comp == comp[0]).all():
+        block = np.array([g[4] for g in group])
+        if len(ids) < 2 or (comp == comp[0]).all():
             return
         # sizes of a cell lie in two bands, so folding to the narrowest sketch halves a width at most twice
         bits = [np.frombuffer(g[3], np.uint64) for g in group]
@@ -242,23 +253,33 @@ def _crossing(num: int, den: int):
         bits = np.array([fold(x, width) for x in bits])
         for x in range(len(ids) - 1):
             y = np.arange(x + 1, len(ids))
-            y = y[(comp[y] != comp[x]) & (den * np.minimum(n[y], n[x]) >= num * np.maximum(n[y], n[x]))]
+            y = y[(one | (block[y] != block[x])) & (comp[y] != comp[x])
+                  & (den * np.minimum(n[y], n[x]) >= num * np.maximum(n[y], n[x]))]
             far = np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1)
             for j in y[far * (den + num) <= (n[y] + n[x]) * (den - num)]:
                 yield (min(ids[x], ids[j]), max(ids[x], ids[j]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, group, out = None, [], []
-        for b in batches:
-            for c, *row in zip(*[x.to_pylist() for x in b.columns], strict=True):
-                if c != cell:
-                    out += pairs(group)
-                    cell, group = c, []
-                group.append(tuple(row))
-            if len(out) > 50_000:
-                yield _pair_batch(out)
-                out = []
-        yield _pair_batch(out + list(pairs(group)))
+        def groups() -> Iterator[tuple[list[tuple], bool]]:
+            at, group = None, []
+            for b in batches:
+                for c, i, j, *row in zip(*[x.to_pylist() for x in b.columns], strict=True):
+                    if (c, i, j) != at:
+                        if group:
+                            yield group, at[1] == at[2]
+                        at, group = (c, i, j), []
+                    group.append(tuple(row))
+            if group:
+                yield group, at[1] == at[2]
+
+        out = []
+        for group, one in groups():
+            for pair in pairs(group, one):
+                out.append(pair)
+                if len(out) > 50_000:
+                    yield _pair_batch(out)
+                    out = []
+        yield _pair_batch(out)
     return run
 
 
@@ -268,7 +289,7 @@ def _pair_batch(out) -> pa.RecordBatch:
 
 
 def near_components(docs: DataFrame, key: str = "doc_id", text: str = "text", *, num: int = 80, den: int = 100,
-                    split: int = 64, max_broadcast_rows: int = 500_000) -> DataFrame:
+                    split: int = 64, max_cell: int = 10_000, max_broadcast_rows: int = 500_000) -> DataFrame:
     """(key, n_shingles, component_id) for every distinct key of ``docs``."""
     spark = docs.sparkSession
     small_batches(spark)
@@ -336,11 +357,12 @@ def near_components(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
         # near copies share many cells: of cells with the same texts one is enough
         same = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("k"), F.bit_xor(F.xxhash64("m")).alias("x"),
                                         F.bit_xor(F.xxhash64("m", F.lit(1))).alias("y"))
-        one = same.filter("k > 2").groupBy("k", "x", "y").agg(F.min("cell").alias("cell")).select("cell")
-        rows = rows.join(one, "cell", "left_semi")
+        one = same.filter("k > 2").groupBy("k", "x", "y").agg(F.min("cell").alias("cell")).select("cell", "k")
+        rows = rows.join(one, "cell")
         rows = label(rows, "m").join(texts.select(F.col("id").alias("m"), "n", "sketch"), "m")
-        more = rows.select("cell", "m", "cm", "n", "sketch").repartition("cell").sortWithinPartitions(
-            "cell", "m").mapInArrow(_crossing(num, den), "a long, b long")
+        more = _spread(rows.select("cell", "k", "m", "cm", "n", "sketch"), max_cell).select(
+            "cell", "i", "j", "m", "cm", "n", "sketch", "blk").repartition("cell", "i", "j").sortWithinPartitions(
+            "cell", "i", "j", "m").mapInArrow(_crossing(num, den), "a long, b long")
         again = again.unionByName(more).distinct().join(tried, ["a", "b"], "left_anti")
         again = stored(again, "untried")
         late = stored(verify(again), "verified")

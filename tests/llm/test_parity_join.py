@@ -1,6 +1,8 @@
 """The parity-sketch join against all pairs in plain Python, and its pigeonhole on its own."""
 
 import random
+from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -92,3 +94,32 @@ def test_shingles_match_plain_python():
         assert len(s) == len(brute.shingles(t))
     a, b = shingle_sets(pa.array(["A b C d E f", "a B c D e F"]))
     assert (a == b).all()
+
+
+def test_large_open_cell_is_dealt_to_blocks(spark):
+    """No group holds a whole large cell, and every two of its texts meet in exactly one group."""
+    rows = spark.range(1000).selectExpr("7L AS cell", "1000L AS k", "id AS m").union(
+        spark.range(3).selectExpr("8L AS cell", "3L AS k", "id AS m"))
+    groups = defaultdict(list)
+    for r in pj._spread(rows, 100).collect():
+        groups[r.cell, r.i, r.j].append((r.m, r.blk))
+    assert max(map(len, groups.values())) < 350 and len(groups) == 55 + 1
+    met = Counter()
+    for (cell, i, j), x in groups.items():
+        met.update((cell, min(a, b), max(a, b)) for (a, p), (b, q) in combinations(x, 2) if i == j or p != q)
+    assert set(met.values()) == {1} and len(met) == 1000 * 999 // 2 + 3
+
+
+def test_blocks_of_an_open_cell_find_the_same_pairs(spark):
+    """Dealt to blocks or not, a cell's rows give the pairs of other components that sketches allow."""
+    draw = random.Random(5)
+    sets = [np.unique(np.array([draw.getrandbits(64) for _ in range(60)], np.uint64)) for _ in range(20)]
+    sets += [np.unique(np.append(s[2:], np.uint64(draw.getrandbits(64)))) for s in sets]
+    rows = spark.createDataFrame(
+        [(1, len(sets), i, i, len(s), bytearray(pj.bit_sketch(s))) for i, s in enumerate(sets)],
+        "cell long, k long, m long, cm long, n long, sketch binary")
+    for most in (100, 4):
+        dealt = pj._spread(rows, most).select("cell", "i", "j", "m", "cm", "n", "sketch", "blk")
+        got = dealt.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j", "m").mapInArrow(
+            pj._crossing(80, 100), "a long, b long").collect()
+        assert sorted(map(tuple, got)) == [(i, i + 20) for i in range(20)]
