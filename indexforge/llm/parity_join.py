@@ -28,6 +28,7 @@ count is within ``max_broadcast_rows``; the plain join replaces it beyond.
 
 Defined results: null, empty and wordless texts have the empty set and are linked with nothing; a text
 of fewer than five words is one shingle; repeated rows of one id count once (the ids must be integers);
+a row with a null id is linked with nothing: it gets a row of its own with 0 shingles and a null component;
 an empty table gives an empty result; other columns are not read.
 """
 
@@ -290,10 +291,13 @@ def _pair_batch(out) -> pa.RecordBatch:
 
 def near_components(docs: DataFrame, key: str = "doc_id", text: str = "text", *, num: int = 80, den: int = 100,
                     split: int = 64, max_cell: int = 10_000, max_broadcast_rows: int = 500_000) -> DataFrame:
-    """(key, n_shingles, component_id) for every distinct key of ``docs``."""
+    """(key, n_shingles, component_id) for every distinct key of ``docs`` and every row without one."""
     spark = docs.sparkSession
     small_batches(spark)
     d = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    unnamed = d.filter("id is null").select(F.col("id").alias(key), F.lit(0).cast("long").alias("n_shingles"),
+                                            F.col("id").alias("component_id"))
+    d = d.filter("id is not null")
     info = stored(d.mapInArrow(_sets_info, "id long, n long, s1 long, s2 long"), "set_info")
     some = info.filter("n > 0")
     first = some.groupBy("s1", "s2", "n").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
@@ -370,7 +374,8 @@ def near_components(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
             comp = stored(components(links.unionByName(late)), "components")
     out = of(info.groupBy("id").agg(F.max("n").alias("n_shingles")), "id")
     out = out.join(comp, F.col("rid") == F.col("node"), "left")
-    return out.select(F.col("id").alias(key), "n_shingles", F.coalesce("component", "rid").alias("component_id"))
+    return out.select(F.col("id").alias(key), "n_shingles",
+                      F.coalesce("component", "rid").alias("component_id")).unionByName(unnamed)
 
 
 def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", **params) -> DataFrame:

@@ -22,8 +22,8 @@ if an anchor of it is in both.
 5. The removed ranges meet their documents, and the remaining bytes are put together.
 
 Defined results: a null text is empty; texts under n bytes lose nothing; rows that repeat an id repeat its
-text and do not remove each other; an empty table gives an empty result; other columns are not
-read; the ids must be integers.
+text and do not remove each other; a row with a null id loses nothing and removes nothing; an empty
+table gives an empty result; other columns are not read; the ids must be integers.
 """
 
 from __future__ import annotations
@@ -413,7 +413,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
     side = copies.withColumnRenamed("id", "__id")
     if copies.count() <= max_broadcast_rows:
         side = F.broadcast(side)
-    single = d.join(side, F.col("id") == F.col("__id"), "left_anti")
+    single = d.filter("id is not null").join(side, F.col("id") == F.col("__id"), "left_anti")
     ranges = stored(repeated_ranges(single, n, max_bucket=max_bucket, max_broadcast_rows=max_broadcast_rows)
                     .distinct(), "ranges")
     ids = stored(ranges.select("id").distinct(), "ranged")

@@ -10,7 +10,7 @@ import pyarrow as pa
 from indexforge.llm import parity_join as pj
 from indexforge.llm.shingles import shingle_sets
 from tests.llm import brute
-from tests.llm.conftest import EDGE
+from tests.llm.conftest import EDGE, PROSE
 
 
 def got(df):
@@ -123,3 +123,13 @@ def test_blocks_of_an_open_cell_find_the_same_pairs(spark):
         got = dealt.repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j", "m").mapInArrow(
             pj._crossing(80, 100), "a long, b long").collect()
         assert sorted(map(tuple, got)) == [(i, i + 20) for i in range(20)]
+
+
+def test_null_ids_are_passed_through(spark):
+    rows = [(5, PROSE), (6, PROSE), (None, PROSE), (None, PROSE), (None, None), (7, "one")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = [(r.doc_id, r.n_shingles, r.component_id) for r in pj.near_components(df).collect()]
+    assert sorted(x for x in out if x[0]) == sorted(brute.near_components([r for r in rows if r[0]]))
+    assert [x for x in out if not x[0]] == [(None, 0, None)] * 3
+    assert sorted(map(str, pj.drop_near_copies(df).select("doc_id", "text").collect())) == sorted(
+        map(str, df.filter("doc_id is null or doc_id <> 6").collect()))

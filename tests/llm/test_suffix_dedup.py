@@ -6,7 +6,7 @@ import numpy as np
 
 from indexforge.llm import suffix_dedup as sd
 from tests.llm import brute
-from tests.llm.conftest import EDGE
+from tests.llm.conftest import EDGE, PROSE
 
 NAMES = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
@@ -62,3 +62,11 @@ def test_anchors_depend_on_the_string_only():
         for p in range(len(b) - n + 1):
             alone = sd.anchors(b[p:p + n], n)[0]
             assert len(alone) and all(p + a in at for a in alone.tolist())
+
+
+def test_null_ids_lose_and_remove_nothing(spark):
+    rows = [(5, PROSE), (6, "x " + PROSE), (7, PROSE), (None, PROSE), (None, "y " + PROSE), (None, "short")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = [tuple(r)[:5] for r in sd.remove_repeats(df).collect()]
+    assert sorted(x for x in out if x[0]) == sorted(brute.repeats([r for r in rows if r[0]]))
+    assert sorted(x for x in out if not x[0]) == sorted((None, len(t), 0, 0, brute.sha(t)) for d, t in rows if not d)
