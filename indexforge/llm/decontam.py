@@ -19,7 +19,9 @@ shuffle.
 
 Defined results: null, empty and wordless texts have 0 words and no hit; an empty benchmark
 hits nothing; repeated rows of one document id are one document with the words of each row counted
-once per row; items without words have no window.
+once per row; rows without a document id are one document only if their texts are equal, so that a hit
+in one says nothing of another; an item without an id hits like any other and is a null entry (the
+first) of ``items``; items without words have no window.
 """
 
 from __future__ import annotations
@@ -45,6 +47,16 @@ def _piece(words: Column, start: Column, n: Column | int) -> Column:
     return F.array_join(F.slice(words, start, n), " ")
 
 
+def _unnamed(key: str, text: str) -> Column:
+    """What tells rows without an id apart: the digest of the text; null for rows with an id."""
+    return F.when(F.col(key).isNull(), F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
+
+
+def _items(item: Column, collect) -> Column:
+    """``collect`` of the item ids with the null one, which it would leave out by itself."""
+    return F.transform(F.sort_array(collect(F.struct(item.alias("item")))), lambda x: x["item"])
+
+
 def windows(benchmark: DataFrame, item: str = "item_id", text: str = "text", width: int = 10) -> DataFrame:
     """Distinct (window, m) of all items with the items that hold it."""
     b = benchmark.select(F.col(item).cast("string").alias("item"), norm_words(F.col(text)).alias("w"))
@@ -52,7 +64,7 @@ def windows(benchmark: DataFrame, item: str = "item_id", text: str = "text", wid
     b = b.select("item", "m", F.explode(F.transform(
         F.sequence(F.lit(1), F.size("w") - F.col("m") + 1),
         lambda i: _piece(F.col("w"), i, F.col("m")))).alias("window"))
-    return b.groupBy("window", "m").agg(F.collect_set("item").alias("items"))
+    return b.groupBy("window", "m").agg(_items(F.col("item"), F.collect_set).alias("items"))
 
 
 def _blocks(words: Column, m: int) -> Column:
@@ -69,6 +81,12 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
               item: str = "item_id", item_text: str = "text", *, width: int = 10,
               max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """One row per document: key, n_words, hit ``spans`` (s, e in words, merged) and ``items``."""
+    return _found(docs, benchmark, key, text, item, item_text, width, max_broadcast_rows).drop("__unnamed")
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, key: str, text: str, item: str = "item_id",
+           item_text: str = "text", width: int = 10, max_broadcast_rows: int = 1_000_000) -> DataFrame:
+    """``find_hits`` with ``__unnamed``, which tells the documents without an id apart."""
     win = stored(windows(benchmark, item, item_text, width), "windows")
     lengths = sorted(r["m"] for r in win.select("m").distinct().collect())  # at most ``width`` rows
     half = F.ceil(F.col("m") / 2).cast("int")
@@ -82,12 +100,12 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     wide = F.broadcast if small else (lambda x: x)
 
     none = "array<struct<m:int,h:bigint,p:int,around:array<string>>>"
-    words = docs.select(F.col(key).alias("key"), norm_words(F.col(text)).alias("w"))
+    words = docs.select(F.col(key).alias("key"), _unnamed(key, text).alias("un"), norm_words(F.col(text)).alias("w"))
     blocks = F.concat(F.array().cast(none), *[_blocks(F.col("w"), m) for m in lengths])
     # the first entry of a row carries the number of words
     total = F.array(F.struct(F.lit(None).cast("int").alias("m"), F.lit(None).cast("bigint").alias("h"),
                              F.size("w").alias("p"), F.lit(None).cast("array<string>").alias("around")))
-    rows = words.select("key", F.explode(F.concat(total, blocks)).alias("x")).select("key", "x.*")
+    rows = words.select("key", "un", F.explode(F.concat(total, blocks)).alias("x")).select("key", "un", "x.*")
     rows = rows.join(wide(keys), (F.col("h") == F.col("h_")) & (F.col("m") == F.col("m_")), "left")
     rows = rows.filter(F.col("m").isNull() | F.col("h_").isNotNull()).drop("h_", "m_")
     rows = stored(rows, "window_hits")
@@ -96,7 +114,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     hits = rows.filter("m is not null").join(pieces, (F.col("h") == F.col("h_")) & (F.col("m") == F.col("m_")))
     hits = hits.filter((F.col("k") <= lead) & (_piece(F.col("around"), lead - F.col("k") + 1, F.col("m"))
                                                == F.col("window")))
-    starts = hits.select("key", (F.col("p") - F.col("k")).alias("s"),
+    starts = hits.select("key", "un", (F.col("p") - F.col("k")).alias("s"),
                          (F.col("p") - F.col("k") + F.col("m")).alias("e")).distinct()
     kind = "array<struct<s:int,e:int>>"
     merged = F.aggregate(
@@ -106,35 +124,42 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
                 F.element_at(a, -1)["s"].alias("s"),
                 F.greatest(F.element_at(a, -1)["e"], x["e"]).alias("e"))))).otherwise(
                     F.concat(a, F.array(x))))
-    spans = starts.groupBy("key").agg(F.collect_list(F.struct("s", "e")).alias("all")).select(
-        "key", merged.alias("spans"))
-    items = hits.select("key", F.explode("items").alias("item")).distinct().groupBy("key").agg(
-        F.sort_array(F.collect_list("item")).alias("items"))
-    base = rows.filter("m is null").groupBy("key").agg(F.sum("p").cast("long").alias("n_words"))
-    found = stored(spans.join(items, "key"), "found").select(
-        F.col("key").alias("key_"), "spans", "items")
-    return base.join(found, F.col("key") == F.col("key_"), "left").select(
+    spans = starts.groupBy("key", "un").agg(F.collect_list(F.struct("s", "e")).alias("all")).select(
+        "key", "un", merged.alias("spans"))
+    items = hits.select("key", "un", F.explode("items").alias("item")).distinct().groupBy("key", "un").agg(
+        _items(F.col("item"), F.collect_list).alias("items")).select(
+            F.col("key").alias("key_"), F.col("un").alias("un_"), "items")
+    base = rows.filter("m is null").groupBy("key", "un").agg(F.sum("p").cast("long").alias("n_words"))
+    same = F.col("key").eqNullSafe(F.col("key_")) & F.col("un").eqNullSafe(F.col("un_"))
+    found = stored(spans.join(items, same, "left").select("key", "un", "spans", "items"), "found").select(
+        F.col("key").alias("key_"), F.col("un").alias("un_"), "spans", "items")
+    return base.join(found, same, "left").select(
         F.col("key").alias(key), "n_words", F.coalesce("spans", F.array().cast(kind)).alias("spans"),
-        F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.col("un").alias("__unnamed"))
+
+
+def _same_document(key: str, text: str) -> Column:
+    """Rows of a table against (__key, __unnamed) of ``_found``."""
+    return F.col(key).eqNullSafe(F.col("__key")) & _unnamed(key, text).eqNullSafe(F.col("__unnamed"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
                   **params) -> DataFrame:
     """``docs`` without the documents that hold a benchmark window."""
-    bad = find_hits(docs, benchmark, key, text, **params).filter(F.size("spans") > 0).select(
-        F.col(key).alias("__key"))
-    return docs.join(bad, F.col(key) == F.col("__key"), "left_anti")
+    bad = _found(docs, benchmark, key, text, **params).filter(F.size("spans") > 0).select(
+        F.col(key).alias("__key"), "__unnamed")
+    return docs.join(bad, _same_document(key, text), "left_anti")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
                  **params) -> DataFrame:
     """``docs`` with the hit words, and the separators before them, cut out of the text."""
-    hits = find_hits(docs, benchmark, key, text, **params).filter(F.size("spans") > 0).select(
-        F.col(key).alias("__key"), F.col("spans").alias("__spans"))
-    j = docs.join(hits, F.col(key) == F.col("__key"), "left")
+    hits = _found(docs, benchmark, key, text, **params).filter(F.size("spans") > 0).select(
+        F.col(key).alias("__key"), "__unnamed", F.col("spans").alias("__spans"))
+    j = docs.join(hits, _same_document(key, text), "left")
     parts = F.regexp_extract_all(F.col(text), F.lit("[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]*"
                                                     "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"), F.lit(0))
     kept = F.array_join(F.filter(parts, lambda x, i: ~F.exists(
         "__spans", lambda s: (s["s"] <= i) & (i < s["e"]))), "")
     return j.withColumn(text, F.when(F.col("__spans").isNull(), F.col(text)).otherwise(kept)).drop(
-        "__key", "__spans")
+        "__key", "__unnamed", "__spans")

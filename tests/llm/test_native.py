@@ -197,3 +197,20 @@ def test_line_dedup_ratio(spark):
     df = spark.createDataFrame(pages, "doc_id long, text string, source string")
     got = {r.doc_id: r.text for r in line_dedup.drop_boilerplate(df).collect()}
     assert got == {d: t.replace("Licensed to all.\n", "").replace("\nfooter", "") for d, t, _ in pages}
+
+
+def test_decontamination_without_ids(spark):
+    """A benchmark row or a document without an id is hit like any other."""
+    other = " ".join(f"w{i}" for i in range(20))
+    docs = spark.createDataFrame([(1, PROSE), (2, other), (3, "clean"), (None, PROSE), (None, "clean"), (None, None)],
+                                 "doc_id long, text string")
+    bench = spark.createDataFrame([(None, PROSE), (9, other), (None, other)], "item_id long, text string")
+    got = {(r.doc_id, r.n_words): (sum(s["e"] - s["s"] for s in r["spans"]), r["items"])
+           for r in decontam.find_hits(docs, bench).collect()}
+    assert got == {(1, 17): (17, [None]), (2, 20): (20, [None, "9"]), (3, 1): (0, []),
+                   (None, 17): (17, [None]), (None, 1): (0, []), (None, 0): (0, [])}
+    kept = [tuple(r) for r in decontam.decontaminate(docs, bench).collect()]
+    assert sorted(kept, key=str) == sorted([(3, "clean"), (None, "clean"), (None, None)], key=str)
+    cut = [tuple(r) for r in decontam.remove_spans(docs, bench).collect()]
+    assert cut.count((None, "clean")) == 1 and cut.count((None, None)) == 1 and not any(
+        t and t.startswith(("the quick", "w0")) for _, t in cut)
