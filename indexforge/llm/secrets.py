@@ -3,7 +3,10 @@
 The patterns find assignments, access ids and hexadecimal strings.  Two first-order Markov models over
 ASCII characters, one of random strings and one of ordinary identifiers, are trained from
 labelled samples; a long token whose mean log-likelihood ratio per transition reaches
-``min_ratio`` is a span of kind ``random`` unless a pattern's span already holds it.
+``min_ratio`` is a span of kind ``random`` unless a pattern's span already holds it.  Of a token that
+pattern spans hold in part, the rest is judged by the same ratio over all its pieces, and each
+piece is a span; a rest of fewer characters than a long token has is not judged.  Tokens are judged from the
+length on that the default samples are trained on.
 
 The default samples are labelled by the patterns over the whole table: values that they match are
 random strings, other long tokens ordinary identifiers.  All rows are counted; what
@@ -34,6 +37,7 @@ HEX = "[0-9a-f]{24,}"
 KINDS = ["assign", "access", "hex", "random"]
 TOKEN = "[A-Za-z0-9+/_-]{%d,}={0,2}"
 ASCII = 128
+SPANS = "array<struct<s:int,e:int,k:int,v:string>>"
 
 
 def _matches(text: Column, pattern: str, kind: str) -> Column:
@@ -104,14 +108,29 @@ def fit_ratios(samples: DataFrame, strength: float = 4.0) -> list[float] | None:
     return out
 
 
-def random_ratio(token: Column, table: Column) -> Column:
-    """Mean log ratio per transition."""
-    return let(_transitions(token), lambda t: F.aggregate(
-        t, F.lit(0.0), lambda a, x: a + F.coalesce(F.get(table, x), F.lit(0.0))) / F.size(t))
+def random_ratio(pieces: Column, table: Column) -> Column:
+    """Mean log ratio per transition of the pieces of a token; null without a transition."""
+    return let(F.flatten(F.transform(pieces, lambda p: _transitions(p["v"]))), lambda t: F.try_divide(F.aggregate(
+        t, F.lit(0.0), lambda a, x: a + F.coalesce(F.get(table, x), F.lit(0.0))), F.size(t)))
+
+
+def _rest(token: Column, base: Column) -> Column:
+    """The pieces of a token span that no span of ``base`` (sorted) holds; the token itself if none meets it."""
+    meets = lambda b: (b["s"] < token["e"]) & (token["s"] < b["e"])
+    piece = lambda s, e: F.struct(
+        s.alias("s"), e.alias("e"), token["k"].alias("k"), F.substring(token["v"], s - token["s"] + 1, e - s).alias("v"))
+    cut = F.aggregate(
+        F.concat(F.transform(F.filter(base, meets), lambda b: F.struct(b["s"].alias("s"), b["e"].alias("e"))),
+                 F.array(F.struct(token["e"].alias("s"), token["e"].alias("e")))),
+        F.struct(token["s"].alias("at"), F.array().cast(SPANS).alias("out")),
+        lambda a, b: F.struct(F.greatest(a["at"], b["e"]).alias("at"), F.when(
+            b["s"] > a["at"], F.concat(a["out"], F.array(piece(a["at"], b["s"])))).otherwise(a["out"]).alias("out")),
+        lambda a: a["out"])
+    return F.when(F.exists(base, meets), cut).otherwise(F.array(token))
 
 
 def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
-                 samples: DataFrame | None = None, min_length: int = 20, sample_length: int = 16,
+                 samples: DataFrame | None = None, min_length: int = 16, sample_length: int = 16,
                  min_ratio: float = 0.5) -> DataFrame:
     """One row per row of ``docs``: key, ``base`` and all ``spans`` as (s, e, k, v) structs."""
     d = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -121,8 +140,10 @@ def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
         return d.select(F.col("key").alias(key), "base", F.col("base").alias("spans"))
     table = F.split(F.lit(",".join(map(str, ratios))), ",").cast("array<double>")  # folded once
     tokens = _matches(F.col("text"), TOKEN % min_length, "random")
-    more = let(F.col("base"), lambda base: F.filter(tokens, lambda t: ~F.exists(
-        base, lambda b: (b["s"] < t["e"]) & (t["s"] < b["e"])) & (random_ratio(t["v"], table) >= min_ratio)))
+    size = lambda pieces: F.aggregate(pieces, F.lit(0), lambda a, p: a + p["e"] - p["s"])
+    more = let(F.col("base"), lambda base: F.flatten(F.filter(
+        F.transform(tokens, lambda t: _rest(t, base)),
+        lambda x: (size(x) >= min_length) & (random_ratio(x, table) >= min_ratio))))
     return d.select(F.col("key").alias(key), "base",
                     F.sort_array(F.concat("base", more)).alias("spans"))
 

@@ -46,6 +46,23 @@ def test_secrets_markov_adds_random_strings_only(spark, edge):
     assert clean[15].startswith("[secret] plain_identifier") and clean[5] == PROSE and clean[0] == ""
 
 
+def test_secrets_markov_judges_short_tokens_and_rests(spark):
+    """Random strings from 16 characters on, and what a pattern's span leaves of a longer one."""
+    draw = random.Random(2)
+    rand = lambda n: "".join(draw.choices(string.ascii_letters + string.digits, k=n))
+    words = ["maximum", "number", "of", "parts", "connection", "time", "request", "handler", "name", "user"]
+    samples = spark.createDataFrame([(rand(24), True) for _ in range(200)] + [
+        ("_".join(draw.choices(words, k=4)), False) for _ in range(200)], "value string, secret boolean")
+    short, left, right, run = "kJ8s0Q2mXv7LpT4w", "kJ8s0Q2mXv7LpT4wZ", "Zr9BnC1hYd6Gq3WxM", "0123456789abcdef01234567"
+    texts = [f"see {short} here", f"see {left}{run}{right} here", f"maximum_number_{run}_of_parts_name", run, f"xQ{run}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r for r in secrets.scan_secrets(docs, samples=samples).collect()}
+    values = {d: [m["v"] for m in r.spans if m["k"] == 3] for d, r in found.items()}
+    assert values == {0: [short], 1: [left, right], 2: [], 3: [], 4: []}
+    assert all(texts[d][m["s"]:m["e"]] == m["v"] for d, r in found.items() for m in r.spans)
+    assert [len(found[d].base) for d in range(5)] == [0, 1, 1, 1, 1]
+
+
 def test_decontamination(spark, edge, sample):
     items = [(1, PROSE), (2, "one"), (3, None), (4, ""), (5, "Three FOUR five"), (6, "!!"),
              (7, " ".join(f"w{i}" for i in range(100, 140))), (10, "漢字 🙂 end")]
