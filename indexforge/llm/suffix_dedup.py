@@ -1,10 +1,12 @@
-"""Repeated-substring dedup by bucket-pointer refinement.
+"""Repeated-substring dedup by buckets of anchors, refined byte by byte.
 
 Every byte covered by an ``n``-byte string that also starts in a document with a smaller id is
 removed; strings are judged on the input, overlaps count.  In a suffix array that question is: which
-suffixes share a bucket of depth n.  Buckets are made as in bucket-pointer refinement:
-suffixes first fall into buckets by a q-gram, and a bucket is refined by sorting its members on the
-bucket identifiers found at later offsets; each refinement's identifiers are what the next one sorts on.
+suffixes share a bucket of depth n.  Suffixes first fall into buckets by a q-gram, as in bucket-pointer
+refinement, and each refinement's identifiers are what the next one sorts on.  But a refinement
+sorts on the byte at the next offset, not on the bucket identifiers found at later offsets: only anchors
+are listed and bucketed, so most later offsets have no identifier to sort on, and the depth wanted is
+bounded (n - q bytes to either side), so doubling it would save few rounds.  The buckets are the same.
 
 Only some suffixes are listed.  Among the q-grams inside an n-byte string the one with the smallest hash
 is its anchor, so equal strings have equal anchors: two documents share an n-byte string only
@@ -201,7 +203,7 @@ def _around(n: int):
 
 
 def refine(bucket: np.ndarray, later: np.ndarray) -> np.ndarray:
-    """Bucket identifiers after sorting on (bucket, identifier at a later offset)."""
+    """Bucket identifiers after sorting on (bucket, byte at the next offset)."""
     later = later.astype(np.int64)
     return np.unique(bucket * (int(later.max(initial=0)) + 1) + later, return_inverse=True)[1]
 
