@@ -6,7 +6,7 @@ suffixes share a bucket of depth n.  Suffixes first fall into buckets by a q-gra
 refinement, and each refinement's identifiers are what the next one sorts on.  But a refinement
 sorts on the byte at the next offset, not on the bucket identifiers found at later offsets: only anchors
 are listed and bucketed, so most later offsets have no identifier to sort on, and the depth wanted is
-bounded (n - q bytes to either side), so doubling it would save few rounds.  The buckets are the same.
+bounded (n - q bytes to either side) and the identifiers of every length up to it are used.
 
 Only some suffixes are listed.  Among the q-grams inside an n-byte string the one with the smallest hash
 is its anchor, so equal strings have equal anchors: two documents share an n-byte string only
