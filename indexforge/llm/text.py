@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indexforge.session import scratch_path
+from indexforge.session import drop_scratch, scratch_path
 
 #: The white space that separates words: \x20 and \x09-\x0D.
 WS = " \t\n\x0b\x0c\r"
@@ -35,6 +36,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Folders of the stored tables that are still in use.
+_FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 #: Spark's setting that drops an execution's shuffle files when it ends.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -51,7 +54,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _FOLDERS[out] = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete the folders of stored tables that nothing reads any more."""
+    for t in tables:
+        if path := _FOLDERS.pop(t, None):
+            drop_scratch(t.sparkSession, path)
 
 
 def fold_bucket(text: Column, folds: int) -> Column:
