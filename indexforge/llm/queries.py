@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indexforge.llm import (
-    curriculum, decontam, line_dedup, line_rules, parity_join, quality_cnn, secrets, suffix_dedup,
-    toxicity, url_markov,
+    curriculum, decontam, divergence, doubling_dedup, line_dedup, line_rules, parity_join, prefix_trie, quality_cnn, secrets,
+    suffix_dedup, toxicity, url_markov,
 )
 from indexforge.llm.text import fold_bucket, read_table
 
@@ -78,6 +78,19 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_doubling_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return doubling_dedup.remove_repeated_windows(read_table(spark, sf_dir, "documents"), n=35).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(read_table(spark, sf_dir, "documents"), min_docs=30, top=50)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -89,4 +102,7 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_mix_sources": op9_mix_sources,
     "op10_line_dedup": op10_line_dedup,
+    "op11_doubling_dedup": op11_doubling_dedup,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_prefix_trie": op13_prefix_trie,
 }

@@ -170,6 +170,75 @@ FROM documents d LEFT JOIN (
   SELECT doc_id, count(*) FILTER (WHERE bad) AS n, string_agg(x, chr(10) ORDER BY k) FILTER (WHERE NOT bad) AS t
   FROM j GROUP BY doc_id) o ON d.doc_id = o.doc_id"""
 
+OP11 = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS k, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT k, p, array_to_string(w[p:p + 34], ' ') AS g FROM (
+        SELECT k, w, unnest(range(1, len(w) - 33)) AS p FROM d WHERE len(w) >= 35)),
+hit AS (SELECT k, p FROM s QUALIFY count(*) OVER (PARTITION BY g) > 1),
+gone AS (SELECT DISTINCT k, unnest(range(p, p + 35)) AS p FROM hit),
+words AS (SELECT k, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM d),
+kept AS (SELECT words.k, string_agg(x, ' ' ORDER BY words.p) AS t FROM words ANTI JOIN gone
+         ON words.k = gone.k AND words.p = gone.p GROUP BY words.k)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON d.k = kept.k LEFT JOIN (SELECT k, count(*) AS n FROM gone GROUP BY k) g ON d.k = g.k"""
+
+OP12 = r"""
+WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS k,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT lang, source, k, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT k) >= 30),
+c AS (SELECT t.lang, source, t.term, count(*) AS n FROM t JOIN kept ON t.lang = kept.lang AND t.term = kept.term
+      GROUP BY t.lang, source, t.term),
+langs AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+groups AS (SELECT g.lang, g.source, coalesce(s.total, 0) AS total FROM (SELECT DISTINCT lang, source FROM d) g
+           LEFT JOIN (SELECT lang, source, sum(n) AS total FROM c GROUP BY lang, source) s
+           ON g.lang = s.lang AND g.source = s.source),
+p AS (SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n,
+             1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (g.total + 5 * v)::HUGEINT AS p,
+             1 + (1000000000::HUGEINT * (kept.n + 5)) // (langs.total + 5 * v)::HUGEINT AS q
+      FROM groups g JOIN kept ON g.lang = kept.lang JOIN langs ON g.lang = langs.lang
+      LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(x.value, 0) AS value FROM groups a
+          JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN (SELECT p.lang, p.source, o.source AS item, sum(abs(p.p - o.p)) AS value FROM p JOIN p o
+                     ON p.lang = o.lang AND p.term = o.term AND p.source <> o.source GROUP BY 1, 2, 3) x
+          ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+rows AS (SELECT lang, source, 'pair' AS part, item, value FROM pairs
+         UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS r FROM rows)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR r <= 50"""
+
+# crc32 of the decimal text, bit by bit: a byte is mixed in, and eight times the register is shifted
+_CRC = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(
+    string_split(CAST({c} AS VARCHAR), ''), lambda z: [CAST(ascii(z) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, z: CASE WHEN z >= 0 THEN xor(a, z) ELSE xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END) END),
+    4294967295)"""
+OP13 = r"""
+WITH t AS (SELECT conv_id AS c, turn, coalesce(text, '') AS x,
+                  md5(CAST(strlen(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, '')) AS name
+           FROM conversations WHERE conv_id IS NOT NULL),
+conv AS (SELECT c, list(name ORDER BY turn NULLS FIRST, name) AS xs,
+                list(len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) ORDER BY turn NULLS FIRST, name) AS ws, %s %% 4 AS h
+         FROM t GROUP BY c),
+new AS (SELECT a.c, coalesce(b.xs[1:a.h], []) || a.xs[a.h + 1:] AS xs, coalesce(b.ws[1:a.h], []) || a.ws[a.h + 1:] AS ws
+        FROM conv a LEFT JOIN conv b ON b.c = a.c - a.c %% 20),
+pre AS (SELECT c, xs, ws, unnest(range(0, len(xs) + 1)) AS d FROM new),
+node AS (SELECT xs[1:d] AS p, d, min(c) AS conv_id, count(*) AS n, any_value(CASE WHEN d > 0 THEN ws[d] ELSE 0 END) AS words,
+                coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE len(xs) = d), '') AS ends
+         FROM pre GROUP BY xs[1:d], d),
+kids AS (SELECT p[1:d - 1] AS p, count(*) AS n FROM node WHERE d > 0 GROUP BY 1),
+below AS (SELECT node.p, node.d, (node.n - 1) * words AS cost, kids.n IS NULL AS leaf, unnest(range(0, d + 1)) AS up
+          FROM node LEFT JOIN kids ON node.p = kids.p),
+subtree AS (SELECT p[1:up] AS p, sum(cost) AS saved, count(*) FILTER (WHERE leaf) AS leaves FROM below GROUP BY 1)
+SELECT node.conv_id, CAST(node.d AS BIGINT) AS depth, above.conv_id AS parent_conv_id, CAST(node.n AS BIGINT) AS n_convs,
+       CAST(coalesce(kids.n, 0) AS BIGINT) AS n_children, CAST(leaves AS BIGINT) AS n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, sha256(node.ends) AS ends_sha256
+FROM node JOIN subtree ON node.p = subtree.p LEFT JOIN kids ON node.p = kids.p
+LEFT JOIN node above ON node.d > 0 AND above.p = node.p[1:node.d - 1]""" % _CRC.format(c="c")
+
 ORACLE: dict[str, str] = {
     "op2_ngram_jaccard_join": OP2,
     "op5_benchmark_decontamination": OP5,
@@ -177,4 +246,7 @@ ORACLE: dict[str, str] = {
     "op7_url_filter": _op7(),
     "op8_suffix_dedup": OP8,
     "op10_line_dedup": OP10,
+    "op11_doubling_dedup": OP11,
+    "op12_source_divergence": OP12,
+    "op13_prefix_trie": OP13,
 }

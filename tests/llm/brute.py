@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -140,3 +141,64 @@ def repeats(docs, n=50):
         spans = len(re.findall(b"\1+", bytes(gone)))
         out.append((d, len(b), sum(gone), spans, sha(bytes(x for x, g in zip(b, gone) if not g))))
     return out
+
+
+def repeated_windows(docs, n=35):
+    """[(doc_id, n_words, n_removed, kept_sha256)]: words in n-word windows that start anywhere else."""
+    words = [WORD.findall(t or "") for _, t in docs]
+    many = Counter(tuple(w[i:i + n]) for w in words for i in range(len(w) - n + 1))
+    out = []
+    for (d, _), w in zip(docs, words, strict=True):
+        gone = {j for i in range(len(w) - n + 1) if many[tuple(w[i:i + n])] > 1 for j in range(i, i + n)}
+        out.append((d, len(w), len(gone), sha(" ".join(x for i, x in enumerate(w) if i not in gone))))
+    return out
+
+
+def divergence(docs, min_docs=30, top=50):
+    """[(lang, source, part, item, value, rank)] of rows (text, lang, source)."""
+    term = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+    groups, held = defaultdict(Counter), defaultdict(Counter)
+    for text, lang, source in docs:
+        words = term.findall((text or "").translate(AZ))
+        groups[lang or "", source or ""].update(words)
+        held[lang or ""].update(set(words))
+    kept = {lang: [w for w, k in c.items() if k >= min_docs] for lang, c in held.items()}
+
+    def share(c, lang):
+        total = sum(c[w] for w in kept[lang]) + 5 * len(kept[lang])
+        return {w: 1 + 1000000000 * (c[w] + 5) // total for w in kept[lang]}
+
+    whole = {lang: share(sum((c for (x, _), c in groups.items() if x == lang), Counter()), lang) for lang in held}
+    p, out = {g: share(c, g[0]) for g, c in groups.items()}, []
+    for g, own in p.items():
+        pairs = [(sum(abs(own[w] - q[w]) for w in own), h[1]) for h, q in p.items() if h[0] == g[0] and h != g]
+        terms = [(v - whole[g[0]][w], w) for w, v in own.items() if groups[g][w] and v > whole[g[0]][w]]
+        for part, rows in (("pair", pairs), ("term", terms)):
+            rows = sorted(rows, key=lambda r: (-r[0], r[1].encode()))[:None if part == "pair" else top]
+            out += [(*g, part, item, v, k + 1) for k, (v, item) in enumerate(rows)]
+    return out
+
+
+def prefix_trie(rows):
+    """[(conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256)] of (conv, turn, role, text)."""
+    conv = defaultdict(list)
+    for c, k, r, t in rows:
+        if c is not None:
+            r, t = r or "", t or ""
+            name = hashlib.md5(f"{len(r.encode())}:{r}{t}".encode()).hexdigest()
+            conv[c].append((k is not None, k or 0, name, r, t))
+    conv, new = {c: [x[3:] for x in sorted(v)] for c, v in conv.items()}, {}
+    for c, v in conv.items():
+        h, first = zlib.crc32(str(c).encode()) % 4, c - (abs(c) % 20 if c >= 0 else -(abs(c) % 20))
+        new[c] = conv.get(first, [])[:h] + v[h:]
+    members, kids, leaves, saved = defaultdict(list), Counter(), Counter(), Counter()
+    for c, v in sorted(new.items()):
+        for d in range(len(v) + 1):
+            members[tuple(v[:d])].append(c)
+    kids.update(x[:-1] for x in members if x)
+    for x, m in members.items():
+        for d in range(len(x) + 1):
+            saved[x[:d]] += (len(m) - 1) * len(WORD.findall(x[-1][1])) if x else 0
+            leaves[x[:d]] += not kids[x]
+    return [(m[0], len(x), members[x[:-1]][0] if x else None, len(m), kids[x], leaves[x], saved[x],
+             sha(",".join(str(c) for c in m if len(new[c]) == len(x)))) for x, m in members.items()]
