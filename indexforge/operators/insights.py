@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indexforge.operators.performance import exact_sum
+from indexforge.operators.exact import exact_sums
 
 
 def composition_insights(snapshot: DataFrame) -> DataFrame:
-    """Constituent count and mean close per (index_type, date); the mean uses the
-    order-independent ``exact_sum`` over the date's members."""
-    return (snapshot.groupBy("index_type", "date")
-            .agg(F.count(F.lit(1)).alias("constituents"),
-                 (exact_sum(F.col("close_price")) / F.count("close_price")).alias("mean_close")))
+    """Constituent count and mean close per (index_type, date); the mean is of the exact,
+    order-independent sum over the date's members."""
+    sums = exact_sums(snapshot, ["index_type", "date"], F.col("close_price"), "_sum", "constituents", "_n")
+    return sums.select("index_type", "date", "constituents", F.try_divide("_sum", "_n").alias("mean_close"))

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from indexforge.operators.exact import exact_sums
 from indexforge.operators.versions import (
     restrict, latest_performance, latest_weights, performance_collapse_legacy,
     version_collapse_legacy,
@@ -52,31 +53,19 @@ def pct_change(level: str, partition, order, fill_zero: bool = True) -> Column:
             .otherwise(ratio))
 
 
-def exact_sum(col: Column) -> Column:
-    """Sum of a group's doubles whose value does not depend on their order.
-
-    Floating-point addition does, and index levels must not: reruns are collapsed by
-    comparing ``index_price`` (first-generation history).  The terms are added as
-    decimals with 15 places, which is exact, and as a partial aggregate, so no group is
-    gathered.  A group with a value that is no such decimal (NaN, infinity, beyond 1e22)
-    falls back to the plain sum.
-    """
-    d = col.try_cast("decimal(38,15)")
-    return F.when(F.count(d) == F.count(col), F.sum(d).cast("double")).otherwise(F.sum(col))
-
-
 def index_level(prices: DataFrame, weights: DataFrame) -> DataFrame:
     """``SUM(weight * close)`` per (index_type, date) over bars joined to weights
     on (ticker, date).  A missing bar drops the name (inner join, no re-weighting).
 
     The weights side holds index members x days (x index types), independent of the bar
     volume; Spark broadcasts it by size, or shuffles both sides on (ticker, date).
+    The sum is exact up to one rounding, so it does not depend on the layout: reruns
+    are collapsed by comparing ``index_price`` (first-generation history).
     """
     px = prices.select("ticker", "date", "close")
     w = weights.select("index_type", "date", "ticker", "weight")
-    return (px.join(w, ["ticker", "date"])
-            .groupBy("index_type", "date")
-            .agg(exact_sum(F.col("weight") * F.col("close")).alias("index_price")))
+    return exact_sums(px.join(w, ["ticker", "date"]), ["index_type", "date"],
+                      F.col("weight") * F.col("close"), "index_price")
 
 
 def daily_return(levels: DataFrame, fill_zero: bool = True,

@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -85,6 +86,54 @@ def drop_scratch(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that the caller wrote itself."""
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
+def replace_folder(spark: SparkSession, written: str, path: str) -> None:
+    """Put the complete folder ``written`` in the place of ``path``."""
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)
+    if not fs.rename(_file_system(spark, written)[1], target):
+        raise OSError(f"{written} could not be renamed to {path}")
+
+
+def write_small(spark: SparkSession, path: str, text: str, overwrite: bool = True) -> bool:
+    """Write a small text file; False if it is there and must not be overwritten."""
+    fs, p = _file_system(spark, path)
+    if not overwrite and fs.exists(p):
+        return False
+    try:
+        out = fs.create(p, overwrite)
+    except Py4JJavaError as e:
+        if not overwrite and fs.exists(p):
+            return False  # another job was first
+        raise OSError(f"{path} could not be written") from e
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+def read_small(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, or None if there is none."""
+    fs, p = _file_system(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder, sorted; none if it is not there."""
+    fs, p = _file_system(spark, path)
+    return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so Python file APIs can use a local path."""
     if path.startswith("file:"):

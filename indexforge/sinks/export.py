@@ -8,13 +8,15 @@ Empty results write nothing, as in the original.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from indexforge.functions.scalar import slug
 from indexforge.operators.versions import restrict, composition_snapshot
-from indexforge.session import drop_scratch, scratch_path
+from indexforge.session import delete_folder, replace_folder
 
 
 def _slug_text(s: str) -> str:
@@ -22,27 +24,37 @@ def _slug_text(s: str) -> str:
 
 
 def plain_number(c: Column) -> Column:
-    """A double as text without an exponent (7954220000.0, not 7.95422E9), digits unchanged."""
+    """A number as text without an exponent and with every digit: the decimal point of the shortest text
+    that names the double is moved, so reading it gives the same double (7.95422E9 -> 7954220000.0)."""
     text = c.cast("string")
-    wide = F.regexp_replace(text.try_cast("decimal(38,18)").cast("string"), "(\\.\\d+?)0+$", "$1")
-    return F.when(text.contains("E"), F.coalesce(wide, text)).otherwise(text)
+    part = lambda k: F.regexp_extract(text, r"^(-?)(\d)\.(\d+?)0*E(-?\d+)$", k)
+    digits = F.concat(part(2), F.when(part(3) == "0", F.lit("")).otherwise(part(3)))
+    point = part(4).try_cast("int") + F.lit(1)  # digits before the point
+    size = F.length(digits)
+    moved = (F.when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
+             .when(point >= size, F.concat(digits, F.repeat(F.lit("0"), point - size), F.lit(".0")))
+             .otherwise(F.concat(F.substring(digits, F.lit(1), point), F.lit("."), F.substring(digits, point + 1, size))))
+    return F.when(text.contains("E"), F.concat(part(1), moved)).otherwise(text)
 
 
 def write_csv(df: DataFrame, path: str) -> str:
     """Write with a header; returns the path, or '' when there is nothing to write.
 
-    The query runs once, into the shared scratch folder; the CSV is written from there.
+    The query runs once, into a folder beside ``path`` that takes its place when it is complete,
+    so a lost job leaves an earlier export as it was.  Tasks write the partitions
+    they have: the part files of a sorted result, in the order of their names, are sorted.
     """
     spark = df.sparkSession
     doubles = {f.name: plain_number(F.col(f.name)) for f in df.schema.fields
                if isinstance(f.dataType, (DoubleType, FloatType))}
-    staging = scratch_path(spark, "csv")
-    (df.withColumns(doubles) if doubles else df).write.parquet(staging)
-    rows = spark.read.parquet(staging)
-    some = not rows.isEmpty()
+    counted, part = Observation(), f"{path.rstrip('/')}.part-{uuid.uuid4().hex[:12]}"
+    (df.withColumns(doubles) if doubles else df).observe(counted, F.count(F.lit(1)).alias("rows")).write.option(
+        "header", True).csv(part)
+    some = counted.get.get("rows", 0) > 0
     if some:
-        rows.write.mode("overwrite").option("header", True).csv(path)
-    drop_scratch(spark, staging)
+        replace_folder(spark, part, path)
+    else:
+        delete_folder(spark, part)
     return path if some else ""
 
 

@@ -2,7 +2,8 @@
 
 Each run stamps its rows with one explicit ``update_time`` (TIMESTAMP_NTZ, the
 same wall-clock meaning as ``TIMESTAMP WITHOUT TIME ZONE``) and appends.
-Composition / performance / changes are partitioned by ``index_type``; a run is
+Composition / performance / changes are partitioned by ``index_type`` and ``run_date``, the day of
+``update_time``, so a retry looks for its own rows in the files of its run's day only; a run is
 range-partitioned by date, so a date filter skips files and row groups through
 Parquet statistics without creating one small folder per day.
 """
@@ -14,6 +15,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from indexforge.schemas import (
     INDEX_CHANGES, INDEX_CHANGES_KEY, INDEX_COMPOSITION, INDEX_COMPOSITION_KEY,
@@ -23,6 +25,10 @@ from indexforge.session import drop_scratch, scratch_path
 from indexforge.sources.tables import scan_if_exists
 
 
+#: The partition column that holds the day of a run.
+RUN_DATE = "run_date"
+
+
 def run_timestamp(ts) -> F.Column:
     if isinstance(ts, _dt.datetime):
         ts = ts.strftime("%Y-%m-%d %H:%M:%S.%f")
@@ -54,6 +60,8 @@ def _stored_keys(stored: DataFrame, keys, run_ts) -> DataFrame:
     conflict; the filter reaches the scan."""
     if run_ts is not None and "update_time" in keys:
         stored = stored.filter(F.col("update_time") == run_timestamp(run_ts))
+        if RUN_DATE in stored.columns:  # a partition column: other days' files are not opened
+            stored = stored.filter(F.col(RUN_DATE) == run_timestamp(run_ts).cast("date"))
     return stored.select(*keys)
 
 
@@ -66,22 +74,33 @@ def conflict_skip(incoming: DataFrame, stored: DataFrame | None,
     return out if stored is None else out.join(_stored_keys(stored, keys, run_ts), keys, "left_anti")
 
 
-def _append(df: DataFrame, path: str, schema, keys, run_ts, partition_by=("index_type",),
+def _content(rows: DataFrame, names) -> str:
+    """A name for the rows that does not depend on their order."""
+    h = F.xxhash64(*names)
+    got = rows.agg(F.bit_xor(h).alias("x"), F.bit_xor(F.xxhash64(F.lit("again"), *names)).alias("y"),
+                   F.count(F.lit(1)).alias("n")).first()
+    return f"{got['x'] % (1 << 64):016x}{got['y'] % (1 << 64):016x}-{got['n']}"
+
+
+def _append(df: DataFrame, path: str, schema, keys, run_ts, partition_by=("index_type", RUN_DATE),
             dead_path: str | None = None, stored: DataFrame | None = None) -> dict:
     """Stamp, skip conflicts, append rows that satisfy the NOT NULL rules.
 
     Returns the counts {'built', 'written', 'conflicts', 'repeated', 'rejected'}.  Conflicts
     are keys already stored for this run stamp (at ``path``, or in ``stored``), so a
     retried append adds nothing.  Rows that repeat a key of the run and rows that violate
-    NOT NULL are written as JSON lines with their reason to ``dead_path``, by default a
-    folder of this run beside the table: built = written + conflicts + repeated + rejected.
+    NOT NULL are written as JSON lines with their reason below ``dead_path``, by default a
+    folder of this run beside the table: built = written + conflicts + repeated + rejected.  Each attempt's
+    rejects have a folder named by their content: a retry writes its own again, and appends of other
+    rows under the same stamp (another strategy of the run) keep theirs.
 
     The run is computed once, into the shared scratch folder, and written from there
     range-partitioned by (index type, date, ...), so each file covers a narrow date range.
     """
     spark, keys = df.sparkSession, list(keys)
     if stored is None:
-        stored = scan_if_exists(spark, path, schema)
+        # schema with the run's day: the partition values are read from the folders' names
+        stored = scan_if_exists(spark, path, StructType([*schema.fields, StructField(RUN_DATE, DateType())]))
     missing = [c for c in not_null_columns(schema)]
     rows = stamp(df, run_ts).select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
     rows = _ranked(rows, keys)
@@ -102,13 +121,14 @@ def _append(df: DataFrame, path: str, schema, keys, run_ts, partition_by=("index
               "repeated": n.get("repeated_key", 0), "rejected": n.get("null_value", 0)}
     order = [c for c in ("index_type", "date", "ticker") if c in names]
     if counts["written"]:
-        (rows.filter("_reason IS NULL").drop("_reason").repartitionByRange(*order)
-         .sortWithinPartitions(*order).write.mode("append").partitionBy(*partition_by).parquet(path))
+        (rows.filter("_reason IS NULL").drop("_reason").withColumn(RUN_DATE, F.to_date("update_time"))
+         .repartitionByRange(*order).sortWithinPartitions(*order).write.mode("append").partitionBy(*partition_by).parquet(path))
     if counts["repeated"] or counts["rejected"]:
         run = "".join(ch for ch in str(run_ts) if ch.isdigit())
         bad = rows.filter("_reason <> 'conflict'")
+        folder = dead_path or f"{path.rstrip('/')}_rejected/run={run}"
         bad.select(F.to_json(F.struct(*names, F.col("_reason").alias("reason"))).alias("value")) \
-            .write.mode("overwrite").text(dead_path or f"{path.rstrip('/')}_rejected/run={run}")
+            .write.mode("overwrite").text(f"{folder.rstrip('/')}/attempt={_content(bad, [*names, '_reason'])}")
     drop_scratch(spark, staging)
     return counts
 

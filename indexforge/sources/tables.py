@@ -12,9 +12,10 @@ from indexforge.session import path_exists
 
 def scan_table(spark: SparkSession, path: str, name: str) -> DataFrame:
     """Full scan of one of the five tables (``SELECT *``) with its fixed schema.
-    Partition folders (index_type=/date=) are discovered and pruned by filters."""
+    Partition folders (index_type=/run_date=/date=) are discovered and pruned by filters; one that is no
+    column of the table is not returned."""
     schema, _ = TABLES[name]
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
 def scan_if_exists(spark: SparkSession, path: str, schema) -> DataFrame | None:

@@ -60,7 +60,7 @@ def main():
         "composition_snapshot (one date, one type)":
             ver.composition_snapshot(comp, "1998-06-01", "Equal Weighted"),
         "current prices from the load log (upsert)":
-            current_prices(fx.bars(spark, sf).withColumn("_load_ts", F.lit(None).cast("timestamp_ntz"))
+            current_prices(fx.bars(spark, sf).withColumn("_load_seq", F.lit(None).cast("long"))
                            .withColumn("source_file", F.lit("f"))
                            .withColumn("_pos", F.lit(0).cast("long"))),
     }
