@@ -1,7 +1,8 @@
 """Daily bar ingestion: landed payloads -> price log + dead letters + counts.
 
 The price table is an append log, one folder per load (``load=<id>``), written
-with ``overwrite`` so a retried load replaces itself instead of duplicating.
+with ``overwrite`` so a retried load replaces itself instead of duplicating.  Every attempt
+carries a sequence number, and a load that is committed is not run again (``load_log``).
 The current table is a view over the log (``current_prices``): one row per
 (ticker, timestamp), chosen by load order; ``merge_into_current`` keeps that table
 up to date load by load.
@@ -10,29 +11,33 @@ up to date load by load.
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
+import json
+import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
 from indexforge.functions.calendar import epoch_ms_to_date
 from indexforge.operators.upsert import upsert_partial, upsert_replace
+from indexforge.plans import load_log
 from indexforge.schemas import PRICES_KEPT, PRICES_UPDATED, STOCK_PRICES, STOCK_PRICES_KEY
-from indexforge.session import drop_scratch, scratch_path
+from indexforge.session import delete_folder, drop_scratch, path_exists, read_small, scratch_path, write_small
 from indexforge.sinks.dead_letters import write_dead_letters
 from indexforge.sources.landing import (
     explode_bar_entries, flatten_bars, read_landed_text, with_source,
 )
 from indexforge.sources.tables import scan_if_exists
 
-LOAD_ORDER = ("_load_ts", "source_file", "_pos")
+LOAD_ORDER = ("_load_seq", "source_file", "_pos")
 CURRENT_PRICES = StructType([*STOCK_PRICES.fields, StructField("key_date", DateType(), True)])
-LOG_COLUMNS = [f.name for f in STOCK_PRICES.fields] + ["_load_ts", "source_file", "_pos"]
+LOG_COLUMNS = [f.name for f in STOCK_PRICES.fields] + ["_load_ts", *LOAD_ORDER]
 
 
 def ingest_text(text: DataFrame, log_root: str, dead_root: str, load_id: str,
-                run_ts, date_rule: str = "request") -> dict:
-    """Parse, split and write one load.  Returns {'total', 'success', 'rejected'}.
+                run_ts, date_rule: str = "request", seq: int = 0) -> dict:
+    """Parse, split and write one attempt of a load.  Returns {'total', 'success', 'rejected'}.
 
     ``text`` has columns value, source_file, request_date.  Counts come from an
     ``Observation`` on the pass that parses the text.
@@ -43,6 +48,7 @@ def ingest_text(text: DataFrame, log_root: str, dead_root: str, load_id: str,
     staging = scratch_path(spark, "parsed")
     (flatten_bars(explode_bar_entries(text), date_rule)
      .withColumn("_load_ts", F.lit(run_ts).cast("timestamp_ntz"))
+     .withColumn("_load_seq", F.lit(seq).cast("long"))
      .observe(obs, F.count(F.lit(1)).alias("total"), F.count_if(F.col("_valid")).alias("success"))
      .write.parquet(staging))
     bars = spark.read.parquet(staging)
@@ -56,6 +62,33 @@ def ingest_text(text: DataFrame, log_root: str, dead_root: str, load_id: str,
     return {"total": total, "success": success, "rejected": total - success}
 
 
+def ingest_load(text: DataFrame, log_root: str, dead_root: str, load_id: str, run_ts,
+                date_rule: str = "request", current_path: str | None = None, rule: str = "partial",
+                request: str = "") -> dict:
+    """One load with its commit: a merge that was cut off is finished first, a load that is committed is
+    skipped (its counts come from the record), and the commit follows the merge.
+
+    ``request`` says what is loaded; a load id that was used for another request is refused.
+    """
+    spark = text.sparkSession
+    if current_path:
+        finish_merge(spark, current_path)
+    done = load_log.committed(spark, log_root, load_id)
+    if done is not None:
+        if done["request"] != request:
+            raise ValueError(f"load id {load_id} is taken by another request: {done['request']}")
+        return done["counts"]
+    seq = load_log.claim_sequence(spark, log_root, load_id)
+    counts = ingest_text(text, log_root, dead_root, load_id, run_ts, date_rule, seq)
+    record = {"seq": seq, "request": request, "counts": counts}
+    if current_path:
+        load = spark.read.parquet(f"{log_root.rstrip('/')}/load={load_id}")
+        merge_into_current(spark, current_path, load, rule, then=(log_root, load_id, record))
+    else:
+        load_log.commit(spark, log_root, load_id, record)
+    return counts
+
+
 def ingest_daily(spark: SparkSession, landing_root: str, log_root: str, dead_root: str,
                  dates=None, run_ts=None, load_id: str | None = None,
                  date_rule: str = "request", as_of=None, current_path: str | None = None,
@@ -66,13 +99,11 @@ def ingest_daily(spark: SparkSession, landing_root: str, log_root: str, dead_roo
     if as_of is not None and dates is None:
         dates = [previous_trading_day_of(as_of)]
     run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
-    load_id = load_id or "batch-" + "".join(ch for ch in str(run_ts) if ch.isdigit())
+    request = json.dumps([landing_root, sorted(map(str, dates)) if dates is not None else None, date_rule])
+    load_id = load_id or "batch-{}-{}".format("".join(ch for ch in str(run_ts) if ch.isdigit()),
+                                              hashlib.sha256(request.encode()).hexdigest()[:8])
     text = read_landed_text(spark, landing_root, dates)
-    counts = ingest_text(text, log_root, dead_root, load_id, run_ts, date_rule)
-    if current_path:
-        load = spark.read.parquet(f"{log_root.rstrip('/')}/load={load_id}")
-        merge_into_current(spark, current_path, load, rule)
-    return counts
+    return ingest_load(text, log_root, dead_root, load_id, run_ts, date_rule, current_path, rule, request)
 
 
 def previous_trading_day_of(as_of) -> _dt.date:
@@ -93,7 +124,8 @@ def ingest_counts(text: DataFrame, date_rule: str = "request") -> DataFrame:
 
 
 def read_price_log(spark: SparkSession, log_root: str) -> DataFrame:
-    return spark.read.parquet(log_root).select(*LOG_COLUMNS)
+    """The rows of all committed loads."""
+    return load_log.committed_rows(spark, log_root).select(*LOG_COLUMNS)
 
 
 def current_prices(log: DataFrame, rule: str = "partial") -> DataFrame:
@@ -109,19 +141,41 @@ def write_prices(prices: DataFrame, out_path: str, num_files: int | None = None,
                  date_folders: bool = False) -> None:
     """Write a price table for the index jobs.
 
-    Rows are range-partitioned on (date, ticker) -- a day holding a large share
-    of the rows is split over several tasks instead of landing in one -- and
-    sorted, so every file covers a narrow date range and date filters skip files
-    and row groups through Parquet min/max statistics.  ``date_folders`` adds
-    ``date=`` folders, worth it when a single day is many files large.
+    The input is computed once, into the shared scratch folder; the rows of each day are counted there (one
+    column is read) and days are dealt in order to files of about equal row counts: small days share a
+    file, and a day holding a large share of the rows is split over several by ticker.  Files are sorted, so
+    every one covers a narrow date range and date filters skip files and row groups through
+    Parquet min/max statistics.  ``date_folders`` adds ``date=`` folders, worth it when a single day is many
+    files large.
     """
     spark = prices.sparkSession
     n = num_files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    out = prices.repartitionByRange(n, "date", "ticker").sortWithinPartitions("date", "ticker")
+    staging = scratch_path(spark, "prices")
+    prices.write.parquet(staging)
+    rows = spark.read.schema(prices.schema).parquet(staging)
+    out = placed_by_day(rows, n).sortWithinPartitions("date", "ticker")
     writer = out.write.mode("errorifexists")
     if date_folders:
         writer = writer.partitionBy("date")
     writer.parquet(out_path)
+    drop_scratch(spark, staging)
+
+
+def placed_by_day(rows: DataFrame, n: int) -> DataFrame:
+    """``rows`` in ``n`` partitions of about equal row counts, in the order of days.
+
+    A partition's number comes from the row counts of the days before: no sample is
+    drawn and the input is not run again for it.  The running total passes over one row per day.
+    """
+    before = Window.orderBy(F.asc_nulls_first("_day")).rowsBetween(Window.unboundedPreceding, -1)
+    days = rows.groupBy(F.col("date").alias("_day")).agg(F.count(F.lit(1)).alias("_n"))
+    size = F.greatest(F.ceil(F.sum("_n").over(Window.partitionBy()) / F.lit(n)), F.lit(1))
+    days = days.select("_day", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"), size.alias("_size"))
+    days = days.select("_day", F.floor(F.col("_start") / F.col("_size")).cast("int").alias("_first"),
+                       F.floor((F.col("_start") + F.col("_n") - 1) / F.col("_size")).cast("int").alias("_last"))
+    place = F.col("_first") + F.pmod(F.xxhash64("ticker"), F.col("_last") - F.col("_first") + 1).cast("int")
+    return (rows.join(days, F.col("date").eqNullSafe(F.col("_day"))).withColumn("_place", place)
+            .repartitionById(n, "_place").drop("_day", "_first", "_last", "_place"))
 
 
 #: Key days of a load that are named one by one in the partition filter.
@@ -139,8 +193,13 @@ def _key_day_filter(incoming: DataFrame):
     return F.col("key_date").between(F.lit(span["a"]), F.lit(span["b"]))
 
 
+def _redo(current_path: str) -> str:
+    """The folder beside the table that holds a merge on its way: staged rows and the marker ``ready``."""
+    return f"{current_path.rstrip('/')}_merge"
+
+
 def merge_into_current(spark: SparkSession, current_path: str, load: DataFrame,
-                       rule: str = "partial") -> None:
+                       rule: str = "partial", then: tuple[str, str, dict] | None = None) -> None:
     """Merge one load into the current price table, touching only its days.
 
     The current table is partitioned by ``key_date`` -- the UTC day of the
@@ -151,12 +210,16 @@ def merge_into_current(spark: SparkSession, current_path: str, load: DataFrame,
     1. old rows of those partitions (a literal partition filter)  UNION  the load's rows;
     2. upsert per (ticker, timestamp) with the chosen rule;
     3. rebalance on ``key_date``: few files per day, and a large day is split;
-    4. stage the result under the checkpoint folder (a path cannot be
-       overwritten while it is read), replace just those partitions
-       (dynamic partition overwrite), and drop the staged copy.
-
-    A failed run can simply be repeated: the upsert of the same load is idempotent.
+    4. stage the result, whole partitions, beside the table and mark it ready;
+    5. replace just those partitions (dynamic partition overwrite), record the commit ``then``
+       (log, load, record) and clear the marker: ``finish_merge``.
+
+    A job lost before the marker leaves the table as it was.  One lost after it may leave
+    partitions deleted and not yet replaced: their rows are in the staged copy, ``read_current`` takes them
+    from there, and the next load finishes the merge before it does anything else.  One job merges into a
+    table at a time.
     """
+    finish_merge(spark, current_path)
     cols = [f.name for f in STOCK_PRICES.fields]
     incoming = (load.select(*cols, *LOAD_ORDER)
                 .withColumn("key_date", epoch_ms_to_date("timestamp")))
@@ -165,23 +228,53 @@ def merge_into_current(spark: SparkSession, current_path: str, load: DataFrame,
     if stored is not None:
         old = (stored.filter(_key_day_filter(incoming))
                .withColumn("_rank", F.lit(0))
-               .withColumn("_load_ts", F.lit(None).cast("timestamp_ntz"))
+               .withColumn("_load_seq", F.lit(None).cast("long"))
                .withColumn("source_file", F.lit(None).cast("string"))
                .withColumn("_pos", F.lit(None).cast("long")))
         pieces = old.unionByName(pieces)
     merged = (_upsert(pieces, rule, ["_rank", *LOAD_ORDER])
               .withColumn("key_date", epoch_ms_to_date("timestamp"))
               .hint("rebalance", "key_date"))
-    staging = scratch_path(spark, "prices_merge")
-    merged.write.parquet(staging)
-    (spark.read.schema(CURRENT_PRICES).parquet(staging).sortWithinPartitions("key_date", "ticker")
+    staged = f"rows-{uuid.uuid4().hex[:12]}"
+    merged.write.parquet(f"{_redo(current_path)}/{staged}")
+    write_small(spark, f"{_redo(current_path)}/ready", json.dumps({"staged": staged, "then": then}))
+    finish_merge(spark, current_path)
+
+
+def finish_merge(spark: SparkSession, current_path: str) -> bool:
+    """Finish a merge that is marked ready, if there is one; may be repeated from any point."""
+    redo = _redo(current_path)
+    if not path_exists(spark, redo):
+        return False
+    ready = read_small(spark, f"{redo}/ready")
+    if ready is not None:
+        work = json.loads(ready)
+        _swap(spark, f"{redo}/{work['staged']}", current_path)
+        if work["then"]:
+            load_log.commit(spark, *work["then"])
+        delete_folder(spark, f"{redo}/ready")
+    delete_folder(spark, redo)  # with what an attempt staged and did not mark
+    return ready is not None
+
+
+def _swap(spark: SparkSession, staged: str, current_path: str) -> None:
+    (spark.read.schema(CURRENT_PRICES).parquet(staged).sortWithinPartitions("key_date", "ticker")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("key_date").parquet(current_path))
-    drop_scratch(spark, staging)
 
 
 def read_current(spark: SparkSession, current_path: str) -> DataFrame:
-    return spark.read.parquet(current_path).select(*[f.name for f in STOCK_PRICES.fields])
+    """The current table; days of a merge that is ready and not finished come from its staged copy."""
+    ready = read_small(spark, f"{_redo(current_path)}/ready")
+    if ready is None:
+        rows = spark.read.schema(CURRENT_PRICES).parquet(current_path)
+    else:
+        rows = spark.read.schema(CURRENT_PRICES).parquet(f"{_redo(current_path)}/{json.loads(ready)['staged']}")
+        stored = scan_if_exists(spark, current_path, CURRENT_PRICES)
+        if stored is not None:
+            days = rows.select(F.col("key_date").alias("_day")).distinct()
+            rows = rows.unionByName(stored.join(days, F.col("key_date").eqNullSafe(F.col("_day")), "left_anti"))
+    return rows.select(*[f.name for f in STOCK_PRICES.fields])
 
 
 def _upsert(df: DataFrame, rule: str, order) -> DataFrame:
@@ -193,5 +286,5 @@ def _upsert(df: DataFrame, rule: str, order) -> DataFrame:
     raise ValueError(rule)
 
 
-__all__ = ["merge_into_current", "read_current", "write_prices", "current_prices", "ingest_counts", "ingest_daily",
+__all__ = ["finish_merge", "ingest_load", "merge_into_current", "read_current", "write_prices", "current_prices", "ingest_counts", "ingest_daily",
            "ingest_text", "read_price_log", "with_source"]

@@ -10,6 +10,7 @@ from indexforge.functions.calendar import date_text
 from indexforge.operators.construct import COMPOSITION_COLUMNS, build_index
 from indexforge.operators.performance import performance_history
 from indexforge.operators.versions import composition_snapshot, restrict, snapshot_rows
+from indexforge.session import scratch_path
 from indexforge.sinks.versioned import append_composition
 
 
@@ -33,7 +34,11 @@ def composition_get_or_build(stored: DataFrame, prices: DataFrame, instruments:
     bars = prices.join(complete, "date", "left_anti")
     built = build_index(bars, instruments, top_n, index_types, start=start, end=end)
     fresh = built.join(have, ["index_type", "date"], "left_anti").select(*COMPOSITION_COLUMNS)
-    if store_path is not None:
+    if store_path is not None:  # built once: the append and the result read the same copy
+        spark = stored.sparkSession
+        copy = scratch_path(spark, "built")
+        fresh.write.parquet(copy)
+        fresh = spark.read.schema(fresh.schema).parquet(copy)
         append_composition(fresh, store_path, run_ts)
     return snap.unionByName(fresh)
 

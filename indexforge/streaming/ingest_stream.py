@@ -1,9 +1,9 @@
 """Incremental pickup of landed day files with Structured Streaming.
 
 File source -> ``trigger(availableNow=True)`` -> ``foreachBatch`` running the
-same parse/split/write as the batch job.  Each micro-batch writes to folders
-named by stream id and batch id with ``overwrite``, so a batch replayed after a
-failure replaces its own output and no other stream's (exactly-once effect on the log).  No watermark: a late
+same parse/split/write as the batch job.  Each micro-batch is a load named by stream id and batch id: replayed
+after its commit it is skipped, and replayed before it replaces its own output and no other
+stream's (exactly-once effect on the log and the current table).  No watermark: a late
 day is simply accepted and upserts over older rows, as in the original.
 """
 
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from indexforge.plans.ingest import ingest_text, merge_into_current
+from indexforge.plans.ingest import ingest_load
 
 _DATE_IN_PATH = r"date=(\d{4}-\d{2}-\d{2})"
 TEXT_SCHEMA = StructType([StructField("value", StringType(), True)])
@@ -41,8 +41,7 @@ def start_ingest_stream(spark: SparkSession, landing_root: str, log_root: str,
     """Start the stream; returns the StreamingQuery (already running).
 
     With ``current_path`` every micro-batch is also merged into the current
-    price table (only the key days it touches are rewritten); a replayed batch
-    re-applies the same load, which leaves the table unchanged.
+    price table (only the key days it touches are rewritten).
     """
     reader = spark.readStream.schema(TEXT_SCHEMA).format("text")
     if max_files_per_trigger:
@@ -57,11 +56,8 @@ def start_ingest_stream(spark: SparkSession, landing_root: str, log_root: str,
         if not name:
             name.append(_stream_id(spark, checkpoint))
         load_id = f"stream-{name[0]}-{batch_id:012d}"
-        results.append(ingest_text(_with_request_date(df), log_root, dead_root,
-                                   load_id, ts, date_rule))
-        if current_path:
-            load = df.sparkSession.read.parquet(f"{log_root.rstrip('/')}/load={load_id}")
-            merge_into_current(df.sparkSession, current_path, load, rule)
+        results.append(ingest_load(_with_request_date(df), log_root, dead_root, load_id, ts, date_rule,
+                                   current_path, rule, request=f"{landing_root} {date_rule}"))
 
     q = (lines.writeStream.foreachBatch(_batch)
          .option("checkpointLocation", checkpoint)
