@@ -178,7 +178,7 @@ def divergence(docs: DataFrame, *, text: str = "text", lang: str = "lang", sourc
         F.sum("n").alias("in_lang"), F.sum("docs").alias("docs")).filter(F.col("docs") >= min_docs).drop("docs")
     sizes = terms.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("in_lang").alias("lang_n"))
     terms = stored(terms.join(sizes, "lang").withColumn(
-        "seg", F.pmod(F.xxhash64("term"), F.ceil(F.col("v") / segment)).cast("int")).withColumn(
+        "seg", F.pmod(F.xxhash64("term"), F.ceil(F.col("v") / segment)).cast("int")).repartition("lang", "seg").withColumn(
         "at", F.row_number().over(Window.partitionBy("lang", "seg").orderBy(F.desc("in_lang"), "term")) - 1), "terms")
     sizes = terms.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("in_lang").alias("lang_n"))
     kept = stored(counts.withColumnRenamed("n", "k").join(terms, ["lang", "term"]).select(
