@@ -5,10 +5,17 @@ members.  The previous snapshot is taken with ``lag`` before the date filter is
 applied, over a history that reaches back to the last date before the window, so the
 first reported day can point to it.  A ``listagg`` group holds one date's
 members, bounded by the index size of the runs, not by the bar volume.
+
+Change reports build few of these lists.  Every day gets a fingerprint of its members that does not depend on
+their order (their number, the sum and the XOR of two 64-bit hashes: a plain hash aggregate), and days whose
+fingerprint equals the day before are out.  Members are sorted and joined for the other days and
+their predecessors only, and the lists decide.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,10 +46,41 @@ def changed(symbols="symbols", prev="prev_symbols") -> Column:
     return (s != p) | p.isNull()
 
 
-def _report(lagged: DataFrame, start, end) -> DataFrame:
-    out = lagged.filter(F.coalesce(changed(), F.lit(False)))
-    out = restrict(out, None, start=start, end=end)  # after the window, on purpose
-    return out.select(*CHANGE_COLUMNS)
+def day_fingerprints(members: DataFrame) -> DataFrame:
+    """(index_type, date, n, s, x): equal for days with the same members, however often and in whatever order."""
+    return members.groupBy("index_type", "date").agg(
+        F.count("ticker").alias("n"), F.sum(F.xxhash64("ticker").cast("decimal(20,0)")).alias("s"),
+        F.bit_xor(F.xxhash64(F.lit(1), "ticker")).alias("x"))
+
+
+def days_in_question(history: DataFrame, members_of: Callable[[DataFrame], DataFrame], start=None, end=None) -> DataFrame:
+    """(index_type, date, prev_date) of the days in range whose members may differ from the day before: those
+    without such a day, or behind one without members, or with another fingerprint."""
+    w = Window.partitionBy("index_type").orderBy("date")
+    days = day_fingerprints(members_of(history)).select(
+        "index_type", "date", "n", F.struct("n", "s", "x").alias("f")).withColumns({
+            "prev_date": F.lag("date").over(w), "_n": F.lag("n").over(w), "_f": F.lag("f").over(w)})
+    other = F.coalesce(F.col("_n"), F.lit(0)).eqNullSafe(F.lit(0)) | ~F.col("f").eqNullSafe(F.col("_f"))
+    # after the window, on purpose
+    return restrict(days.filter(other).select("index_type", "date", "prev_date"), None, start=start, end=end)
+
+
+def _report(history: DataFrame, members_of: Callable[[DataFrame], DataFrame], start, end) -> DataFrame:
+    days = days_in_question(history, members_of, start, end)
+    needed = days.select("index_type", "date").unionByName(
+        days.select("index_type", F.col("prev_date").alias("date"))).filter("date IS NOT NULL").distinct()
+    lists = daily_membership(members_of(history.join(needed, ["index_type", "date"], "left_semi")))
+    before = lists.select("index_type", F.col("date").alias("prev_date"), F.col("symbols").alias("prev_symbols"))
+    out = days.join(lists, ["index_type", "date"]).join(before, ["index_type", "prev_date"], "left")
+    return out.filter(F.coalesce(changed(), F.lit(False))).select(*CHANGE_COLUMNS)
+
+
+def _newest_members(composition: DataFrame) -> DataFrame:
+    return latest_weights(composition).select("index_type", "date", "ticker")
+
+
+def _legacy_members(composition: DataFrame) -> DataFrame:
+    return version_collapse_legacy(composition).select("index_type", "date", "ticker")
 
 
 def _reported_history(composition: DataFrame, start, end, index_type) -> DataFrame:
@@ -61,9 +99,7 @@ def _reported_history(composition: DataFrame, start, end, index_type) -> DataFra
 def detect_index_changes(composition: DataFrame, start=None, end=None,
                          index_type=None) -> DataFrame:
     """(date, symbols, prev_date, prev_symbols, index_type) for change days in range."""
-    history = _reported_history(composition, start, end, index_type)
-    members = latest_weights(history).select("index_type", "date", "ticker")
-    return _report(membership_lag(daily_membership(members)), start, end)
+    return _report(_reported_history(composition, start, end, index_type), _newest_members, start, end)
 
 
 def previous_snapshot_lookup(composition: DataFrame, index_type=None) -> DataFrame:
@@ -80,6 +116,4 @@ def index_changes_legacy(composition: DataFrame, start=None, end=None,
                          index_type=None) -> DataFrame:
     """First-generation changes over the legacy collapse: a ticker with differing
     versions appears more than once in ``symbols``."""
-    members = version_collapse_legacy(_reported_history(composition, start, end, index_type)).select(
-        "index_type", "date", "ticker")
-    return _report(membership_lag(daily_membership(members)), start, end)
+    return _report(_reported_history(composition, start, end, index_type), _legacy_members, start, end)

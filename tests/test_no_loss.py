@@ -293,3 +293,23 @@ def test_get_or_build_builds_once(spark, scratch):
     comp = fx.composition(spark, SF_SMALL).filter("date <= '2024-01-15'")
     out = views.composition_get_or_build(comp, px, inst, 5, store_path=scratch("comp"), run_ts="2024-03-01 00:00:00")
     assert any("/built-" in f for f in out.inputFiles())
+
+
+def test_lists_are_built_for_changed_days_only(spark):
+    """100 days with two real changes, re-ordered members, a rebuilt day and a day of null tickers."""
+    rows = []
+    for k in range(100):
+        members = ["A", "B", "C"] if k < 40 else ["A", "B", "D"] if k < 70 else ["B", "D", "E", "F"]
+        rows += [("X", D(2024, 1, 1) + dt.timedelta(days=k), t if k != 90 else None, dt.datetime(2024, 6, 1)) for t in members[::(-1) ** k]]
+    rows += [("X", D(2024, 1, 6), "A", dt.datetime(2024, 6, 2))]
+    comp = spark.createDataFrame([(*r, 1.0, 1.0, 1.0) for r in rows], "index_type string, date date, ticker string, "
+                                 "update_time timestamp_ntz, weight double, market_cap double, close_price double").repartition(6)
+    days = chg.days_in_question(comp, chg._newest_members).collect()
+    first = D(2024, 1, 1)
+    assert sorted((r.date - first).days for r in days) == [0, 40, 70, 90, 91]
+    whole = chg.membership_lag(chg.daily_membership(chg._newest_members(comp)))
+    want = whole.filter(F.coalesce(chg.changed(), F.lit(False))).select(*chg.CHANGE_COLUMNS)
+    got = chg.detect_index_changes(comp)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() == 4
+    lists = plan(got)
+    assert re.search(r"listagg", lists) and lists.index("listagg") < lists.index("LeftSemi")
