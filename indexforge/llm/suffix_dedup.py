@@ -1,12 +1,10 @@
-"""Repeated-substring dedup by buckets of anchors, refined byte by byte.
+"""Repeated-substring dedup by bucket-pointer refinement.
 
 Every byte covered by an ``n``-byte string that also starts in a document with a smaller id is
 removed; strings are judged on the input, overlaps count.  In a suffix array that question is: which
-suffixes share a bucket of depth n.  Suffixes first fall into buckets by a q-gram, as in bucket-pointer
-refinement, and each refinement's identifiers are what the next one sorts on.  But a refinement
-sorts on the byte at the next offset, not on the bucket identifiers found at later offsets: only anchors
-are listed and bucketed, so most later offsets have no identifier to sort on, and the depth wanted is
-bounded (n - q bytes to either side) and the identifiers of every length up to it are used.
+suffixes share a bucket of depth n.  Suffixes first fall into buckets by a q-gram; a bucket is then
+refined by sorting on the bucket identifiers at a later offset, and the refined identifiers are used again in the
+next step, so the depth doubles (8, 16, 32, 50 bytes).
 
 Only some suffixes are listed.  Among the q-grams inside an n-byte string the one with the smallest hash
 is its anchor, so equal strings have equal anchors: two documents share an n-byte string only
@@ -17,10 +15,10 @@ if an anchor of it is in both.
    that two documents share.
 3. Each kept anchor takes the bytes around it that n-byte strings through it can reach.  Equal
    surroundings of one task are one bucket already: only their smallest id goes on.
-4. Refinement: per anchor bucket, identifiers of the surroundings' prefixes to the right and to the left
-   are refined byte by byte; an n-byte string is a pair of such identifiers, and the smallest
-   id of its bucket decides.  A bucket over ``max_bucket`` rows is not gathered: its strings become rows
-   keyed by two 64-bit hashes and the smallest id is found by an aggregate with map-side combine.
+4. Refinement: in the rows of whole anchor buckets, every offset of every surrounding is a suffix.  Their buckets
+   are refined up to depth n, and the smallest id in a string's bucket decides.  An anchor that stands for over ``max_bucket`` rows is never routed by its q-gram: step 2
+   counts them, their rows are dealt evenly, tasks compare the strings they hold, and the strings with a
+   task's smallest id become rows keyed by 128 bits of hash for an aggregate with map-side combine.
 5. The removed ranges meet their documents, and the remaining bytes are put together.
 
 Defined results: a null text is empty; texts under n bytes lose nothing; rows that repeat an id repeat its
@@ -39,11 +37,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indexforge.llm.fit_sample import small_batches
 from indexforge.llm.shingles import mix, texts_of
-from indexforge.llm.text import stored
+from indexforge.llm.text import dropped, stored
 
 Q = 24
+#: Bytes of the grams that name the initial buckets of the refinement.
+START = 8
 _RNG = np.random.default_rng(20261)
 _BYTE = _RNG.integers(1, 2 ** 63, 256, dtype=np.uint64)
 _K = [np.uint64(pow(0x9E3779B97F4A7C15, 2 ** k, 2 ** 64)) for k in range(5)]
@@ -86,9 +85,9 @@ def _texts(column: pa.Array) -> Iterator[np.ndarray]:
 
 
 def _all_anchors(n: int, flush: int = 300_000):
-    """(g, id, t) of every anchor.  A q-gram that two documents of the task's last ``flush`` rows share is
+    """(g, id, t, n) of every anchor.  A q-gram that two documents of the task's last ``flush`` rows share is
     known to be shared: its rows only pass through the shuffle, spread evenly (marked by t < 0), and
-    the smallest and largest id stand for them under g, however many documents hold it."""
+    the smallest and largest id stand for them under g, with their number n, however many documents hold it."""
     def rows(g: np.ndarray, ids: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
         order = np.argsort(g, kind="stable")
         g, ids, at = g[order], ids[order], at[order].astype(np.int32)
@@ -100,11 +99,12 @@ def _all_anchors(n: int, flush: int = 300_000):
         # any position of the two ids will do: their rows are there already
         both = [np.flatnonzero(known & (ids == np.repeat(x, np.diff(np.append(start, len(g)))))) for x in (low, high)]
         both = [x[np.unique(g[x], return_index=True)[1]] for x in both]
-        extra = np.concatenate(both)
+        extra, size = np.concatenate(both), np.repeat(np.diff(np.append(start, len(g))), np.diff(np.append(start, len(g))))
+        many = np.concatenate([np.where(known, 0, 1), size[both[0]], np.zeros(len(both[1]), np.int64)])
         return pa.RecordBatch.from_arrays(
             [pa.array(np.concatenate([own, g[extra]]).view(np.int64)), pa.array(np.concatenate([ids, ids[extra]])),
-             pa.array(np.concatenate([np.where(known, -at - 1, at), at[extra]]).astype(np.int32))],
-            names=["g", "id", "t"])
+             pa.array(np.concatenate([np.where(known, -at - 1, at), at[extra]]).astype(np.int32)),
+             pa.array(many.astype(np.int32))], names=["g", "id", "t", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, g, ids, at, count = set(), [], [], [], 0
@@ -121,41 +121,49 @@ def _all_anchors(n: int, flush: int = 300_000):
                 at.append(p)
                 ids.append(np.full(len(p), i, np.int64))
                 count += len(p)
-            if count >= flush:
-                yield rows(*map(np.concatenate, (g, ids, at)))
-                g, ids, at, count = [], [], [], 0
+                if count >= flush:
+                    yield rows(*map(np.concatenate, (g, ids, at)))
+                    g, ids, at, count = [], [], [], 0
         if count:
             yield rows(*map(np.concatenate, (g, ids, at)))
     return run
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by (g, id): (id, t) of the buckets that hold two ids or more."""
-    held = None  # rows of the last bucket, while it has one id only
-    open_ = None  # the last bucket, once it has two
-    for b in batches:
-        known = pc.less(b.column(2), 0)
-        x = [c.to_numpy() for c in b.filter(known).columns[1:]]
-        if len(x[0]):
-            yield pa.RecordBatch.from_arrays([pa.array(x[0]), pa.array(-x[1] - 1)], names=["id", "t"])
-        x = [c.to_numpy() for c in b.filter(pc.invert(known)).columns]
-        if held is not None:
-            x = [np.concatenate(p) for p in zip(held, x, strict=True)]
-            held = None
-        g, ids, t = x
-        if not len(g):
-            continue
-        start = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
-        end = np.append(start[1:], len(g))
-        two = ids[start] != ids[end - 1]
-        if open_ is not None and g[0] == open_:
-            two[0] = True
-        keep = np.repeat(two, end - start)
-        open_ = g[-1] if two[-1] else None
-        if not two[-1]:
-            held = [c[start[-1]:] for c in x]
-        if keep.any():
-            yield pa.RecordBatch.from_arrays([pa.array(ids[keep]), pa.array(t[keep])], names=["id", "t"])
+def _shared(max_bucket: int):
+    """From rows sorted by (g, id): (id, t) of the buckets that hold two ids or more, and (g, -1) of those that
+    stand for more than ``max_bucket`` rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # rows of the last bucket, while it has one id only
+        open_, passed = None, 0  # the last bucket, once it has two, and the rows of it that went by
+        for b in batches:
+            known = pc.less(b.column(2), 0)
+            x = [c.to_numpy() for c in b.filter(known).columns[1:3]]
+            if len(x[0]):
+                yield pa.RecordBatch.from_arrays([pa.array(x[0]), pa.array(-x[1] - 1)], names=["id", "t"])
+            x = [c.to_numpy() for c in b.filter(pc.invert(known)).columns]
+            if held is not None:
+                x = [np.concatenate(p) for p in zip(held, x, strict=True)]
+                held = None
+            g, ids, t, n = x
+            if not len(g):
+                continue
+            start = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
+            end = np.append(start[1:], len(g))
+            two, many = ids[start] != ids[end - 1], np.add.reduceat(n.astype(np.int64), start)
+            before = np.zeros(len(start), np.int64)
+            if open_ is not None and g[0] == open_:
+                two[0], before[0] = True, passed
+            keep = np.repeat(two, end - start)
+            heavy = g[start[(many + before > max_bucket) & (before <= max_bucket)]]
+            open_, passed = (g[-1], int(many[-1] + before[-1])) if two[-1] else (None, 0)
+            if not two[-1]:
+                held = [c[start[-1]:] for c in x]
+                heavy = heavy[heavy != g[-1]]  # its rows come again
+            if keep.any() or len(heavy):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate([ids[keep], heavy])),
+                     pa.array(np.concatenate([t[keep], np.full(len(heavy), -1)]).astype(np.int32))], names=["id", "t"])
+    return run
 
 
 def _around(n: int):
@@ -202,10 +210,21 @@ def _around(n: int):
     return run
 
 
-def refine(bucket: np.ndarray, later: np.ndarray) -> np.ndarray:
-    """Bucket identifiers after sorting on (bucket, byte at the next offset)."""
-    later = later.astype(np.int64)
-    return np.unique(bucket * (int(later.max(initial=0)) + 1) + later, return_inverse=True)[1]
+def refined(rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket identifiers of the n-byte strings at every offset of ``rows`` (uint8 matrix), and for each
+    identifier the place, row by row, where it comes first.
+
+    The initial buckets are the 8-grams.  A bucket is refined by sorting on the identifier found at the offset
+    behind it, which the step before has refined alike, so every step doubles the length that identifiers name.
+    """
+    grams = np.lib.stride_tricks.sliding_window_view(rows, START, axis=1)
+    key, width = np.ascontiguousarray(grams).view(np.uint64)[..., 0], START
+    while width < n:
+        ids = np.unique(key, return_inverse=True)[1].reshape(key.shape)
+        step = min(width, n - width)
+        key, width = ids[:, :-step] * (int(ids.max()) + 1) + ids[:, step:], width + step
+    first, ids = np.unique(key, return_index=True, return_inverse=True)[1:]
+    return ids.reshape(key.shape), first
 
 
 def _decide(g, ids, at, around, n: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -230,26 +249,18 @@ def _decide(g, ids, at, around, n: int) -> Iterator[tuple[np.ndarray, np.ndarray
     if not len(pick):
         return
     pick = pick[np.argsort(ids[pick], kind="stable")]
-    # 0 pads beyond a text's ends, bytes count from 1
-    full = np.zeros((len(pick), left + n), np.int16)
+    # 0 pads beyond a text's ends; UTF-8 has no byte 255, so bytes count from 1
+    full = np.zeros((len(pick), left + n), np.uint8)
     for r, k in enumerate(pick):
         x = np.frombuffer(around[k], np.uint8)[1:]
-        full[r, left - before[k]:left - before[k] + len(x)] = x
-        full[r, left - before[k]:left - before[k] + len(x)] += 1
-    start = np.unique(g[pick], return_inverse=True)[1]
-    for k in range(left, n):  # the q-gram itself: its hash named the bucket, its bytes decide
-        if (full[:, k] != full[0, k]).any():
-            start = refine(start, full[:, k])
-    right, to_left = [start], [np.zeros(len(pick), np.int64)]
-    for k in range(left):
-        right.append(refine(right[-1], full[:, n + k]))
-        to_left.append(refine(to_left[-1], full[:, left - 1 - k]))
-    own, low, high = ids[pick], np.full(len(pick), left + 1), np.full(len(pick), -1)
+        full[r, left - before[k]:left - before[k] + len(x)] = x + np.uint8(1)
+    names, first = refined(full, n)
+    own = ids[pick]
+    lowest = own[first // names.shape[1]]  # rows are in the order of ids
+    low, high = np.full(len(pick), left + 1), np.full(len(pick), -1)
     for o in range(left + 1):
         inside = (o >= left - before[pick]) & (o + n <= left - before[pick] + size[pick] - 1)
-        _, at_first, where = np.unique(right[o] * (int(to_left[left - o].max()) + 1) + to_left[left - o],
-                                       return_index=True, return_inverse=True)
-        hit = inside & (own[at_first][where] < own)  # rows are in the order of ids
+        hit = inside & (lowest[names[:, o]] < own)
         low = np.where(hit & (low > o), o, low)
         high = np.where(hit, o, high)
     hit = high >= 0
@@ -259,7 +270,7 @@ def _decide(g, ids, at, around, n: int) -> Iterator[tuple[np.ndarray, np.ndarray
 
 def _refined(n: int, max_bucket: int):
     """From the rows of ``_around`` sorted by (g, around, id): (kind 1, id, s, e) of decided ranges and
-    (kind 2, id, s, around) of buckets too large to gather."""
+    (kind 2, id, s, around) of buckets too large to gather, known (kind 3, dealt evenly) or found to be."""
     def ranges(parts) -> Iterator[pa.RecordBatch]:
         for i, s, e in parts:
             if len(i):
@@ -287,9 +298,11 @@ def _refined(n: int, max_bucket: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, count, over = [], 0, None
         for b in batches:
-            done = pc.equal(b.column(0), 1)
-            yield b.filter(done).select(["kind", "id", "s", "e", "around"])
-            b = b.filter(pc.invert(done)).select(["g", "id", "s", "around"])
+            yield b.filter(pc.equal(b.column(0), 1)).select(["kind", "id", "s", "e", "around"])
+            heavy = b.filter(pc.equal(b.column(0), 3))
+            yield heavy.set_column(0, "kind", pa.array(np.full(len(heavy), 2, np.int32))).select(
+                ["kind", "id", "s", "e", "around"])
+            b = b.filter(pc.equal(b.column(0), 0)).select(["g", "id", "s", "around"])
             x = [b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_numpy().astype(np.int64),
                  np.array([*b.column(3).to_pylist(), None], object)[:-1]]
             if over is not None and len(x[0]):  # more of a large bucket
@@ -319,22 +332,44 @@ def _refined(n: int, max_bucket: int):
     return run
 
 
-def _strings(n: int):
-    """Every n-byte string of the rows (id, t, around): (k1, k2, id, s)."""
-    left = n - Q
+def _strings(n: int, at_once: int = 20_000):
+    """The n-byte strings of the rows (id, t, around), a bounded number of rows at a time: (k1, k2, id, s, e) of
+    those with the smallest id that the rows hold, and (null, null, id, s, e) of the ranges that the others cover."""
+    def found(rows: list[tuple]) -> pa.RecordBatch:
+        low: dict[bytes, int] = {}
+        names = []
+        for i, t, x in rows:
+            own = []
+            for o in range(min(x[0], len(x) - 1 - n) + 1):
+                d = hashlib.blake2b(x[1 + o:1 + o + n], digest_size=16).digest()
+                own.append((o, d))
+                if i < low.get(d, i + 1):
+                    low[d] = i
+            names.append(own)
+        out = []
+        for (i, t, x), own in zip(rows, names, strict=True):
+            for o, d in own:
+                s = t - x[0] + o
+                if low[d] == i:
+                    out.append((int.from_bytes(d[:8], "little", signed=True),
+                                int.from_bytes(d[8:], "little", signed=True), i, s, s + n))
+                elif out and out[-1][0] is None and out[-1][2] == i and out[-1][3] <= s <= out[-1][4]:
+                    out[-1] = (None, None, i, out[-1][3], s + n)
+                else:
+                    out.append((None, None, i, s, s + n))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[k] for r in out], pa.int64()) for k in range(3)]
+            + [pa.array([r[k] for r in out], pa.int32()) for k in (3, 4)], names=["k1", "k2", "id", "s", "e"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
         for b in batches:
-            out = []
-            for i, t, x in zip(*[c.to_pylist() for c in b.columns], strict=True):
-                for o in range(max(0, len(x) - n)):
-                    if o <= x[0] and o + n <= len(x) - 1:
-                        d = hashlib.blake2b(x[1 + o:1 + o + n], digest_size=16).digest()
-                        out.append((int.from_bytes(d[:8], "little", signed=True),
-                                    int.from_bytes(d[8:], "little", signed=True), i, t - x[0] + o))
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(4)],
-                                             names=["k1", "k2", "id", "s"])
-    assert left >= 0
+            rows += zip(*[c.to_pylist() for c in b.columns], strict=True)
+            if len(rows) >= at_once:
+                yield found(rows)
+                rows = []
+        if rows:
+            yield found(rows)
     return run
 
 
@@ -378,32 +413,38 @@ def _restricted(docs: DataFrame, ids: DataFrame, max_rows: int) -> DataFrame:
     return docs.join(side, F.col("id") == F.col("__id"), "left_semi")
 
 
-def repeated_ranges(d: DataFrame, n: int = 50, *, max_bucket: int = 100_000,
+def repeated_ranges(d: DataFrame, n: int = 50, *, max_bucket: int = 20_000,
                     max_broadcast_rows: int = 500_000) -> DataFrame:
     """(id, s, e) of byte ranges of ``d`` (id, text) covered by strings of smaller ids."""
-    spark = d.sparkSession
-    small_batches(spark)
-    found = d.mapInArrow(_all_anchors(n), "g long, id long, t int")
+    found = d.mapInArrow(_all_anchors(n), "g long, id long, t int, n int")
     shared = stored(found.repartition("g").sortWithinPartitions("g", "id").mapInArrow(
-        _shared, "id long, t int"), "shared_anchors")
-    by_doc = shared.groupBy("id").agg(F.collect_list("t").alias("ts"))
-    ids = stored(shared.select("id").distinct(), "anchored")
+        _shared(max_bucket), "id long, t int"), "shared_anchors")
+    heavy = stored(shared.filter("t < 0").select(F.col("id").alias("heavy")).distinct(), "heavy_anchors")
+    kept = shared.filter("t >= 0")
+    by_doc = kept.groupBy("id").agg(F.collect_list("t").alias("ts"))
+    ids = stored(kept.select("id").distinct(), "anchored")
     own = _restricted(d, ids, max_broadcast_rows).dropDuplicates(["id"])
     near = own.join(by_doc, "id").select("id", "text", "ts").mapInArrow(
         _around(n), "kind int, g long, id long, s int, e int, around binary")
+    # the rows of a heavy anchor are dealt evenly and never meet under it: their strings are compared below
+    side = F.broadcast(heavy) if heavy.count() <= max_broadcast_rows else heavy
+    near = near.join(side, (F.col("g") == F.col("heavy")) & (F.col("kind") == 0), "left").select(
+        F.when(F.col("heavy").isNotNull(), F.lit(3)).otherwise(F.col("kind")).alias("kind"),
+        F.when(F.col("heavy").isNotNull(), F.xxhash64("id", "s")).otherwise(F.col("g")).alias("g"), "id", "s", "e", "around")
     decided = stored(near.repartition("g").sortWithinPartitions("g", "around", "id").mapInArrow(
         _refined(n, max_bucket), "kind int, id long, s int, e int, around binary"), "refined")
-    strings = decided.filter("kind = 2").select("id", F.col("s").alias("t"), "around").mapInArrow(
-        _strings(n), "k1 long, k2 long, id long, s long")
-    low = strings.groupBy("k1", "k2").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter(
+    dropped(shared, heavy, ids)
+    strings = stored(decided.filter("kind = 2").select("id", F.col("s").alias("t"), "around").mapInArrow(
+        _strings(n), "k1 long, k2 long, id long, s int, e int"), "strings")
+    low = strings.filter("k1 IS NOT NULL").groupBy("k1", "k2").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter(
         "low < high").select("k1", "k2", "low")
-    late = strings.join(low, ["k1", "k2"]).filter("low < id").select(
-        "id", F.col("s").cast("int").alias("s"), (F.col("s") + n).cast("int").alias("e"))
-    return decided.filter("kind = 1").select("id", "s", "e").unionByName(late)
+    late = strings.join(low, ["k1", "k2"]).filter("low < id").select("id", "s", "e")
+    return decided.filter("kind = 1").select("id", "s", "e").unionByName(late).unionByName(
+        strings.filter("k1 IS NULL").select("id", "s", "e"))
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", *, n: int = 50,
-                   max_bucket: int = 100_000, max_broadcast_rows: int = 500_000) -> DataFrame:
+                   max_bucket: int = 20_000, max_broadcast_rows: int = 500_000) -> DataFrame:
     """One row per row of ``docs``: key, n_bytes, n_removed, n_spans, the sha256 of what is kept and
     ``kept`` itself (bytes; null where nothing was removed: the text as it is)."""
     d = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
