@@ -176,7 +176,7 @@ def _around(n: int):
         for b in batches:
             for i, t, ats in zip(b.column(0).to_pylist(), _texts(b.column(1)), b.column(2), strict=True):
                 raw, h = t.tobytes(), qgrams(t)
-                spread = int(h[0]) - (1 << 63)  # decided ranges only pass through the next shuffle
+                spread = i  # decided ranges only pass through the next shuffle
                 for p in np.unique(ats.values.to_numpy()).tolist():
                     s, e = max(0, p - left), min(len(raw), p + n)
                     around = bytes([p - s]) + raw[s:e]
