@@ -6,10 +6,12 @@ target, negation, reporting verb, other.  Three deterministic transducers read i
 the scope of a negation, ``REPORT`` those behind a reporting verb.  They are composed into one
 machine; each insult or threat leaves it as a pattern (plain, targeted, negated, reported), and a
 clause scores the weights of its patterns.  A document's probability combines its matched
-clauses: their total and largest scores, their number and their share of the words.
+clauses: their total and largest scores, their number, whether more than one insult is there, and the
+sums of each pattern.
 
 The word lists of threats, targets, negations and reporting verbs are fixed; insults (words and
-stems, with weights) and the pattern weights are learned from a bounded sample of labelled rows.
+stems, with weights) and the pattern weights are learned from a bounded sample of labelled rows.  For a
+stem it is learned too whether one word of a text that starts with it is evidence, or only two.
 Scoring runs in Spark tasks over whole texts: an Aho-Corasick automaton finds the lexicon's
 words, and only clauses that hold one are read by the machine.  Nothing is shuffled.
 
@@ -23,7 +25,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import ahocorasick
 import numpy as np
@@ -97,27 +99,27 @@ TARGET = _scope("T", "t", 0.5, 3, [*_BARE, "T", "N", "R", "o"])
 NEGATION = _scope("N", "n", -0.5, 3, [*_TARGETED, "N", "R", "o"])
 REPORT = _scope("R", "r", -0.3, None, [*_NEGATED, "R", "o"])
 GRAMMAR = TARGET.then(NEGATION).then(REPORT)
-N_FEATURES = 9
+N_FEATURES = 10
+#: Words of a text that must start with a stem.
+TWICE = 2
 
 
 class Lexicon:
     """Insult words and stems with weights, and the closed classes."""
 
-    def __init__(self, words: dict[str, float], stems: dict[str, float]):
-        self.words, self.stems = words, stems
+    def __init__(self, words: dict[str, float], stems: dict[str, float], twice: Iterable[str] = ()):
+        self.words, self.stems, self.twice = words, stems, frozenset(twice)
         self.closed = {w: c for c, ws in (("H", THREATS), ("T", TARGETS), ("N", NEGATIONS), ("R", REPORTS)) for w in ws}
         self.find = ahocorasick.Automaton()
         for w in {*words, *stems, *THREATS}:
             self.find.add_word(w, len(w))
         self.find.make_automaton()
 
-    def weight(self, word: str) -> float | None:
+    def entry(self, word: str) -> str | None:
+        """The word itself or its longest stem in the lexicon."""
         if word in self.words:
-            return self.words[word]
-        for n in reversed(STEMS):
-            if len(word) > n and word[:n] in self.stems:
-                return self.stems[word[:n]]
-        return None
+            return word
+        return next((word[:n] for n in reversed(STEMS) if len(word) > n and word[:n] in self.stems), None)
 
     def clauses(self, text: str) -> Iterator[str]:
         """The clauses that hold a word or stem of the lexicon, each once, in order."""
@@ -133,22 +135,31 @@ class Lexicon:
             yield text[max(left, 0):done]
 
     def features(self, text: str | None) -> list[float]:
-        """Counts and weights of the text's matched clauses."""
+        """Counts and weights of the text's matched clauses.
+
+        A stem of ``twice`` is evidence where ``TWICE`` words of the text start with it: short stems start a word
+        of many plain texts by chance.
+        """
         t = (text or "").lower()
-        sums, clauses, top, total = Counter(), 0, 0.0, 0.0
-        for clause in self.clauses(t):
-            words = WORD.findall(clause)
-            weights = [self.weight(w) for w in words]
+        clauses = [WORD.findall(c) for c in self.clauses(t)]
+        entries = [[self.entry(w) for w in c] for c in clauses]
+        often = Counter(e for c in entries for e in c if e is not None)
+        own_weight = lambda e: (self.words[e] if e in self.words else
+                                self.stems[e] if e not in self.twice or often[e] >= TWICE else None)
+        sums, n, hits, top, total = Counter(), 0, 0, 0.0, 0.0
+        for words, found in zip(clauses, entries, strict=True):
+            weights = [own_weight(e) if e is not None else None for e in found]
             marks = ["I" if v is not None else self.closed.get(w, "o") for w, v in zip(words, weights, strict=True)]
             score = 0.0
             for (out, w), v in zip(GRAMMAR.read(marks), weights, strict=True):
                 if out[0] in "IH":
                     own = (v if v is not None else 1.0) * (1 + w)
                     score += own
+                    hits += out[0] == "I"
                     sums["r" if "r" in out else "n" if "n" in out else "t" if "t" in out else out[0]] += own
             if score:
-                clauses, top, total = clauses + 1, max(top, score), total + score
-        return [math.log1p(max(0.0, total)), max(0.0, top), math.log1p(clauses), float(clauses > 0),
+                n, top, total = n + 1, max(top, score), total + score
+        return [math.log1p(max(0.0, total)), max(0.0, top), math.log1p(n), float(n > 0), float(hits > 1),
                 *[math.log1p(max(0.0, sums[k])) for k in "ItnrH"]]
 
 
@@ -162,8 +173,13 @@ def learn_lexicon(sample: list[tuple[str, int]], least: int = 5, log_odds: float
     """
     sample = sorted(set((t or "", y) for t, y in sample))
     def forms(t: str) -> set:
-        own = set(WORD.findall(t.lower()))
-        return {(w, True) for w in own} | {(w[:k], False) for w in own for k in STEMS if len(w) > k}
+        own = Counter(WORD.findall(t.lower()))
+        stems = Counter()
+        for w, k in own.items():
+            for n in STEMS:
+                if len(w) > n:
+                    stems[w[:n]] += k
+        return {(w, 0) for w in own} | {(x, 1) for x in stems} | {(x, TWICE) for x, k in stems.items() if k >= TWICE}
 
     # counts first, so that texts are only listed for forms that enough of them have
     n, often, plain = Counter(y for _, y in sample), Counter(), Counter()
@@ -192,17 +208,19 @@ def learn_lexicon(sample: list[tuple[str, int]], least: int = 5, log_odds: float
         if y:
             words = WORD.findall(t.lower())
             for before, w, after in zip([""] + words, words, words[1:] + [""], strict=False):
-                for f in {(w, True)} | {(w[:k], False) for k in STEMS if len(w) > k}:
+                for f in {(w, 0)} | {(w[:k], need) for k in STEMS if len(w) > k for need in (1, TWICE)}:
                     if f in names:
                         around.setdefault(f, set()).add((before, after))
-    kept, seen = {True: {}, False: {}}, set()
+    kept, seen = {0: {}, 1: {}, TWICE: {}}, set()
     for low, _, f in sorted(sure):
+        if any(f[0] in k for k in kept.values()):
+            continue
         apart = not any(f[0].startswith(w) or w.startswith(f[0]) for k in kept.values() for w in k)
         if len(toxic[f] - seen) >= least or (
                 apart and -low >= log_odds + 1 and len(around[f]) >= 4 * least):
             seen |= toxic[f]
             kept[f[1]][f[0]] = -low / 3
-    return Lexicon(kept[True], kept[False])
+    return Lexicon(kept[0], kept[1] | kept[TWICE], kept[TWICE])
 
 
 class Model:
@@ -239,10 +257,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", *, folds: in
 def score_toxicity(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, score) for every row of ``docs``, whole texts."""
     small_batches(docs.sparkSession)
-    words, stems, w, b = model.lexicon.words, model.lexicon.stems, model.w, model.b
+    words, stems, twice, w, b = model.lexicon.words, model.lexicon.stems, model.lexicon.twice, model.w, model.b
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Model(Lexicon(words, stems), w, b)
+        own = Model(Lexicon(words, stems, twice), w, b)
         for x in batches:
             yield pa.RecordBatch.from_arrays(
                 [x.column(0), pa.array(own.scores(x.column(1).to_pylist()), pa.float64())], names=["key", "score"])
