@@ -8,11 +8,12 @@ pattern spans hold in part, the rest is judged by the same ratio over all its pi
 piece is a span; a rest of fewer characters than a long token has is not judged.  Tokens are judged from the
 length on that the default samples are trained on.
 
-The default samples are labelled by the patterns over the whole table: values that they match are
-random strings, other long tokens ordinary identifiers.  All rows are counted; what
-reaches the driver is a table of at most 2 x 128 x 128 counts.
+The default samples do not come from the patterns.  Random strings are drawn (digests of running numbers,
+spelt in the alphabets that keys are spelt in); ordinary identifiers are made of the corpus: neighbouring words of
+at most ``sample_rows`` texts, joined by the signs that join words in names, and the long tokens of those texts that
+no pattern holds.  What reaches the driver is a table of at most 2 x 128 x 128 counts.
 
-Scale: training is one aggregate with map-side combine over 32,768 keys, scanning is one pass of
+Scale: training reads the texts once for a bounded sample (a partial top-k by a hash), scanning is one pass of
 built-in expressions per row; nothing is shuffled by document, source or value.
 
 Defined results: a null or empty text has no spans (and the digest of an empty string); spans are
@@ -71,17 +72,28 @@ def _transitions(token: Column) -> Column:
         lambda x, i: x * ASCII + F.get(c, i + 1)))
 
 
-def labelled_samples(texts: DataFrame, min_length: int) -> DataFrame:
-    """(value, secret) from rows (text, base): pattern values, and the other long tokens."""
-    values = F.transform("base", lambda m: F.struct(F.when(
-        m["k"] == 0, F.regexp_extract(m["v"], ASSIGN, 2)).otherwise(m["v"]).alias("value"),
-        F.lit(True).alias("secret")))
+def drawn_strings(spark, n: int = 2000) -> DataFrame:
+    """(value, secret) of ``6 * n`` random strings of 40 characters or so."""
+    d = spark.range(0, n, 1, 4).select(F.unhex(F.sha2(F.concat(F.lit("drawn"), F.col("id")), 512)).alias("b"))
+    base = F.base64("b")
+    letters = F.regexp_replace(base, "[+/=\\s]", "")
+    spelt = [base, F.translate(base, "+/=", "-_"), letters, F.upper(letters), F.lower(letters), F.hex("b")]
+    return d.select(F.explode(F.array(*[F.substring(x, 1, 40) for x in spelt])).alias("value"), F.lit(True).alias("secret"))
+
+
+def ordinary_identifiers(texts: DataFrame, min_length: int, sample_rows: int = 1000) -> DataFrame:
+    """(value, secret) from rows (key, text, base): names joined of neighbouring words, and long tokens that no
+    pattern holds, of at most ``sample_rows`` texts picked by a hash."""
+    pick = texts.orderBy(F.xxhash64("key", "text"), "text").limit(sample_rows).repartition(8)
+    words = F.regexp_extract_all("text", F.lit("[A-Za-z][A-Za-z0-9]*"), F.lit(0))
+    signs = F.array(*map(F.lit, ("_", "-", "/", ".")))
+    named = let(words, lambda ws: F.transform(ws, lambda w, i: F.call_function(
+        "concat_ws", F.get(signs, i % 4), w, F.lower(F.get(ws, i + 1)), F.initcap(F.get(ws, i + 2)))))
     held = F.transform("base", lambda m: m["v"])
-    others = F.transform(F.filter(
-        F.regexp_extract_all("text", F.lit(TOKEN % min_length), F.lit(0)),
-        lambda t: ~F.exists(held, lambda v: F.contains(t, v) | F.contains(v, t))),
-        lambda t: F.struct(t.alias("value"), F.lit(False).alias("secret")))
-    return texts.select(F.explode(F.concat(values, others)).alias("x")).select("x.value", "x.secret")
+    tokens = F.filter(F.regexp_extract_all("text", F.lit(TOKEN % min_length), F.lit(0)),
+                      lambda t: ~F.exists(held, lambda v: F.contains(t, v) | F.contains(v, t)))
+    return pick.select(F.explode(F.concat(F.filter(named, lambda w: F.length(w) >= min_length), tokens)).alias("value"),
+                       F.lit(False).alias("secret"))
 
 
 def fit_ratios(samples: DataFrame, strength: float = 4.0) -> list[float] | None:
@@ -129,38 +141,46 @@ def _rest(token: Column, base: Column) -> Column:
     return F.when(F.exists(base, meets), cut).otherwise(F.array(token))
 
 
-def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
-                 samples: DataFrame | None = None, min_length: int = 16, sample_length: int = 16,
-                 min_ratio: float = 0.5) -> DataFrame:
-    """One row per row of ``docs``: key, ``base`` and all ``spans`` as (s, e, k, v) structs."""
+def _scanned(docs: DataFrame, key: str, text: str, samples: DataFrame | None, min_length: int,
+             sample_rows: int, min_ratio: float) -> DataFrame:
+    """(key, text, base, spans) per row."""
     d = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     d = d.withColumn("base", base_spans(F.col("text")))
-    ratios = fit_ratios(samples if samples is not None else labelled_samples(d, sample_length))
+    if samples is None:
+        samples = drawn_strings(docs.sparkSession).unionByName(ordinary_identifiers(d, min_length, sample_rows))
+    ratios = fit_ratios(samples)
     if ratios is None:
-        return d.select(F.col("key").alias(key), "base", F.col("base").alias("spans"))
+        return d.withColumn("spans", F.col("base"))
     table = F.split(F.lit(",".join(map(str, ratios))), ",").cast("array<double>")  # folded once
     tokens = _matches(F.col("text"), TOKEN % min_length, "random")
     size = lambda pieces: F.aggregate(pieces, F.lit(0), lambda a, p: a + p["e"] - p["s"])
     more = let(F.col("base"), lambda base: F.flatten(F.filter(
         F.transform(tokens, lambda t: _rest(t, base)),
         lambda x: (size(x) >= min_length) & (random_ratio(x, table) >= min_ratio))))
-    return d.select(F.col("key").alias(key), "base",
-                    F.sort_array(F.concat("base", more)).alias("spans"))
+    return d.withColumn("spans", F.sort_array(F.concat("base", more)))
+
+
+def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
+                 samples: DataFrame | None = None, min_length: int = 16, sample_rows: int = 1000,
+                 min_ratio: float = 0.5) -> DataFrame:
+    """One row per row of ``docs``: key, ``base`` and all ``spans`` as (s, e, k, v) structs."""
+    s = _scanned(docs, key, text, samples, min_length, sample_rows, min_ratio)
+    return s.select(F.col("key").alias(key), "base", "spans")
 
 
-def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", mask: str = "[secret]",
-           **params) -> DataFrame:
-    """(key, clean_text): every span's text is replaced by ``mask``, spans that overlap as one."""
-    d = docs.select(F.col(key).alias(key), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    s = scan_secrets(d, key, "text", **params).withColumnRenamed(key, "__key")
-    j = d.join(s, F.col(key) == F.col("__key"))
+def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", mask: str = "[secret]", *,
+           samples: DataFrame | None = None, min_length: int = 16, sample_rows: int = 1000,
+           min_ratio: float = 0.5) -> DataFrame:
+    """(key, clean_text) per row: every span's text is replaced by ``mask``, spans that overlap as one.  Each row is
+    cut by its own spans, so null and repeated ids change nothing."""
+    j = _scanned(docs, key, text, samples, min_length, sample_rows, min_ratio)
     cut = F.aggregate("spans", F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
                       lambda a, m: F.struct(
                           F.when(m["s"] >= a["at"], F.concat(a["out"], F.substring(
                               F.col("text"), a["at"] + 1, m["s"] - a["at"]), F.lit(mask))).otherwise(a["out"]).alias("out"),
                           F.greatest(a["at"], m["e"]).alias("at")),
                       lambda a: F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, F.length("text"))))
-    return j.select(key, cut.alias("clean_text"))
+    return j.select(F.col("key").alias(key), cut.alias("clean_text"))
 
 
 def span_text(spans: Column) -> Column:
