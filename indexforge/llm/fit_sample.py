@@ -18,18 +18,15 @@ def small_batches(spark) -> None:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, *, folds: int, held_out: int,
-                    key: str = "doc_id", text: str = "text", max_rows: int = 4000,
-                    max_bytes: int = 50_000) -> list[tuple[str, int]]:
-    """At most ``max_rows`` (text, label) pairs outside the held-out fold, by a hash of the key.
-
-    Texts over ``max_bytes`` bytes are not learned from, so at most ``max_rows * max_bytes``
-    bytes come to the driver; the key only picks rows and is not returned.  Null labels are skipped.
+                    key: str = "doc_id", text: str = "text", max_rows: int = 4000) -> list[tuple[str, int]]:
+    """At most ``max_rows`` (text, label) pairs outside the held-out fold, by a hash of the key: whole texts,
+    however long.  The key only picks rows and is not returned.  Null labels are skipped.
     """
     pick = (labels.select(F.col(key).alias("key_"), F.col(label).cast("int").alias("y"))
             .filter(F.col("y").isNotNull() & (fold_bucket(F.col("key_"), folds) != held_out))
             .orderBy(F.xxhash64(F.lit(label), F.col("key_").cast("string")), "key_").limit(max_rows))
     # at most max_rows small rows: their size is bounded by the parameter
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(
-        F.broadcast(pick), F.col("key") == F.col("key_")).filter(F.octet_length("text") <= max_bytes)
+        F.broadcast(pick), F.col("key") == F.col("key_"))
     rows = rows.select("key", "text", "y").orderBy("key", "text").limit(max_rows)
     return [(r["text"], r["y"]) for r in rows.collect()]

@@ -108,9 +108,28 @@ class ByteConv:
         return np.round(1 / (1 + np.exp(-np.clip(z, -30, 30))), 4)
 
 
+def _pieces(groups: list[np.ndarray], at_once: int) -> Iterator[np.ndarray]:
+    """The groups' chunks in order, about ``at_once`` at a time."""
+    held, size = [], 0
+    for g in groups:
+        for k in range(0, len(g), at_once):
+            held.append(g[k:k + at_once])
+            size += len(held[-1])
+            if size >= at_once:
+                yield np.vstack(held)
+                held, size = [], 0
+    if held:
+        yield np.vstack(held)
+
+
 def fit(sample: list[tuple[str, int]], epochs: int = 6, batch: int = 48, rate: float = 0.01,
-        max_chunks: int = 24, seed: int = 7) -> ByteConv:
-    """Weights by Adam on the log loss.  A longer text is learned from ``max_chunks`` of its chunks."""
+        at_once: int = 1024, seed: int = 7) -> ByteConv:
+    """Weights by Adam on the log loss, from all chunks of every text.
+
+    Chunks are passed ``at_once`` at a time: a first pass pools them and, per text, finds the chunks that
+    reach each filter's largest value; a second adds up the gradients.  So a batch with very long texts holds
+    no more than their symbols and pooled values.
+    """
     net, r = ByteConv(seed), np.random.default_rng(seed)
     y = np.array([v for _, v in sample], np.float32)
     if not len(sample) or y.min() == y.max():
@@ -124,12 +143,12 @@ def fit(sample: list[tuple[str, int]], epochs: int = 6, batch: int = 48, rate: f
     for _ in range(epochs):
         order = r.permutation(len(data))
         for i in range(0, len(order), batch):
-            own = [data[k] if len(data[k]) <= max_chunks else
-                   data[k][np.sort(r.choice(len(data[k]), max_chunks, replace=False))] for k in order[i:i + batch]]
+            own = [data[k] for k in order[i:i + batch]]
             counts = np.array([len(g) for g in own])
             starts = np.concatenate([[0], counts.cumsum()[:-1]])
-            x = np.vstack(own)
-            peak, at = net.pooled(x, where=True)
+            pieces = list(_pieces(own, at_once))
+            pooled = [net.pooled(x, where=True) for x in pieces]
+            peak = np.vstack([p for p, _ in pooled])
             z, feats, h = net.logits(peak, starts, counts)
             dz = (1 / (1 + np.exp(-z)) - y[order[i:i + batch]]) / len(own)
             doc = np.repeat(np.arange(len(own)), counts)
@@ -138,10 +157,14 @@ def fit(sample: list[tuple[str, int]], epochs: int = 6, batch: int = 48, rate: f
             first = first / np.add.reduceat(first, starts)[doc]
             dh = dz[doc, None] * (first * net.top[:FILTERS] + net.top[FILTERS:] / counts[doc, None])
             dh = np.where(peak > 0, dh, 0).astype(np.float32)
-            cell = np.arange(FILTERS)
-            dt = np.stack([np.bincount(
-                (x[np.arange(len(x))[:, None], at + j].astype(np.int64) * FILTERS + cell).ravel(),
-                dh.ravel(), minlength=(PAD + 1) * FILTERS).reshape(PAD + 1, FILTERS) for j in range(WIDTH)])
+            dt, done = np.zeros((WIDTH, PAD + 1, FILTERS)), 0
+            for x, (_, at) in zip(pieces, pooled, strict=True):
+                part = dh[done:done + len(x)].ravel()
+                for j in range(WIDTH):
+                    dt[j] += np.bincount(
+                        (x[np.arange(len(x))[:, None], at + j].astype(np.int64) * FILTERS + np.arange(FILTERS)).ravel(),
+                        part, minlength=(PAD + 1) * FILTERS).reshape(PAD + 1, FILTERS)
+                done += len(x)
             dt[:, PAD] = 0
             grads = [dt, dh.sum(axis=0), feats.T @ dz + 1e-4 * net.top, np.array([dz.sum()])]
             step += 1
