@@ -18,9 +18,8 @@ splits hot pieces.  What is grouped afterwards are hits: distinct (document, sta
 shuffle.
 
 Defined results: null, empty and wordless texts have 0 words and no hit; an empty benchmark
-hits nothing; repeated rows of one document id are one document with the words of each row counted
-once per row; rows without a document id are one document only if their texts are equal, so that a hit
-in one says nothing of another; an item without an id hits like any other and is a null entry (the
+hits nothing; every row is a document with a result of its own, so rows that repeat an id (or have none) are
+judged by their own text each and equal rows get equal results; an item without an id hits like any other and is a null entry (the
 first) of ``items``; items without words have no window.
 """
 
@@ -47,9 +46,9 @@ def _piece(words: Column, start: Column, n: Column | int) -> Column:
     return F.array_join(F.slice(words, start, n), " ")
 
 
-def _unnamed(key: str, text: str) -> Column:
-    """What tells rows without an id apart: the digest of the text; null for rows with an id."""
-    return F.when(F.col(key).isNull(), F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
+def _text_mark(text: str) -> Column:
+    """With the id, what names a row: rows of one id and different texts are documents of their own."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
 def _items(item: Column, collect) -> Column:
@@ -80,13 +79,13 @@ def _blocks(words: Column, m: int) -> Column:
 def find_hits(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
               item: str = "item_id", item_text: str = "text", *, width: int = 10,
               max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """One row per document: key, n_words, hit ``spans`` (s, e in words, merged) and ``items``."""
-    return _found(docs, benchmark, key, text, item, item_text, width, max_broadcast_rows).drop("__unnamed")
+    """One row per row of ``docs``: key, n_words, hit ``spans`` (s, e in words, merged) and ``items``."""
+    return _found(docs, benchmark, key, text, item, item_text, width, max_broadcast_rows).drop("__mark")
 
 
 def _found(docs: DataFrame, benchmark: DataFrame, key: str, text: str, item: str = "item_id",
            item_text: str = "text", width: int = 10, max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """``find_hits`` with ``__unnamed``, which tells the documents without an id apart."""
+    """``find_hits`` with ``__mark``, which tells rows of one id (or of none) apart."""
     win = stored(windows(benchmark, item, item_text, width), "windows")
     lengths = sorted(r["m"] for r in win.select("m").distinct().collect())  # at most ``width`` rows
     half = F.ceil(F.col("m") / 2).cast("int")
@@ -100,7 +99,7 @@ def _found(docs: DataFrame, benchmark: DataFrame, key: str, text: str, item: str
     wide = F.broadcast if small else (lambda x: x)
 
     none = "array<struct<m:int,h:bigint,p:int,around:array<string>>>"
-    words = docs.select(F.col(key).alias("key"), _unnamed(key, text).alias("un"), norm_words(F.col(text)).alias("w"))
+    words = docs.select(F.col(key).alias("key"), _text_mark(text).alias("un"), norm_words(F.col(text)).alias("w"))
     blocks = F.concat(F.array().cast(none), *[_blocks(F.col("w"), m) for m in lengths])
     # the first entry of a row carries the number of words
     total = F.array(F.struct(F.lit(None).cast("int").alias("m"), F.lit(None).cast("bigint").alias("h"),
@@ -129,25 +128,25 @@ def _found(docs: DataFrame, benchmark: DataFrame, key: str, text: str, item: str
     items = hits.select("key", "un", F.explode("items").alias("item")).distinct().groupBy("key", "un").agg(
         _items(F.col("item"), F.collect_list).alias("items")).select(
             F.col("key").alias("key_"), F.col("un").alias("un_"), "items")
-    base = rows.filter("m is null").groupBy("key", "un").agg(F.sum("p").cast("long").alias("n_words"))
-    same = F.col("key").eqNullSafe(F.col("key_")) & F.col("un").eqNullSafe(F.col("un_"))
+    base = rows.filter("m is null").select("key", "un", F.col("p").cast("long").alias("n_words"))  # a row per row
+    same = F.col("key").eqNullSafe(F.col("key_")) & (F.col("un") == F.col("un_"))
     found = stored(spans.join(items, same, "left").select("key", "un", "spans", "items"), "found").select(
         F.col("key").alias("key_"), F.col("un").alias("un_"), "spans", "items")
     return base.join(found, same, "left").select(
         F.col("key").alias(key), "n_words", F.coalesce("spans", F.array().cast(kind)).alias("spans"),
-        F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.col("un").alias("__unnamed"))
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.col("un").alias("__mark"))
 
 
 def _same_document(key: str, text: str) -> Column:
-    """Rows of a table against (__key, __unnamed) of ``_found``."""
-    return F.col(key).eqNullSafe(F.col("__key")) & _unnamed(key, text).eqNullSafe(F.col("__unnamed"))
+    """Rows of a table against (__key, __mark) of ``_found``."""
+    return F.col(key).eqNullSafe(F.col("__key")) & (_text_mark(text) == F.col("__mark"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
                   **params) -> DataFrame:
     """``docs`` without the documents that hold a benchmark window."""
     bad = _found(docs, benchmark, key, text, **params).filter(F.size("spans") > 0).select(
-        F.col(key).alias("__key"), "__unnamed")
+        F.col(key).alias("__key"), "__mark")
     return docs.join(bad, _same_document(key, text), "left_anti")
 
 
@@ -155,11 +154,11 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
                  **params) -> DataFrame:
     """``docs`` with the hit words, and the separators before them, cut out of the text."""
     hits = _found(docs, benchmark, key, text, **params).filter(F.size("spans") > 0).select(
-        F.col(key).alias("__key"), "__unnamed", F.col("spans").alias("__spans"))
+        F.col(key).alias("__key"), "__mark", F.col("spans").alias("__spans")).dropDuplicates(["__key", "__mark"])
     j = docs.join(hits, _same_document(key, text), "left")
     parts = F.regexp_extract_all(F.col(text), F.lit("[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]*"
                                                     "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"), F.lit(0))
     kept = F.array_join(F.filter(parts, lambda x, i: ~F.exists(
         "__spans", lambda s: (s["s"] <= i) & (i < s["e"]))), "")
     return j.withColumn(text, F.when(F.col("__spans").isNull(), F.col(text)).otherwise(kept)).drop(
-        "__key", "__unnamed", "__spans")
+        "__key", "__mark", "__spans")
