@@ -65,19 +65,20 @@ def position(part: Column, slope: Column) -> Column:
         (F.sqrt(b * b + 4 * slope * part) - b) / (2 * slope))
 
 
-def mix_sources(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", *,
-                share: float = 1.5, max_epochs: int = 2, sort: bool = True) -> DataFrame:
-    """One row per document: sizes, target, words taken, copies and the position of each copy."""
-    d = docs.select(F.col(key).alias("key"), F.col(source).alias("source"),
-                    F.size(ws_words(F.col(text))).cast("long").alias("size"),
-                    F.xxhash64(F.col(key).cast("string"), F.col(text)).alias("h"))
-    d = stored(d, "mix_sizes")
-    n = d.count()
+def _placed(docs: DataFrame, key: str, source: str, text: str, share: float, max_epochs: int, whole: bool) -> DataFrame:
+    """(key, size, source_size, target, copies, positions) per row, and the row itself if ``whole``."""
+    narrow = [F.col(key).alias("key"), F.col(source).alias("source"),
+              F.size(ws_words(F.col(text))).cast("long").alias("size"),
+              F.xxhash64(F.col(key).cast("string"), F.col(text)).alias("h")]
+    small = stored(docs.select(*narrow), "mix_sizes")
+    d = docs.select(*narrow, F.struct(*docs.columns).alias("row")) if whole else small
+    n = small.count()
     buckets = max(1, -(-n // ROWS_PER_BUCKET))
     # buckets are ranges of the hash, so they are in the order of the hash
     bucket = F.floor((F.col("h").cast("double") / 2.0 ** 64 + 0.5) * buckets).cast("long")
-    d = d.withColumn("bucket", F.least(F.greatest(bucket, F.lit(0)), F.lit(buckets - 1)).cast("long"))
-    sums = d.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
+    bucket = F.least(F.greatest(bucket, F.lit(0)), F.lit(buckets - 1)).cast("long")
+    d = d.withColumn("bucket", bucket)
+    sums = small.withColumn("bucket", bucket).groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     sizes = sums.groupBy("source").agg(F.sum("words").alias("source_size"))
     targets = source_targets(sizes, share, max_epochs)
     run = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -99,17 +100,23 @@ def mix_sources(docs: DataFrame, key: str = "doc_id", source: str = "source", te
     at = F.transform(F.filter(F.sequence(F.lit(0), F.lit(max_epochs - 1)), lambda i: i < F.col("copies")),
                      lambda i: position(F.least(F.lit(1.0), (i * F.col("source_size") + F.col("start"))
                                                 / F.col("target")), F.col("slope")))
+    return d.withColumn("positions", at)
+
+
+def mix_sources(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", *,
+                share: float = 1.5, max_epochs: int = 2, sort: bool = True) -> DataFrame:
+    """One row per document: sizes, target, words taken, copies and the position of each copy."""
+    d = _placed(docs, key, source, text, share, max_epochs, whole=False)
     out = d.select(F.col("key").alias(key), "size", "source_size", "target",
-                   (F.col("copies") * F.col("size")).alias("taken"), "copies", at.alias("positions"))
+                   (F.col("copies") * F.col("size")).alias("taken"), "copies", "positions")
     return out.orderBy(F.get("positions", F.lit(0)).asc_nulls_last(), key) if sort else out
 
 
 def curriculum_documents(docs: DataFrame, key: str = "doc_id", source: str = "source",
-                         text: str = "text", **params) -> DataFrame:
-    """``docs`` with a row per taken copy, ``__copy`` and ``__position``, range-sorted by position."""
-    m = mix_sources(docs, key, source, text, sort=False, **params).filter("copies > 0")
-    m = m.select(F.col(key).alias("__key"), F.posexplode("positions").alias("copy", "position"))
-    m = m.withColumnRenamed("copy", "__copy").withColumnRenamed("position", "__position")
-    one = docs.dropDuplicates([key])  # rows that repeat a key already have their own positions in m
-    return (one.join(m, F.col(key) == F.col("__key")).drop("__key")
-            .orderBy("__position", key, "__copy"))
+                         text: str = "text", *, share: float = 1.5, max_epochs: int = 2) -> DataFrame:
+    """The training stream: a row of ``docs`` per taken copy with ``__copy`` and ``__position``, range-sorted
+    by position.  Rows are carried along, not joined back, so null and repeated ids lose nothing."""
+    d = _placed(docs, key, source, text, share, max_epochs, whole=True).filter("copies > 0")
+    d = d.select("row", F.posexplode("positions").alias("__copy", "__position"))
+    return d.select(*[F.col("row")[c].alias(c) for c in docs.columns], "__copy", "__position").orderBy(
+        "__position", key, "__copy")
