@@ -13,7 +13,9 @@ from indexforge.llm.text import fold_bucket, read_table
 
 
 def _judged(scores: DataFrame, folds: int, held_out: int, least: float) -> DataFrame:
-    return scores.select("doc_id", (fold_bucket(F.col("doc_id"), folds) == held_out).alias("held_out"), "score",
+    """A row without an id has no fold: it was not learned from and does not count as held out."""
+    fold = F.coalesce(fold_bucket(F.col("doc_id"), folds) == held_out, F.lit(False))
+    return scores.select("doc_id", fold.alias("held_out"), "score",
                          (F.col("score") >= least).cast("int").alias("predicted"))
 
 
@@ -72,8 +74,7 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # the ratio that its SQL names; the operator's own is MAX_SHARE
-    d = line_dedup.drop_boilerplate(read_table(spark, sf_dir, "documents"), max_share=0.1)
+    d = line_dedup.drop_boilerplate(read_table(spark, sf_dir, "documents"))
     return d.select("doc_id", F.col("__dropped").alias("n_dropped"),
                     F.sha2("text", 256).alias("kept_sha256"))
 

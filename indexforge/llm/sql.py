@@ -157,18 +157,19 @@ LEFT JOIN (SELECT doc_id, sum(e - s) AS removed, count(*) AS spans FROM runs GRO
 
 _LINE = r"regexp_replace(x, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')"
 OP10 = f"""
-WITH l AS (SELECT doc_id, source, k, x, {_LINE} AS y FROM (
-             SELECT doc_id, source, unnest(string_split(text, chr(10))) AS x,
-                    generate_subscripts(string_split(text, chr(10)), 1) AS k FROM documents)),
+WITH d AS (SELECT *, row_number() OVER () AS r FROM documents),
+l AS (SELECT r, source, k, x, {_LINE} AS y FROM (
+             SELECT r, source, unnest(string_split(text, chr(10))) AS x,
+                    generate_subscripts(string_split(text, chr(10)), 1) AS k FROM d)),
 n AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
 bad AS (SELECT l.source, y FROM l JOIN n ON l.source IS NOT DISTINCT FROM n.source WHERE y <> ''
-        GROUP BY l.source, y, n HAVING count(DISTINCT doc_id) >= 3 AND count(DISTINCT doc_id) > 0.1 * n),
+        GROUP BY l.source, y, n HAVING count(DISTINCT r) >= 3 AND count(DISTINCT r) > CAST(0.01 AS DOUBLE) * n),
 j AS (SELECT l.*, bad.y IS NOT NULL AS bad FROM l LEFT JOIN bad
       ON l.source IS NOT DISTINCT FROM bad.source AND l.y = bad.y)
 SELECT d.doc_id, coalesce(o.n, 0) AS n_dropped, CASE WHEN d.text IS NOT NULL THEN sha256(coalesce(o.t, '')) END AS kept_sha256
-FROM documents d LEFT JOIN (
-  SELECT doc_id, count(*) FILTER (WHERE bad) AS n, string_agg(x, chr(10) ORDER BY k) FILTER (WHERE NOT bad) AS t
-  FROM j GROUP BY doc_id) o ON d.doc_id = o.doc_id"""
+FROM d LEFT JOIN (
+  SELECT r, count(*) FILTER (WHERE bad) AS n, string_agg(x, chr(10) ORDER BY k) FILTER (WHERE NOT bad) AS t
+  FROM j GROUP BY r) o ON d.r = o.r"""
 
 OP11 = r"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS k, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),

@@ -3,7 +3,7 @@
 import random
 import re
 import string
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
@@ -46,6 +46,42 @@ def test_secrets_markov_adds_random_strings_only(spark, edge):
     assert clean[15].startswith("[secret] plain_identifier") and clean[5] == PROSE and clean[0] == ""
 
 
+def test_secrets_default_model_finds_planted_strings(spark):
+    """Random strings outside the patterns, planted in the table's texts: recall, and hits in names and plain texts."""
+    r = random.Random(11)
+    alphabets = [string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/", string.ascii_uppercase + "234567",
+                 string.ascii_lowercase + string.digits, "0123456789ABCDEF"]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
+    parts = ["user", "get", "total", "price", "index", "parse", "file", "name", "config", "value", "http", "client", "list", "update"]
+    rows, planted, named = [], {}, set()
+    for k, (d, t) in enumerate(docs):
+        if k % 4 == 0:
+            x = "".join(r.choices(alphabets[k // 4 % 5], k=r.randrange(20, 48)))
+            if brute.base_spans(x):
+                continue
+            at = t.rfind("\n") + 1
+            planted[d] = (at, at + len(x))
+            t = t[:at] + x + " " + t[at:]
+        elif k % 4 == 1:
+            join = r.choice(["_", "-", "/", ""])
+            t += " " + join.join(w if join else w.title() for w in r.choices(parts, k=5))
+            named.add(d)
+        rows.append((d, t))
+    got = {x.doc_id: [(s["s"], s["e"]) for s in x.spans if s["k"] == 3] for x in
+           secrets.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found = sum(any(s <= planted[d][0] + 1 and e >= planted[d][1] - 3 for s, e in got[d]) for d in planted)
+    false = sum(any((s, e)[0] < planted.get(d, (0, 0))[0] or s >= planted.get(d, (0, 0))[1] for s, e in v) for d, v in got.items())
+    print(f"planted {len(planted)}, found {found}, texts with a false hit {false} of {len(rows)}")
+    assert found >= 0.95 * len(planted) and false <= 0.01 * len(rows)
+
+
+def test_redact_by_row(spark):
+    rows = [(None, "password=abcdef12 x"), (None, "plain"), (1, "token: zzzzzz"), (1, "token: zzzzzz"), (1, "api_key=qqqqqqq end"), (2, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(str, (tuple(r) for r in secrets.redact(df).collect())))
+    assert got == sorted(map(str, [(None, "[secret] x"), (None, "plain"), (1, "[secret]"), (1, "[secret]"), (1, "[secret] end"), (2, "")]))
+
+
 def test_secrets_markov_judges_short_tokens_and_rests(spark):
     """Random strings from 16 characters on, and what a pattern's span leaves of a longer one."""
     draw = random.Random(2)
@@ -170,6 +206,11 @@ def test_mix(spark, edge, sample):
     assert [r["__position"] for r in full] == sorted(r["__position"] for r in full)
     twice = edge.filter("doc_id in (5, 6)")
     assert curriculum.mix_sources(twice.unionAll(twice)).count() == 4
+    # null ids, and differing texts under one id, are all taken; equal rows are documents of their own
+    rows = [(None, "a b c", "s"), (None, "d e", "s"), (1, "f g", "s"), (1, "h", "s"), (2, "i j", "s"), (2, "i j", "s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken = Counter((r.doc_id, r.text) for r in curriculum.curriculum_documents(df, share=2.0).collect())
+    assert taken == Counter({(d, t): 2 * n for (d, t), n in Counter((d, t) for d, t, _ in rows).items()})
 
 
 def test_position_inverts_the_schedule(spark):
@@ -224,6 +265,12 @@ def test_decontamination_without_ids(spark):
     bench = spark.createDataFrame([(None, PROSE), (9, other), (None, other)], "item_id long, text string")
     got = {(r.doc_id, r.n_words): (sum(s["e"] - s["s"] for s in r["spans"]), r["items"])
            for r in decontam.find_hits(docs, bench).collect()}
+    # an id in several rows: each row has its own result
+    many = spark.createDataFrame([(1, PROSE), (1, "some other words"), (1, PROSE), (1, None)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.n_words, len(r.spans)) for r in decontam.find_hits(many, bench).collect()) == [
+        (1, 0, 0), (1, 3, 0), (1, 17, 1), (1, 17, 1)]
+    assert sorted(map(str, (r.text for r in decontam.decontaminate(many, bench).collect()))) == ["None", "some other words"]
+    assert decontam.remove_spans(many, bench).count() == 4
     assert got == {(1, 17): (17, [None]), (2, 20): (20, [None, "9"]), (3, 1): (0, []),
                    (None, 17): (17, [None]), (None, 1): (0, []), (None, 0): (0, [])}
     kept = [tuple(r) for r in decontam.decontaminate(docs, bench).collect()]

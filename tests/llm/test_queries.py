@@ -25,8 +25,8 @@ def test_query_matches_sql(spark, name):
 
 def test_native_operators_run_no_python(spark):
     docs, bench, pages = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark", "pages"))
-    for df in (secrets.scan_secrets(docs), secrets.labelled_samples(docs.selectExpr(
-            "text", "cast(array() as array<struct<s:int,e:int,k:int,v:string>>) AS base"), 16),
+    for df in (secrets.scan_secrets(docs), secrets.drawn_strings(spark), secrets.ordinary_identifiers(docs.selectExpr(
+            "doc_id AS key", "text", "cast(array() as array<struct<s:int,e:int,k:int,v:string>>) AS base"), 16),
             decontam.find_hits(docs, bench), decontam.windows(bench), line_rules.quality_rules(docs),
             url_markov.filter_urls(pages), line_dedup.drop_boilerplate(docs)):
         plan = df._jdf.queryExecution().executedPlan().toString()
