@@ -2,7 +2,12 @@
 read again before the next.
 
 Every stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept.  All but the
-last return the columns of ``documents``; the last returns the mix.
+last return the columns of ``documents``; the last returns them with ``__copy`` and ``__position``, a row for
+each time the mix takes the document.
+
+Defined results: rows with a null id, text or source pass every stage by their own text (near copies keeps them
+all; a row without words is never taken by the mix); rows that repeat an id are judged each by its own text, and all
+rows of an id that near copies keeps stay; an empty table gives an empty result; other columns are kept.
 """
 
 from __future__ import annotations
@@ -35,8 +40,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 9: words taken from each document and the positions of its copies."""
-    return curriculum.mix_sources(docs)
+    """Operator 9: the training stream, a row per taken copy in the order of its position."""
+    return curriculum.curriculum_documents(docs)
 
 
 STAGES = [
