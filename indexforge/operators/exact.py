@@ -78,8 +78,8 @@ def _rounded(digits: Column) -> Column:
 
     def signed(x: Column) -> Column:
         sign = F.when(carried(x)["c"] < 0, F.lit(-1)).otherwise(F.lit(1))
-        return F.get(F.transform(F.array(sign), lambda s: s * value(F.aggregate(
-            F.reverse(carried(F.transform(x, lambda v: v * s))["d"]), start, take))), F.lit(0))
+        return F.get(F.transform(F.array(sign), lambda s: s * F.aggregate(
+            F.reverse(carried(F.transform(x, lambda v: v * s))["d"]), start, take, value)), F.lit(0))
 
     return F.get(F.transform(F.array(digits), signed), F.lit(0))
 
@@ -101,4 +101,5 @@ def exact_sums(df: DataFrame, keys: Sequence[str], value: Column, name: str, row
     total = F.when(F.col("_values") == 0, F.lit(None).cast("double")).otherwise(
         F.coalesce("_odd", _rounded(F.col("_d"))))
     more = [F.col(c).alias(n) for c, n in (("_rows", rows), ("_values", values)) if n]
-    return out.select(*keys, total.alias(name), *more)
+    # a row per group: the exchange keeps the rounding from being copied into whatever reads it several times
+    return out.select(*keys, total.alias(name), *more).hint("rebalance", *keys)
