@@ -14,6 +14,7 @@ import datetime as _dt
 import hashlib
 import json
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -23,7 +24,9 @@ from indexforge.functions.calendar import epoch_ms_to_date
 from indexforge.operators.upsert import upsert_partial, upsert_replace
 from indexforge.plans import load_log
 from indexforge.schemas import PRICES_KEPT, PRICES_UPDATED, STOCK_PRICES, STOCK_PRICES_KEY
-from indexforge.session import delete_folder, drop_scratch, path_exists, read_small, scratch_path, write_small
+from indexforge.session import (
+    delete_folder, drop_scratch, names_in, path_exists, read_small, scratch_path, write_small,
+)
 from indexforge.sinks.dead_letters import write_dead_letters
 from indexforge.sources.landing import (
     explode_bar_entries, flatten_bars, read_landed_text, with_source,
@@ -180,17 +183,42 @@ def placed_by_day(rows: DataFrame, n: int) -> DataFrame:
 
 #: Key days of a load that are named one by one in the partition filter.
 MAX_LISTED_DAYS = 2000
+#: Rows that a merge may rewrite whatever the size of its load.
+SMALL_ROWS = 1_000_000
+
+
+def _key_days(incoming: DataFrame) -> tuple[list[str], int]:
+    """The key days of the rows and their number; for rows of more than
+    ``MAX_LISTED_DAYS`` days, the first and last day with ``..`` between them."""
+    per_day = incoming.groupBy("key_date").agg(F.count(F.lit(1)).alias("n"))
+    days = per_day.limit(MAX_LISTED_DAYS + 1).collect()
+    if len(days) <= MAX_LISTED_DAYS:
+        return sorted(str(r["key_date"]) for r in days), sum(r["n"] for r in days)
+    span = incoming.agg(F.min("key_date").alias("a"), F.max("key_date").alias("b"), F.count(F.lit(1)).alias("n")).first()
+    return [str(span["a"]), "..", str(span["b"])], span["n"]
+
+
+def _all_days(parts: list[list[str]]) -> list[str]:
+    """The days of several parts, again named one by one if they are few enough."""
+    days = sorted({d for part in parts for d in part})
+    if ".." in days or len(days) > MAX_LISTED_DAYS:
+        days = [d for d in days if d != ".."]
+        return [days[0], "..", days[-1]]
+    return days
+
+
+def _on_days(days: list[str]):
+    """A filter on ``key_date`` with literals, so that it prunes the partitions of the current table."""
+    if ".." in days:
+        first, _, last = map(F.lit, days)
+        return F.col("key_date").between(first.cast("date"), last.cast("date"))
+    return F.col("key_date").isin([_dt.date.fromisoformat(d) for d in days])
 
 
 def _key_day_filter(incoming: DataFrame):
-    """A filter on ``key_date`` with the load's key days as literals, so that it prunes the
-    partitions of the current table.  A load of more days (its size, not the
+    """A filter on ``key_date`` with the load's key days as literals.  A load of more days (its size, not the
     table's, sets their number) is given its first and last day instead."""
-    days = [r["key_date"] for r in incoming.select("key_date").distinct().limit(MAX_LISTED_DAYS + 1).collect()]
-    if len(days) <= MAX_LISTED_DAYS:
-        return F.col("key_date").isin(days)
-    span = incoming.agg(F.min("key_date").alias("a"), F.max("key_date").alias("b")).first()
-    return F.col("key_date").between(F.lit(span["a"]), F.lit(span["b"]))
+    return _on_days(_key_days(incoming)[0])
 
 
 def _redo(current_path: str) -> str:
@@ -198,22 +226,57 @@ def _redo(current_path: str) -> str:
     return f"{current_path.rstrip('/')}_merge"
 
 
+def _runs(current_path: str) -> str:
+    """The folder beside the table that holds its runs and their ``list``."""
+    return f"{current_path.rstrip('/')}_runs"
+
+
+def _ready(spark: SparkSession, current_path: str) -> dict | None:
+    text = read_small(spark, f"{_redo(current_path)}/ready")
+    return {"rule": None, "runs": [], **json.loads(text)} if text is not None else None
+
+
+def _listed(spark: SparkSession, current_path: str) -> dict:
+    """The runs of the table, oldest first, and the rule they are merged by."""
+    text = read_small(spark, f"{_runs(current_path)}/list")
+    return json.loads(text) if text is not None else {"rule": None, "runs": []}
+
+
+def _ranked(rows: DataFrame, rank: int) -> DataFrame:
+    """Merged rows, at most one a key, as an input of a later merge."""
+    return rows.select(*CURRENT_PRICES.fieldNames(), F.lit(rank).alias("_rank"),
+                       F.lit(None).cast("long").alias("_load_seq"), F.lit(None).cast("string").alias("source_file"),
+                       F.lit(None).cast("long").alias("_pos"))
+
+
+def _run_rows(spark: SparkSession, current_path: str, runs: list[dict]) -> list[DataFrame]:
+    return [_ranked(spark.read.schema(CURRENT_PRICES).parquet(f"{_runs(current_path)}/{run['rows']}"), rank)
+            for rank, run in enumerate(runs, 1)]
+
+
 def merge_into_current(spark: SparkSession, current_path: str, load: DataFrame,
                        rule: str = "partial", then: tuple[str, str, dict] | None = None) -> None:
     """Merge one load into the current price table, touching only its days.
 
     The current table is partitioned by ``key_date`` -- the UTC day of the
     ``timestamp`` key -- so every existing row of a key lives in the partition
-    the key itself names, whatever ``date`` the upsert rule kept.  A load
-    therefore reads and rewrites only the partitions of its own key days:
-
-    1. old rows of those partitions (a literal partition filter)  UNION  the load's rows;
-    2. upsert per (ticker, timestamp) with the chosen rule;
-    3. rebalance on ``key_date``: few files per day, and a large day is split;
-    4. stage the result, whole partitions, beside the table and mark it ready;
-    5. replace just those partitions (dynamic partition overwrite), record the commit ``then``
+    the key itself names, whatever ``date`` the upsert rule kept.  Beside the
+    partitions the table may have runs: the merged rows of the newest loads, one a key.
+    Many small loads to one large day would rewrite that day many times, so
+    a merge rewrites no more than it brings (or ``SMALL_ROWS``):
+
+    1. the load takes in the newest runs, one after the other, while they are not larger than what it has;
+    2. if it took in all of them and the stored rows of its days (a literal partition filter) are
+       not more either, they are taken in as well, and whole partitions are written; else a new run;
+    3. upsert per (ticker, timestamp) with the chosen rule;
+    4. rebalance on ``key_date``: few files per day, and a large day is split;
+    5. stage the result beside the table and mark it ready;
+    6. replace just those partitions (dynamic partition overwrite) or list the run, record the commit ``then``
        (log, load, record) and clear the marker: ``finish_merge``.
 
+    Every run is larger than the next, so they are few, and a row is written again only
+    together with at least as many newer ones (or ``SMALL_ROWS``).
+
     A job lost before the marker leaves the table as it was.  One lost after it may leave
     partitions deleted and not yet replaced: their rows are in the staged copy, ``read_current`` takes them
     from there, and the next load finishes the merge before it does anything else.  One job merges into a
@@ -223,38 +286,71 @@ def merge_into_current(spark: SparkSession, current_path: str, load: DataFrame,
     cols = [f.name for f in STOCK_PRICES.fields]
     incoming = (load.select(*cols, *LOAD_ORDER)
                 .withColumn("key_date", epoch_ms_to_date("timestamp")))
-    pieces = incoming.withColumn("_rank", F.lit(1))
+    days, n = _key_days(incoming)
+    table = _listed(spark, current_path)
+    if table["runs"] and table["rule"] != rule:  # runs of the other rule go into the partitions first
+        _merge(spark, current_path, table["rule"], [], table["runs"], [], _all_days([r["days"] for r in table["runs"]]), None)
+        table = _listed(spark, current_path)
+    older, taken = table["runs"], []
+    while older and older[-1]["n"] <= max(n, SMALL_ROWS):
+        n += older[-1]["n"]
+        older, taken = older[:-1], [older[-1], *taken]
+    days = _all_days([days, *[r["days"] for r in taken]])
+    _merge(spark, current_path, rule, older, taken, [incoming], days, then,
+           run=n if older or _stored_rows(spark, current_path, days) > max(n, SMALL_ROWS) else None)
+
+
+def _stored_rows(spark: SparkSession, current_path: str, days: list[str]) -> int:
+    """Row count of the partitions of ``days``: no column is read."""
     stored = scan_if_exists(spark, current_path, CURRENT_PRICES)
+    return stored.filter(_on_days(days)).count() if stored is not None else 0
+
+
+def _merge(spark: SparkSession, current_path: str, rule: str, older: list[dict], taken: list[dict],
+           incoming: list[DataFrame], days: list[str], then, run: int | None = None) -> None:
+    """Upsert ``taken`` runs and ``incoming`` rows: into the partitions of ``days``, or with ``run`` (the number
+    of rows that go in) into a new run after the ``older`` ones."""
+    pieces = _run_rows(spark, current_path, taken)
+    pieces += [df.withColumn("_rank", F.lit(len(taken) + 1)) for df in incoming]
+    stored = scan_if_exists(spark, current_path, CURRENT_PRICES) if run is None else None
     if stored is not None:
-        old = (stored.filter(_key_day_filter(incoming))
-               .withColumn("_rank", F.lit(0))
-               .withColumn("_load_seq", F.lit(None).cast("long"))
-               .withColumn("source_file", F.lit(None).cast("string"))
-               .withColumn("_pos", F.lit(None).cast("long")))
-        pieces = old.unionByName(pieces)
-    merged = (_upsert(pieces, rule, ["_rank", *LOAD_ORDER])
+        pieces.insert(0, _ranked(stored.filter(_on_days(days)), 0))
+    merged = (_upsert(reduce(DataFrame.unionByName, pieces), rule, ["_rank", *LOAD_ORDER])
               .withColumn("key_date", epoch_ms_to_date("timestamp"))
               .hint("rebalance", "key_date"))
-    staged = f"rows-{uuid.uuid4().hex[:12]}"
-    merged.write.parquet(f"{_redo(current_path)}/{staged}")
-    write_small(spark, f"{_redo(current_path)}/ready", json.dumps({"staged": staged, "then": then}))
+    name = f"rows-{uuid.uuid4().hex[:12]}"
+    work = {"staged": None if run is not None else name, "then": then, "rule": rule, "runs": older}
+    if run is not None:
+        merged.write.parquet(f"{_runs(current_path)}/{name}")
+        work["runs"] = [*older, {"rows": name, "n": run, "days": days}]
+    else:
+        merged.write.parquet(f"{_redo(current_path)}/{name}")
+    write_small(spark, f"{_redo(current_path)}/ready", json.dumps(work))
     finish_merge(spark, current_path)
 
 
 def finish_merge(spark: SparkSession, current_path: str) -> bool:
     """Finish a merge that is marked ready, if there is one; may be repeated from any point."""
-    redo = _redo(current_path)
+    redo, runs = _redo(current_path), _runs(current_path)
     if not path_exists(spark, redo):
         return False
-    ready = read_small(spark, f"{redo}/ready")
-    if ready is not None:
-        work = json.loads(ready)
-        _swap(spark, f"{redo}/{work['staged']}", current_path)
+    work = _ready(spark, current_path)
+    if work is not None:
+        if work["staged"]:
+            _swap(spark, f"{redo}/{work['staged']}", current_path)
+        if work["runs"]:
+            write_small(spark, f"{runs}/list", json.dumps({"rule": work["rule"], "runs": work["runs"]}))
+        else:
+            delete_folder(spark, f"{runs}/list")
         if work["then"]:
             load_log.commit(spark, *work["then"])
         delete_folder(spark, f"{redo}/ready")
+        kept = {"list", *(r["rows"] for r in work["runs"])}
+        for name in names_in(spark, runs):
+            if name not in kept:
+                delete_folder(spark, f"{runs}/{name}")
     delete_folder(spark, redo)  # with what an attempt staged and did not mark
-    return ready is not None
+    return work is not None
 
 
 def _swap(spark: SparkSession, staged: str, current_path: str) -> None:
@@ -264,17 +360,25 @@ def _swap(spark: SparkSession, staged: str, current_path: str) -> None:
 
 
 def read_current(spark: SparkSession, current_path: str) -> DataFrame:
-    """The current table; days of a merge that is ready and not finished come from its staged copy."""
-    ready = read_small(spark, f"{_redo(current_path)}/ready")
-    if ready is None:
+    """The current table: its partitions, and over them its runs.  Days of a merge that is ready and not
+    finished come from its staged copy."""
+    work = _ready(spark, current_path)
+    if work is None or not work["staged"]:
         rows = spark.read.schema(CURRENT_PRICES).parquet(current_path)
     else:
-        rows = spark.read.schema(CURRENT_PRICES).parquet(f"{_redo(current_path)}/{json.loads(ready)['staged']}")
+        rows = spark.read.schema(CURRENT_PRICES).parquet(f"{_redo(current_path)}/{work['staged']}")
         stored = scan_if_exists(spark, current_path, CURRENT_PRICES)
         if stored is not None:
             days = rows.select(F.col("key_date").alias("_day")).distinct()
             rows = rows.unionByName(stored.join(days, F.col("key_date").eqNullSafe(F.col("_day")), "left_anti"))
-    return rows.select(*[f.name for f in STOCK_PRICES.fields])
+    cols = [f.name for f in STOCK_PRICES.fields]
+    table = work or _listed(spark, current_path)
+    if not table["runs"]:
+        return rows.select(*cols)
+    touched = _on_days(_all_days([r["days"] for r in table["runs"]]))
+    pieces = [_ranked(rows.filter(touched), 0), *_run_rows(spark, current_path, table["runs"])]
+    merged = _upsert(reduce(DataFrame.unionByName, pieces), table["rule"], ["_rank"])
+    return rows.filter(~F.coalesce(touched, F.lit(False))).select(*cols).unionByName(merged.select(*cols))
 
 
 def _upsert(df: DataFrame, rule: str, order) -> DataFrame:

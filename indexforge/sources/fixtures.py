@@ -192,7 +192,9 @@ def land_bar_payloads(ticks_df: DataFrame, root: str,
     """Write grouped-daily payload documents under ``root/date=YYYY-MM-DD/``.
 
     A day is split into documents of at most ``chunk_rows`` entries, so no
-    document (group) grows with the data.  Entries keep event order.
+    document (group) grows with the data.  Entries keep event order.  The documents of
+    a day share a file, or several when the day is large: the number of files follows the
+    data, not the tasks that made the documents.
     """
     entry = F.struct(F.col("ticker").alias("T"), F.col("epoch_ms").alias("t"),
                      *[F.col(k) for k in ("o", "h", "l", "c", "v", "n", "vw", "otc")])
@@ -204,6 +206,7 @@ def land_bar_payloads(ticks_df: DataFrame, root: str,
                        F.transform("_r", lambda x: x["e"]).alias("results"))
     (docs.select(F.date_format("date", "yyyy-MM-dd").alias("date"),
                  F.to_json(payload).alias("value"))
+     .hint("rebalance", "date")
      .write.mode(mode).partitionBy("date").text(root))
 
 
